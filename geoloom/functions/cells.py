@@ -80,11 +80,11 @@ def morton(x: Column, y: Column, xmin: float = -180.0, ymin: float = -90.0, xmax
 
 
 def square_cells(xmin: Column, ymin: Column, xmax: Column, ymax: Column, level: Column) -> Column:
-    """Squares of side 2^level that a box reaches, as array of (level, cx, cy)."""
+    """Squares of side 2^level that a box reaches, as array of (_level, _cx, _cy)."""
     side = F.pow(F.lit(2.0), level)
 
     def span(lo: Column, hi: Column) -> Column:
         return F.sequence(F.floor(lo / side), F.floor(hi / side))
 
     return F.flatten(F.transform(span(xmin, xmax), lambda cx: F.transform(span(ymin, ymax), lambda cy: F.struct(
-        level.cast("int").alias("level"), cx.alias("cx"), cy.alias("cy")))))
+        level.cast("int").alias("_level"), cx.alias("_cx"), cy.alias("_cy")))))

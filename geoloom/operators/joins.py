@@ -20,7 +20,7 @@ from geoloom.runtime import BROADCAST_BYTES, checkpoint, fits
 _STEP = 4
 _LOWEST, _HIGHEST = -24, 40
 _HOT_PARTS = 1000
-_SQUARE = ["level", "cx", "cy"]
+_SQUARE = ["_level", "_cx", "_cy"]
 _LEFT = tuple(f"_l{c}" for c in BBOX)
 _RIGHT = tuple(f"_r{c}" for c in BBOX)
 
@@ -97,7 +97,7 @@ def points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str = "
     l, r, geom, keep = _prepare(points, zones, zone_geom)
     r = r.filter(F.col(geom)["type"].endswith("Polygon"))
     x, y = F.col(_LEFT[0]), F.col(_LEFT[1])
-    here = [F.struct(F.lit(v).alias("level"), F.floor(x / 2.0 ** v).alias("cx"), F.floor(y / 2.0 ** v).alias("cy"))
+    here = [F.struct(F.lit(v).alias("_level"), F.floor(x / 2.0 ** v).alias("_cx"), F.floor(y / 2.0 ** v).alias("_cy"))
             for v in _levels(r, _RIGHT)]
     if not here:
         return l.limit(0).join(r, F.lit(False)).select(*keep)
@@ -122,11 +122,11 @@ def spatial_join(left: DataFrame, right: DataFrame, spatial_rel: str = "intersec
 
     l, r = l.withColumn("_left_own", _own_level(_LEFT)), r.withColumn("_right_own", _own_level(_RIGHT))
     pairs = _pairs(_listed(l, squares(_LEFT, "_left_own")), _listed(r, squares(_RIGHT, "_right_own")), geom, broadcast_bytes)
-    side = F.pow(F.lit(2.0), F.col("level"))
+    side = F.pow(F.lit(2.0), F.col("_level"))
     here = (
-        (F.col("level") == F.greatest("_left_own", "_right_own"))
-        & (F.col("cx") == F.floor(F.greatest(F.col(_LEFT[0]), F.col(_RIGHT[0])) / side))
-        & (F.col("cy") == F.floor(F.greatest(F.col(_LEFT[1]), F.col(_RIGHT[1])) / side))
+        (F.col("_level") == F.greatest("_left_own", "_right_own"))
+        & (F.col("_cx") == F.floor(F.greatest(F.col(_LEFT[0]), F.col(_RIGHT[0])) / side))
+        & (F.col("_cy") == F.floor(F.greatest(F.col(_LEFT[1]), F.col(_RIGHT[1])) / side))
     )
     near = pairs.filter(_boxes_meet() & here)
     return near.filter(matches_column(F.col(left_geom), F.col(geom), spatial_rel, strict)).select(*keep)

@@ -60,7 +60,7 @@ class Page:
     exceeded: DataFrame
 
 
-def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0) -> Page:
+def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, top_rows: int = TOP_ROWS) -> Page:
     """Rows offset+1 .. offset+size in the order of `keys`.
 
     Near pages keep only the best rows per partition; far ones are cut by
@@ -69,7 +69,7 @@ def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0) -> Page:
     offset = max(0, offset)
     if not keys:
         rows = df.offset(offset).limit(size) if offset else df.limit(size)
-    elif offset + size <= TOP_ROWS:
+    elif offset + size <= top_rows:
         ordered = df.orderBy(*keys)
         rows = (ordered.offset(offset) if offset else ordered).limit(size)
     else:
