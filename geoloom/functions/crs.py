@@ -21,6 +21,14 @@ def same_system(srid: int) -> int:
     return 3857 if srid in MERCATOR_CODES else srid
 
 
+def point_to_degrees(x: float, y: float) -> tuple[float, float]:
+    return math.degrees(x / RADIUS), math.degrees(2 * math.atan(math.exp(y / RADIUS)) - math.pi / 2)
+
+
+def point_to_mercator(x: float, y: float) -> tuple[float, float]:
+    return x * RADIUS * math.pi / 180, RADIUS * math.log(math.tan(math.radians(y) / 2 + math.pi / 4))
+
+
 def to_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     return x * F.lit(RADIUS * math.pi / 180), F.log(F.tan(F.radians(y) / 2 + F.lit(math.pi / 4))) * F.lit(RADIUS)
 
@@ -71,9 +79,12 @@ def unwrap_dateline(geom: Column) -> Column:
     def part(rings: Column) -> Column:
         return F.when(crosses(F.get(rings, F.lit(0))), F.transform(rings, shift)).otherwise(rings)
 
-    wraps = geom["srid"].isNull() | geom["srid"].isin(0, 4326)
-    wide = F.exists(F.flatten(geom["parts"]), crosses)
-    return F.when(wraps & wide, geometry(geom["type"], geom["srid"], F.transform(geom["parts"], part))).otherwise(geom)
+    def unwrap(g: Column) -> Column:
+        wraps = g["srid"].isNull() | g["srid"].isin(0, 4326)
+        wide = F.exists(F.flatten(g["parts"]), crosses)
+        return F.when(wraps & wide, geometry(g["type"], g["srid"], F.transform(g["parts"], part))).otherwise(g)
+
+    return let(geom, unwrap)
 
 
 def wrap_longitudes(geom: Column) -> Column:
@@ -83,4 +94,4 @@ def wrap_longitudes(geom: Column) -> Column:
         x = v["x"]
         return vertex(F.when(x > 180, x - 360).when(x < -180, x + 360).otherwise(x), v["y"])
 
-    return F.when(geom["srid"] == 4326, map_vertices(geom, back)).otherwise(geom)
+    return let(geom, lambda g: F.when(g["srid"] == 4326, map_vertices(g, back)).otherwise(g))

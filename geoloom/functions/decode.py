@@ -8,14 +8,20 @@ array functions; only WKB, whose doubles Spark SQL cannot read, uses Arrow.
 from __future__ import annotations
 
 import struct
+import sys
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from geoloom.functions.geometry import GEOMETRY_DDL, GEOMETRY_TYPES, PARTS_DDL, geometry, let, point, vertex
 
+# The Arrow function travels to the executors by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FORMATS = ("WKT", "WKB", "GEOJSON", "ESRIJSON", "GEOMETRY")
 
 _NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
@@ -44,8 +50,9 @@ def _sound(kind: Column, parts: Column) -> Column:
     return F.coalesce(F.forall(parts, lambda p: F.coalesce(part_ok(p), F.lit(False))), F.lit(False))
 
 
-def _checked(kind: Column, srid: Column, parts: Column) -> Column:
-    return let(parts, lambda p: F.when(_sound(kind, p), geometry(kind, srid, p)))
+def _checked(kind: Callable[[Column], Column], srid: Column, parts: Column) -> Column:
+    """Geometry of the parts if they are sound; `kind` gives the type, which may depend on the parts."""
+    return let(parts, lambda p: let(kind(p), lambda k: F.when(_sound(k, p), geometry(k, srid, p))))
 
 
 def parse_wkt(text: Column, srid: int | None = 4326) -> Column:
@@ -53,8 +60,8 @@ def parse_wkt(text: Column, srid: int | None = 4326) -> Column:
 
     def coordinate(piece: Column) -> Column:
         words = F.split(F.trim(piece), r"\s+")
-        return F.when(F.size(words).between(2, 4), vertex(
-            F.get(words, F.lit(0)).try_cast("double"), F.get(words, F.lit(1)).try_cast("double")))
+        return let(words, lambda w: F.when(F.size(w).between(2, 4), vertex(
+            F.get(w, F.lit(0)).try_cast("double"), F.get(w, F.lit(1)).try_cast("double"))))
 
     def run(body: Column) -> Column:
         return F.transform(F.split(body, ","), coordinate)
@@ -62,29 +69,33 @@ def parse_wkt(text: Column, srid: int | None = 4326) -> Column:
     def rings(body: Column) -> Column:
         return F.transform(F.split(body, r"\),\("), run)
 
-    upper = F.upper(F.regexp_extract(text, _ANY_TEXT, 2))
-    kind = F.element_at(F.create_map(*[F.lit(v) for t in GEOMETRY_TYPES for v in (t.upper(), t)]), upper)
+    def parts(kind: Column, body: Column) -> Column:
+        def inner(depth: int) -> Column:
+            return F.regexp_extract(body, r"(?s)^\({%d}([^(].*[^)])\){%d}$" % (depth, depth), 1)
+
+        single = F.regexp_replace(body, r"(?<=[(,])\(([^(),]+)\)", "$1")
+        return (
+            F.when(F.upper(body) == "EMPTY", F.array().cast(PARTS_DDL))
+            .when(kind.isin("Point", "LineString"), F.array(F.array(run(inner(1)))))
+            .when(kind == "Polygon", F.array(rings(inner(2))))
+            .when(kind == "MultiPoint", F.transform(
+                F.split(F.regexp_extract(single, r"(?s)^\((.+)\)$", 1), ","), lambda s: F.array(F.array(coordinate(s)))))
+            .when(kind == "MultiLineString", F.transform(rings(inner(2)), lambda r: F.array(r)))
+            .when(kind == "MultiPolygon", F.transform(F.split(inner(3), r"\)\),\(\("), rings))
+        )
+
+    names = F.create_map(*[F.lit(v) for t in GEOMETRY_TYPES for v in (t.upper(), t)])
     own = F.regexp_extract(text, _ANY_TEXT, 1)
-    stamp = F.when(own != "", own.try_cast("int")).otherwise(F.lit(srid).cast("int"))
-    tight = F.regexp_replace(F.regexp_extract(text, _ANY_TEXT, 3), r"\s*([(),])\s*", "$1")
-
-    def inner(depth: int) -> Column:
-        return F.regexp_extract(tight, r"^\({%d}([^(].*[^)])\){%d}$" % (depth, depth), 1)
-
-    single = F.regexp_replace(tight, r"(?<=[(,])\(([^(),]+)\)", "$1")
-    parts = (
-        F.when(F.upper(tight) == "EMPTY", F.array().cast(PARTS_DDL))
-        .when(upper.isin("POINT", "LINESTRING"), F.array(F.array(run(inner(1)))))
-        .when(upper == "POLYGON", F.array(rings(inner(2))))
-        .when(upper == "MULTIPOINT", F.transform(
-            F.split(F.regexp_extract(single, r"^\((.+)\)$", 1), ","), lambda s: F.array(F.array(coordinate(s)))))
-        .when(upper == "MULTILINESTRING", F.transform(rings(inner(2)), lambda r: F.array(r)))
-        .when(upper == "MULTIPOLYGON", F.transform(F.split(inner(3), r"\)\),\(\("), rings))
+    head = F.struct(
+        F.try_element_at(names, F.upper(F.regexp_extract(text, _ANY_TEXT, 2))).alias("kind"),
+        F.when(own != "", own.try_cast("int")).otherwise(F.lit(srid).cast("int")).alias("srid"),
+        F.regexp_replace(F.regexp_extract(text, _ANY_TEXT, 3), r"\s*([(),])\s*", "$1").alias("body"),
     )
+    general = let(head, lambda h: _checked(lambda _: h["kind"], h["srid"], parts(h["kind"], h["body"])))
     x, y = (F.regexp_extract(text, _POINT_TEXT, i) for i in (1, 2))
     quick = let(F.struct(x.try_cast("double").alias("x"), y.try_cast("double").alias("y")),
                 lambda v: F.when(F.abs(v["x"]) + F.abs(v["y"]) < F.lit(float("inf")), point(v["x"], v["y"], srid)))
-    return F.when(text.rlike(_POINT_TEXT), quick).when(text.rlike(_ANY_TEXT), _checked(kind, stamp, parts))
+    return F.when(text.rlike(_POINT_TEXT), quick).when(text.rlike(_ANY_TEXT), general)
 
 
 def _nested(coordinates: Column, depth: int) -> Column:
@@ -117,7 +128,7 @@ def parse_geojson(text: Column, srid: int | None = 4326) -> Column:
     return let(
         F.from_json(text, "type string, coordinates string"),
         lambda g: F.when(g["type"].isin(*GEOMETRY_TYPES), _checked(
-            g["type"], F.lit(srid), _geojson_parts(g["type"], g["coordinates"]))),
+            lambda _: g["type"], F.lit(srid), _geojson_parts(g["type"], g["coordinates"]))),
     )
 
 
@@ -149,27 +160,46 @@ ESRI_DDL = (
 )
 
 
-def esri_rings(rings: Column, srid: Column) -> Column:
-    return let(group_rings(_nested(rings, 2)), lambda parts: let(
-        F.when(F.size(parts) == 1, "Polygon").otherwise("MultiPolygon"), lambda kind: _checked(kind, srid, parts)))
+def json_shape(g: Column, srid: Column, forms: tuple[str, ...]) -> Column:
+    """Geometry from parsed shape JSON; the first of `forms` that the object carries decides."""
+    carried = {
+        "geojson": g["type"].isNotNull() & g["coordinates"].isNotNull(),
+        "envelope": g["xmin"].isNotNull(),
+        "point": g["x"].isNotNull() & g["y"].isNotNull(),
+        "rings": g["rings"].isNotNull(),
+        "paths": g["paths"].isNotNull(),
+    }
+    sides = [("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"), ("xmin", "ymin")]
+    read = {
+        "geojson": lambda: F.when(g["type"].isin(*GEOMETRY_TYPES), _geojson_parts(g["type"], g["coordinates"])),
+        "envelope": lambda: F.array(F.array(F.array(*[vertex(g[a], g[b]) for a, b in sides]))),
+        "point": lambda: F.array(F.array(F.array(vertex(g["x"], g["y"])))),
+        "rings": lambda: group_rings(_nested(g["rings"], 2)),
+        "paths": lambda: F.transform(_nested(g["paths"], 2), lambda r: F.array(r)),
+    }
+
+    def several(p: Column, name: str) -> Column:
+        return F.when(F.size(p) == 1, name).otherwise("Multi" + name)
+
+    def kind(p: Column) -> Column:
+        names = {"geojson": g["type"], "envelope": F.lit("Polygon"), "point": F.lit("Point"),
+                 "rings": several(p, "Polygon"), "paths": several(p, "LineString")}
+        return _first([(carried[f], names[f]) for f in forms])
+
+    return _checked(kind, srid, _first([(carried[f], read[f]()) for f in forms]))
 
 
-def esri_paths(paths: Column, srid: Column) -> Column:
-    return let(F.transform(_nested(paths, 2), lambda r: F.array(r)), lambda parts: let(
-        F.when(F.size(parts) == 1, "LineString").otherwise("MultiLineString"),
-        lambda kind: _checked(kind, srid, parts)))
+def _first(cases: list[tuple[Column, Column]]) -> Column:
+    chain = F.when(*cases[0])
+    for test, value in cases[1:]:
+        chain = chain.when(test, value)
+    return chain
 
 
 def parse_esri_json(text: Column, srid: int | None = 4326) -> Column:
     """Esri JSON ({x,y}, rings, paths) or GeoJSON to geometry."""
-    stamp = F.lit(srid).cast("int")
-    return let(F.from_json(text, ESRI_DDL), lambda g: (
-        F.when(g["type"].isNotNull() & g["coordinates"].isNotNull(), F.when(
-            g["type"].isin(*GEOMETRY_TYPES), _checked(g["type"], stamp, _geojson_parts(g["type"], g["coordinates"]))))
-        .when(g["x"].isNotNull() & g["y"].isNotNull(), _checked(
-            F.lit("Point"), stamp, F.array(F.array(F.array(vertex(g["x"], g["y"]))))))
-        .when(g["rings"].isNotNull(), esri_rings(g["rings"], stamp))
-        .when(g["paths"].isNotNull(), esri_paths(g["paths"], stamp))))
+    return let(F.from_json(text, ESRI_DDL), lambda g: json_shape(
+        g, F.lit(srid).cast("int"), ("geojson", "point", "rings", "paths")))
 
 
 # -- WKB ---------------------------------------------------------------------------------------------------------------

@@ -68,6 +68,15 @@ def bounds(geom: Column) -> dict[str, Column]:
     return dict(zip(BBOX, (F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))))
 
 
+def with_column_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that it is computed once per row.
+
+    A plain column would be copied into every later filter that uses it; a
+    generated one is a boundary that filters stay above.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def with_bounds(df: DataFrame, geom: str = "geom") -> DataFrame:
     """Add or refresh the flat box columns that Parquet statistics can use."""
     return df.withColumns(bounds(F.col(geom)))

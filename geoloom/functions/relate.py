@@ -9,14 +9,19 @@ tests go in blocks so that two long outlines never form one large matrix.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The Arrow functions travel to the executors by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 I, B, E = 0, 1, 2
 MATRIX = ("ii", "ib", "ie", "bi", "bb", "be", "ei", "eb")
 RELATION_DDL = "struct<" + ",".join(f"{name}:int" for name in MATRIX) + ">"

@@ -3,48 +3,37 @@
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.functions.crs import reproject, same_system
-from geoloom.functions.decode import ESRI_DDL, esri_paths, esri_rings, parse_geojson
+from geoloom.functions.crs import point_to_degrees, point_to_mercator, reproject, same_system
+from geoloom.functions.decode import ESRI_DDL, json_shape
 from geoloom.functions.geometry import bounds, box, geometry, let, point, with_bounds
+from geoloom.plans.guard import parse_integer
 
 _SPATIAL_REFERENCE_DDL = "wkid string, latestWkid string, spatialReference struct<wkid:string,latestWkid:string>"
 
 
+FILTER_FORMS = ("rings", "paths", "envelope", "point", "geojson")
+
+
 def parse_shape(text: Column) -> Column:
     """`x,y`, `xmin,ymin,xmax,ymax`, JSON arrays of those, {xmin..}, {x,y}, rings, paths or GeoJSON to geometry.
 
     The SRID is left open (NULL); NULL geometry means the text is not a shape.
     """
-    open_srid = F.lit(None).cast("int")
     numbers = F.transform(F.split(F.regexp_replace(text, r"^\s*\[|\]\s*$", ""), ","), lambda s: F.trim(s).try_cast("double"))
 
-    def at(array: Column, i: int) -> Column:
-        return F.get(array, F.lit(i))
-
     def plain(n: Column) -> Column:
+        at = [F.get(n, F.lit(i)) for i in range(4)]
         return F.when(F.forall(n, lambda v: v.isNotNull()), (
-            F.when(F.size(n) == 2, point(at(n, 0), at(n, 1), None))
-            .when(F.size(n) == 4, box(at(n, 0), at(n, 1), at(n, 2), at(n, 3), None))))
-
-    def typed(g: Column) -> Column:
-        sides = [g[c] for c in ("xmin", "ymin", "xmax", "ymax")]
-        whole = F.lit(True)
-        for side in sides:
-            whole = whole & side.isNotNull()
-        return (
-            F.when(g["rings"].isNotNull(), esri_rings(g["rings"], open_srid))
-            .when(g["paths"].isNotNull(), esri_paths(g["paths"], open_srid))
-            .when(g["xmin"].isNotNull(), F.when(whole, box(*sides, None)))
-            .when(g["x"].isNotNull() & g["y"].isNotNull(), point(g["x"], g["y"], None))
-            .otherwise(parse_geojson(text, None))
-        )
+            F.when(F.size(n) == 2, point(at[0], at[1], None)).when(F.size(n) == 4, box(*at, None))))
 
-    return F.when(text.rlike(r"^\s*\{"), let(F.from_json(text, ESRI_DDL), typed)).otherwise(let(numbers, plain))
+    return F.when(text.rlike(r"^\s*\{"), let(F.from_json(text, ESRI_DDL), lambda g: json_shape(
+        g, F.lit(None).cast("int"), FILTER_FORMS))).otherwise(let(numbers, plain))
 
 
 def _code(*candidates: Column) -> Column:
@@ -123,14 +112,99 @@ class FilterShape:
             p[0] == q[0] or p[1] == q[1] for p, q in zip(ring, ring[1:]))
 
 
-def filter_shape(spark: SparkSession, shape: str | dict | list, srid: int, in_sr: str | int | dict | None = None) -> FilterShape:
-    """Fold one request shape to literals, by the same columns that convert whole tables."""
+def _numbers(values) -> list[float]:
+    if any(isinstance(v, bool) or not isinstance(v, (int, float)) or not math.isfinite(v) for v in values):
+        raise ValueError("not a number")
+    return [float(v) for v in values]
+
+
+def _runs(lines) -> list[list[tuple[float, float]]]:
+    return [[tuple(_numbers(v[:2])) for v in run] for run in lines]
+
+
+def _turns_left(ring: list[tuple[float, float]]) -> bool:
+    return sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, ring[1:])) >= 0
+
+
+def _read_shape(shape) -> tuple[str, list]:
+    """Type and parts of one request shape, in the same forms as `parse_shape`."""
+    if isinstance(shape, list):
+        values = _numbers(shape)
+        if len(values) == 2:
+            return "Point", [[[tuple(values)]]]
+        shape = dict(zip(("xmin", "ymin", "xmax", "ymax"), values)) if len(values) == 4 else {}
+    if "rings" in shape:
+        parts: list = []
+        for ring in _runs(shape["rings"]):
+            if parts and _turns_left(ring):
+                parts[-1].append(ring)
+            else:
+                parts.append([ring])
+        return ("Polygon" if len(parts) == 1 else "MultiPolygon"), parts
+    if "paths" in shape:
+        lines = _runs(shape["paths"])
+        return ("LineString" if len(lines) == 1 else "MultiLineString"), [[line] for line in lines]
+    if "xmin" in shape:
+        x0, y0, x1, y1 = _numbers([shape[k] for k in ("xmin", "ymin", "xmax", "ymax")])
+        return "Polygon", [[[(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]]]
+    if "x" in shape:
+        return "Point", [[[tuple(_numbers([shape["x"], shape["y"]]))]]]
+    kind, at = shape["type"], shape["coordinates"]
+    lift = {
+        "Point": lambda: [_runs([[at]])], "MultiPoint": lambda: [[r] for r in _runs([[v] for v in at])],
+        "LineString": lambda: [_runs([at])], "MultiLineString": lambda: [[r] for r in _runs(at)],
+        "Polygon": lambda: [_runs(at)], "MultiPolygon": lambda: [_runs(part) for part in at],
+    }
+    return kind, lift[kind]()
+
+
+def _check_rings(kind: str, parts: list) -> None:
+    for ring in (r for part in parts for r in part):
+        if kind.endswith("Polygon") and (len(ring) < 4 or ring[0] != ring[-1]) or kind.endswith("LineString") and len(ring) < 2:
+            raise ValueError("ring is not closed or line is too short")
+
+
+def _wkid(reference) -> int | None:
+    """Code in a spatial reference of a request: number, text, or object."""
+    if isinstance(reference, str):
+        try:
+            reference = json.loads(reference)
+        except ValueError:
+            pass
+    if isinstance(reference, dict):
+        inner = reference.get("spatialReference") or reference
+        return parse_integer(inner.get("latestWkid") or inner.get("wkid") or 0) or None
+    return parse_integer(reference) or None
+
+
+def filter_shape(shape: str | dict | list, srid: int, in_sr: str | int | dict | None = None) -> FilterShape:
+    """One request shape as literals in the layer's coordinates: `normalize_shapes` for a single value."""
     text = shape if isinstance(shape, str) else json.dumps(shape)
-    code = None if in_sr is None else in_sr if isinstance(in_sr, str) else json.dumps(in_sr)
-    one = spark.sql("SELECT CAST(:shape AS STRING) AS shape, CAST(:code AS STRING) AS code",
-                    args={"shape": text, "code": code or ""})
-    row = normalize_shapes(one, "shape", srid, "code").select("geom").first()
-    if row.geom is None or not row.geom.parts:
-        raise ValueError(f"Geometry filter cannot be read: {text[:200]}")
-    parts = [[[(v.x, v.y) for v in ring] for ring in part] for part in row.geom.parts]
-    return FilterShape(row.geom.type, same_system(srid), parts)
+    try:
+        try:
+            given = json.loads(text)
+        except ValueError:
+            given = [float(v) for v in text.split(",")]
+        kind, parts = _read_shape(given)
+        _check_rings(kind, parts)
+        if not any(ring for part in parts for ring in part):
+            raise ValueError("empty")
+    except (ValueError, KeyError, TypeError, IndexError):
+        raise ValueError(f"Geometry filter cannot be read: {text[:200]}") from None
+    own = given.get("spatialReference") if isinstance(given, dict) else None
+    if in_sr in (None, "") and isinstance(own, dict) and "wkt" in own and not (own.get("wkid") or own.get("latestWkid")):
+        raise ValueError("A WKT spatial reference is not supported; send a wkid")
+    code = (_wkid(in_sr) if in_sr not in (None, "") else None) or (_wkid(own) if own else None)
+    found = FilterShape(kind, same_system(srid), parts)
+    if code is None:
+        x0, y0, x1, y1 = found.bounds
+        wide = max(abs(x0), abs(x1)) > 360 or max(abs(y0), abs(y1)) > 90
+        code = 3857 if srid == 4326 and wide else srid
+    source, target = same_system(code), same_system(srid)
+    if source == target:
+        return found
+    moves = {(3857, 4326): point_to_degrees, (4326, 3857): point_to_mercator}
+    if (source, target) not in moves:
+        raise ValueError(f"No transform from SRID {source} to {target}")
+    move = moves[source, target]
+    return FilterShape(kind, target, [[[move(*v) for v in ring] for ring in part] for part in parts])

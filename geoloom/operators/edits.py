@@ -27,7 +27,7 @@ from geoloom.functions.times import coerce_time, is_time
 from geoloom.operators.projection import is_geometry
 from geoloom.plans.guard import MAX_SAFE_INTEGER
 from geoloom.plans.layer import Layer
-from geoloom.runtime import broadcast_if_small
+from geoloom.runtime import broadcast_if_small, checkpoint
 
 # Error codes of edit results.
 ROLLED_BACK, ADD_FAILED, DELETE_FAILED, UPDATE_FAILED = 1003, 1017, 1018, 1019
@@ -99,7 +99,11 @@ def _attribute_fields(layer: Layer) -> list[StructField]:
 
 
 def _read(layer: Layer, requests: DataFrame) -> DataFrame:
-    """Requests with lower-case attribute names, the id apart, the geometry decoded and wrapped."""
+    """Requests with lower-case attribute names, the id apart, the geometry decoded and wrapped.
+
+    Callers checkpoint the outcome: it feeds the rows, the results and the size
+    checks, and is parsed once for all of them.
+    """
     lowered = F.transform_keys(F.coalesce(F.from_json("attributes", _VALUES), F.create_map().cast(_VALUES)),
                                lambda k, _: F.lower(k))
     shape = F.when(F.col("geometry").isNotNull(), wrap_longitudes(parse_esri_json(F.col("geometry"), layer.srid)))
@@ -153,7 +157,7 @@ def run_adds(layer: Layer, adds: DataFrame) -> tuple[DataFrame, DataFrame]:
     new_id = F.lit(int(top)).cast("decimal(38,0)") + F.col("pos") + 1
     staged = _read(layer, adds).withColumn("_new", new_id)
     fault = F.coalesce(_fault(layer, "INSERT"), F.when(_unsafe(F.col("_new")), _unsafe_text(layer, F.col("_new"))))
-    staged = staged.withColumn("_fault", fault)
+    staged = checkpoint(staged.withColumn("_fault", fault))
     values = [_typed(_sent(f), f.dataType).cast(f.dataType).alias(f.name) for f in _attribute_fields(layer)]
     rows = staged.filter("_fault IS NULL").select(
         F.col("_new").cast(id_kind).alias(layer.id_field), *values, F.col("_shape").alias(layer.geometry))
@@ -177,7 +181,7 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
         .when(_unsafe(F.col("_key")), _unsafe_text(layer, F.col("_key")))
         .otherwise(_fault(layer, "UPDATE"))
     )
-    staged = staged.withColumn("_fault", fault)
+    staged = checkpoint(staged.withColumn("_fault", fault))
     runnable = staged.filter("_fault IS NULL").withColumn("_key", F.col("_key").cast("long"))
     named = runnable.select("_key", "pos", F.explode("_sent").alias("name", "value"))
     last = named.groupBy("_key", "name").agg(F.max_by(F.struct("value"), "pos").alias("last"))

@@ -92,7 +92,7 @@ def spatial_filter(df: DataFrame, shape: str | dict | list | FilterShape, spatia
                    geometry_type: str | None = None) -> DataFrame:
     """Rows whose geometry stands in the given relation to the shape; the column is the first argument."""
     if not isinstance(shape, FilterShape):
-        shape = filter_shape(df.sparkSession, shape, srid, in_sr)
+        shape = filter_shape(shape, srid, in_sr)
     return df.filter(matches(F.col(geom), shape, spatial_rel, strict, geometry_type))
 
 

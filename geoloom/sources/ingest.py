@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructType
 
 from geoloom.functions.decode import FORMATS, decode
-from geoloom.functions.geometry import BBOX, point, type_name, with_bounds
+from geoloom.functions.geometry import BBOX, bounds, let, point, type_name, with_column_once
 
 TABLE_NAME = re.compile(r"[A-Za-z0-9_]+(\.[A-Za-z0-9_]+){0,2}")
 
@@ -46,8 +46,22 @@ def decode_column(df: DataFrame, column: str, fmt: str | None = None, srid: int
 
 
 def with_geometry(df: DataFrame, column: str, fmt: str | None = None, srid: int = 4326, out: str = "geom") -> DataFrame:
-    """All rows with the decoded geometry and its box; rows that cannot be read keep a NULL geometry."""
-    return with_bounds(df.withColumn(out, decode_column(df, column, fmt, srid)), out)
+    """All rows with the decoded geometry and its box; rows that cannot be read keep a NULL geometry.
+
+    The value is decoded once per row, however many filters on the geometry and
+    its box follow.
+    """
+    decoded = decode_column(df, column, fmt, srid)
+    if resolve_format(df, column, fmt) in ("WKT", "GEOJSON", "ESRIJSON"):
+        staged = with_column_once(df, "_decoded", let(decoded, _boxed))
+    else:
+        staged = with_column_once(df.withColumn("_raw", decoded), "_decoded", _boxed(F.col("_raw"))).drop("_raw")
+    names = {out: "geom", **{c: c for c in BBOX}}
+    return staged.withColumns({name: F.col("_decoded")[field] for name, field in names.items()}).drop("_decoded")
+
+
+def _boxed(geom: Column) -> Column:
+    return F.struct(geom.alias("geom"), *[value.alias(name) for name, value in bounds(geom).items()])
 
 
 def ingest_geometry(df: DataFrame, column: str, fmt: str | None = None, srid: int = 4326,

@@ -73,15 +73,19 @@ def ingest_wkt_polygons(spark, sf_dir):
     return _shape_row(with_geometry(box_values(spark, sf_dir).withColumn("outline", text), "outline", "WKT", srid=3857))
 
 
-def polygon_wkb(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+def polygon_wkb(*sides: str) -> Column:
     """Stored test data: rectangles as WKB."""
-    rows = zip(*[a.to_pylist() for a in (x0, y0, x1, y1)])
-    return pa.array([struct.pack("<BIII10d", 1, 3, 1, 5, a, b, c, b, c, d, a, d, a, b) for a, b, c, d in rows], pa.binary())
+
+    def pack(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+        rows = zip(*[a.to_pylist() for a in (x0, y0, x1, y1)])
+        return pa.array([struct.pack("<BIII10d", 1, 3, 1, 5, a, b, c, b, c, d, a, d, a, b) for a, b, c, d in rows], pa.binary())
+
+    return F.arrow_udf(pack, "binary")(*sides)
 
 
 @case("a3_ingest_wkb", SHAPE_SQL.format(kind="Polygon", srid=4326, n=5))
 def ingest_wkb(spark, sf_dir):
-    stored = box_values(spark, sf_dir).withColumn("shape", F.arrow_udf(polygon_wkb, "binary")("x0", "y0", "x1", "y1"))
+    stored = box_values(spark, sf_dir).withColumn("shape", polygon_wkb("x0", "y0", "x1", "y1"))
     good, _ = ingest_geometry(stored, "shape")
     return _shape_row(good)
 
