@@ -55,12 +55,15 @@ def hex_polygon(cell: Column, resolution: int) -> Column:
     q, r = hex_axis(cell)
     cx = (q + r / 2) * (edge * _ROOT3)
     cy = r * (edge * 1.5)
-    corners = [(edge * math.cos(math.radians(60 * k - 30)), edge * math.sin(math.radians(60 * k - 30))) for k in range(6)]
-
-    def ring(c: Column) -> Column:
-        return F.array(*[vertex(*to_degrees(c["x"] + dx, c["y"] + dy)) for dx, dy in corners + corners[:1]])
-
-    return geometry(F.lit("Polygon"), F.lit(4326), F.array(F.array(let(F.struct(cx.alias("x"), cy.alias("y")), ring))))
+    # Pointy-top corners share three longitudes and four latitudes.
+    half = edge * _ROOT3 / 2
+    places = F.struct(
+        *[to_degrees(cx + d, cy)[0].alias(f"x{i}") for i, d in enumerate((-half, 0.0, half))],
+        *[to_degrees(cx, cy + d)[1].alias(f"y{i}") for i, d in enumerate((-edge, -edge / 2, edge / 2, edge))],
+    )
+    corners = ((2, 1), (2, 2), (1, 3), (0, 2), (0, 1), (1, 0), (2, 1))
+    return geometry(F.lit("Polygon"), F.lit(4326), F.array(F.array(let(
+        places, lambda p: F.array(*[vertex(p[f"x{i}"], p[f"y{j}"]) for i, j in corners])))))
 
 
 def morton(x: Column, y: Column, xmin: float = -180.0, ymin: float = -90.0, xmax: float = 180.0, ymax: float = 90.0) -> Column:

@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FORMATS = ("WKT", "WKB", "GEOJSON", "ESRIJSON", "GEOMETRY")
 
 _NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
-_POINT_TEXT = rf"(?is)^\s*POINT\s*(?:Z|M|ZM)?\s*\(\s*({_NUMBER})\s+({_NUMBER})(?:\s+{_NUMBER}){{0,2}}\s*\)\s*$"
+_POINT_TEXT = rf"(?is)^\s*POINT\s*(?:Z|M|ZM)?\s*\(\s*({_NUMBER}\s+{_NUMBER})(?:\s+{_NUMBER}){{0,2}}\s*\)\s*$"
 _TYPES_TEXT = "|".join(t.upper() for t in GEOMETRY_TYPES)
 _ANY_TEXT = rf"(?is)^\s*(?:SRID=(\d+);)?\s*({_TYPES_TEXT})\s*(?:\s(?:Z|M|ZM))?\s*(EMPTY|\([-+0-9.eE\s(),]+\))\s*$"
 
@@ -91,11 +91,15 @@ def parse_wkt(text: Column, srid: int | None = 4326) -> Column:
         F.when(own != "", own.try_cast("int")).otherwise(F.lit(srid).cast("int")).alias("srid"),
         F.regexp_replace(F.regexp_extract(text, _ANY_TEXT, 3), r"\s*([(),])\s*", "$1").alias("body"),
     )
-    general = let(head, lambda h: _checked(lambda _: h["kind"], h["srid"], parts(h["kind"], h["body"])))
-    x, y = (F.regexp_extract(text, _POINT_TEXT, i) for i in (1, 2))
-    quick = let(F.struct(x.try_cast("double").alias("x"), y.try_cast("double").alias("y")),
-                lambda v: F.when(F.abs(v["x"]) + F.abs(v["y"]) < F.lit(float("inf")), point(v["x"], v["y"], srid)))
-    return F.when(text.rlike(_POINT_TEXT), quick).when(text.rlike(_ANY_TEXT), general)
+    general = let(head, lambda h: F.when(h["kind"].isNotNull(), _checked(
+        lambda _: h["kind"], h["srid"], parts(h["kind"], h["body"]))))
+
+    def quick(pair: Column) -> Column:
+        return let(coordinate(pair), lambda v: F.when(
+            F.abs(v["x"]) + F.abs(v["y"]) < F.lit(float("inf")), point(v["x"], v["y"], srid)))
+
+    return F.when(text.isNotNull(), let(F.regexp_extract(text, _POINT_TEXT, 1), lambda pair: F.when(
+        pair != "", quick(pair)).otherwise(general)))
 
 
 def _nested(coordinates: Column, depth: int) -> Column:

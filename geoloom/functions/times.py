@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from datetime import datetime, timezone
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType,
 # Fixed value: largest epoch-millisecond magnitude a request may carry.
 MAX_EPOCH_MS = 8_640_000_000_000_000
 
+_DAY = 86_400_000
 _NUMERIC = r"^\s*-?\d+(\.\d+)?\s*$"
 
 
@@ -22,7 +22,14 @@ def is_time(kind: DataType) -> bool:
 
 def ntz_from_ms(ms: int) -> Column:
     """Zone-free timestamp of an epoch-millisecond value, whatever the session time zone."""
-    return F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {Decimal(ms) / 1000:f}BD)")
+    return ntz_from_epoch(F.lit(ms).cast("long"))
+
+
+def ntz_from_epoch(ms: Column) -> Column:
+    """The same for a column; days and the rest apart, so that the whole request range fits."""
+    rest = F.pmod(ms, F.lit(_DAY))
+    days, seconds = ((ms - rest) / _DAY).cast("int"), (rest.cast("decimal(10,0)") / 1000).cast("decimal(18,6)")
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds)
 
 
 def time_literal(ms: int, kind: DataType) -> Column:
@@ -72,14 +79,12 @@ def coerce_time(text: Column, kind: DataType) -> Column:
     if isinstance(kind, TimestampType):
         zoned = F.when(text.rlike(r"(?i)(z|[-+]\d\d:?\d\d)\s*$"), text).otherwise(F.concat(text, F.lit("Z")))
         return F.when(ms.isNotNull(), F.timestamp_millis(ms)).otherwise(zoned.try_cast("timestamp"))
-    moment = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (ms.cast("decimal(18,0)") / 1000).cast("decimal(18,6)"))
+    moment = ntz_from_epoch(ms)
     return F.when(ms.isNotNull(), moment.cast(kind)).otherwise(iso.try_cast("timestamp_ntz").cast(kind))
 
 
 def coerce_text(text: Column) -> Column:
     """Epoch-millisecond numbers as ISO-8601 text; everything else unchanged."""
     ms = F.when(is_epoch_text(text), text.try_cast("double").cast("long"))
-    moment = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (ms.cast("decimal(18,0)") / 1000).cast("decimal(18,6)"))
+    moment = ntz_from_epoch(ms)
     return F.when(ms.isNotNull(), F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).otherwise(text)

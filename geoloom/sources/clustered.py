@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from geoloom.functions.cells import morton
 from geoloom.functions.geometry import BBOX
@@ -35,4 +36,5 @@ def write_clustered_table(df: DataFrame, name: str, by: str, tie: str,
     """The same as a catalog table, with statistics for the planner."""
     spark: SparkSession = df.sparkSession
     clustered(df, by, tie, extent).write.partitionBy(by).format("parquet").saveAsTable(name)
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+    plain = [f"`{f.name}`" for f in df.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(plain)}")

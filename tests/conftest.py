@@ -11,7 +11,9 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.driver.memory", "4g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="geoloom-warehouse-"))
         .getOrCreate()
     )
