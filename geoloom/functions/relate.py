@@ -10,6 +10,7 @@ tests go in blocks so that two long outlines never form one large matrix.
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -26,6 +27,7 @@ I, B, E = 0, 1, 2
 MATRIX = ("ii", "ib", "ie", "bi", "bb", "be", "ei", "eb")
 RELATION_DDL = "struct<" + ",".join(f"{name}:int" for name in MATRIX) + ">"
 _BLOCK = 1_000_000
+_ROWS = 256
 _EPS = 3.3306690738754716e-16
 
 
@@ -276,13 +278,15 @@ def _answer(a: Shapes, b: Shapes) -> pa.Array:
 
 
 def relation(geom: Column, other: Column) -> Column:
-    """Relation table of two geometry columns."""
+    """Relation table of two geometry columns.
+
+    Decode stored text before (`with_geometry`), not inside the arguments.
+    """
 
     @F.arrow_udf(RELATION_DDL)
     def related(a: pa.Array, b: pa.Array) -> pa.Array:
-        if not len(a):
-            return _EMPTY
-        return _answer(Shapes.from_arrow(a), Shapes.from_arrow(b))
+        return _in_steps(len(a), _ROWS, lambda at, n: _answer(
+            Shapes.from_arrow(a.slice(at, n)), Shapes.from_arrow(b.slice(at, n))))
 
     return related(geom, other)
 
@@ -290,20 +294,21 @@ def relation(geom: Column, other: Column) -> Column:
 def relation_to(geom: Column, shape: tuple[str, list]) -> Column:
     """Relation table against one fixed shape (type, nested (x, y) parts), sent once with the function."""
     kind, parts = shape
+    nested = [[[{"x": x, "y": y} for x, y in ring] for ring in part] for part in parts]
+    vertex = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+    layout = pa.struct([("type", pa.string()), ("parts", pa.list_(pa.list_(pa.list_(vertex))))])
+    fixed = Shapes.from_arrow(pa.array([{"type": kind, "parts": nested}], layout))
+    step = max(1, min(4 * _ROWS, _BLOCK // max(1, fixed.size)))
 
     @F.arrow_udf(RELATION_DDL)
     def related(a: pa.Array) -> pa.Array:
-        nested = [[[{"x": x, "y": y} for x, y in ring] for ring in part] for part in parts]
-        one = pa.array([{"type": kind, "parts": nested}], pa.struct([
-            ("type", pa.string()),
-            ("parts", pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))),
-        ]))
-        fixed = Shapes.from_arrow(one)
-        step = max(1, _BLOCK // max(1, fixed.size))
-        answers = []
-        for at in range(0, len(a), step):
-            shapes = Shapes.from_arrow(a.slice(at, step))
-            answers.append(_answer(shapes, fixed.tile(len(shapes.dim))))
-        return pa.concat_arrays(answers) if answers else _EMPTY
+        return _in_steps(len(a), step, lambda at, n: _answer(
+            Shapes.from_arrow(a.slice(at, n)), fixed.tile(min(n, len(a) - at))))
 
     return related(geom)
+
+
+def _in_steps(rows: int, step: int, answer: Callable[[int, int], pa.Array]) -> pa.Array:
+    """A batch in slices, so that what is held at once depends on the slice and not on the batch."""
+    answers = [answer(at, step) for at in range(0, rows, step)]
+    return pa.concat_arrays(answers) if answers else _EMPTY

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions.crs import point_to_degrees, point_to_mercator, reproject, same_system
 from geoloom.functions.decode import ESRI_DDL, json_shape
-from geoloom.functions.geometry import bounds, box, geometry, let, point, with_bounds
+from geoloom.functions.geometry import bounds, box, geometry, let, point, with_bounds, with_column_once
 from geoloom.plans.guard import parse_integer
 
 _SPATIAL_REFERENCE_DDL = "wkid string, latestWkid string, spatialReference struct<wkid:string,latestWkid:string>"
@@ -72,11 +72,11 @@ def normalize_shapes(df: DataFrame, column: str, srid: int = 4326, in_sr: str |
     optional column that holds the spatial reference of each row.
     """
     text = F.col(column).cast("string")
-    staged = df.withColumn(out, parse_shape(text))
-    code = resolve_srid(text, F.col(out), srid, None if in_sr is None else F.col(in_sr))
-    shape = F.col(out)
-    staged = staged.withColumn(out, F.when(shape.isNotNull(), geometry(shape["type"], code, shape["parts"])))
-    return with_bounds(staged.withColumn(out, reproject(F.col(out), srid)), out)
+    shape = F.col("_shape")
+    code = resolve_srid(text, shape, srid, None if in_sr is None else F.col(in_sr))
+    placed = let(code, lambda c: F.when(shape.isNotNull(), geometry(shape["type"], c, shape["parts"])))
+    staged = with_column_once(df, "_shape", parse_shape(text))
+    return with_bounds(with_column_once(staged, out, reproject(placed, srid)).drop("_shape"), out)
 
 
 @dataclass(frozen=True)

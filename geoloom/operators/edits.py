@@ -22,7 +22,7 @@ from pyspark.sql.types import BooleanType, DataType, StringType, StructField
 
 from geoloom.functions.crs import wrap_longitudes
 from geoloom.functions.decode import parse_esri_json
-from geoloom.functions.geometry import BBOX, bounds
+from geoloom.functions.geometry import BBOX, bounds, vertices
 from geoloom.functions.times import coerce_time, is_time
 from geoloom.operators.projection import is_geometry
 from geoloom.plans.guard import MAX_SAFE_INTEGER
@@ -188,7 +188,7 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
     merged = last.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("name", "last.value"))).alias("_sent"))
     shapes = runnable.filter("_shape IS NOT NULL").groupBy("_key").agg(F.max_by("_shape", "pos").alias("_shape"))
     change = merged.join(shapes, "_key", "full").withColumn("_sent", F.coalesce("_sent", F.create_map().cast(_VALUES)))
-    change = broadcast_if_small(change)
+    change = broadcast_if_small(change, F.length(F.to_json("_sent")) + F.coalesce(F.size(vertices(F.col("_shape"))), F.lit(0)) * 16 + 100)
 
     found = base.join(change, F.col(id_field).cast("long") == F.col("_key"), "left")
     columns = []

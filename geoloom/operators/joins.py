@@ -20,6 +20,7 @@ from geoloom.runtime import BROADCAST_BYTES, checkpoint, fits
 _STEP = 4
 _LOWEST, _HIGHEST = -24, 40
 _HOT_PARTS = 1000
+_LONG = 500
 _SQUARE = ["_level", "_cx", "_cy"]
 _LEFT = tuple(f"_l{c}" for c in BBOX)
 _RIGHT = tuple(f"_r{c}" for c in BBOX)
@@ -29,16 +30,18 @@ def _box(names: tuple[str, ...]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
-def _own_level(names: tuple[str, ...]) -> Column:
+def _own_level(names: tuple[str, ...], geom: str) -> Column:
+    """Size of square for a geometry; long outlines take the next one, to be copied to four squares at most."""
     x0, y0, x1, y1 = _box(names)
     size = F.greatest(x1 - x0, y1 - y0, F.lit(2.0 ** _LOWEST))
-    level = F.ceil(F.log2(size) / _STEP) * _STEP - _STEP
+    finer = F.when(F.size(vertices(F.col(geom))) > _LONG, 0).otherwise(_STEP)
+    level = F.ceil(F.log2(size) / _STEP) * _STEP - finer
     return F.greatest(F.least(level, F.lit(_HIGHEST)), F.lit(_LOWEST)).cast("int")
 
 
-def _levels(df: DataFrame, names: tuple[str, ...]) -> list[int]:
+def _levels(df: DataFrame, names: tuple[str, ...], geom: str) -> list[int]:
     """Levels in use: at most one per step, 17 in all."""
-    return sorted(r.level for r in df.select(_own_level(names).alias("level")).distinct().collect())
+    return sorted(r.level for r in df.select(_own_level(names, geom).alias("level")).distinct().collect())
 
 
 def _prepare(left: DataFrame, right: DataFrame, right_geom: str) -> tuple[DataFrame, DataFrame, str, list[str]]:
@@ -55,15 +58,20 @@ def _listed(df: DataFrame, squares: Column) -> DataFrame:
     return df.withColumn("_square", F.explode(squares)).select("*", "_square.*").drop("_square")
 
 
-def _pairs(left: DataFrame, right: DataFrame, right_geom: str, broadcast_bytes: int) -> DataFrame:
+def _row_bytes(geom: str, squares: Column) -> Column:
+    """What the copies of one row weigh."""
+    return F.size(squares) * (F.size(vertices(F.col(geom))) * 16 + 300)
+
+
+def _pairs(left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
     """Equi-join on the square.
 
-    A right side whose measured size is small is broadcast and the left one is
-    not shuffled. Otherwise squares that hold more than a thousandth of the left
+    A right side of small measured size is broadcast and the left one is not
+    shuffled. Otherwise squares that hold more than a thousandth of the left
     rows (so at most a thousand) are split over several tasks and the right rows
     of those squares are copied to each.
     """
-    if fits(right, F.size(vertices(F.col(right_geom))) * 16 + 300, broadcast_bytes):
+    if small:
         return left.join(F.broadcast(right), _SQUARE)
     sizes = checkpoint(left.groupBy(*_SQUARE).agg(F.count(F.lit(1)).alias("_n")))
     share = (sizes.agg(F.sum("_n").alias("n")).first().n or 0) / _HOT_PARTS
@@ -98,11 +106,12 @@ def points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str = "
     r = r.filter(F.col(geom)["type"].endswith("Polygon"))
     x, y = F.col(_LEFT[0]), F.col(_LEFT[1])
     here = [F.struct(F.lit(v).alias("_level"), F.floor(x / 2.0 ** v).alias("_cx"), F.floor(y / 2.0 ** v).alias("_cy"))
-            for v in _levels(r, _RIGHT)]
+            for v in _levels(r, _RIGHT, geom)]
     if not here:
         return l.limit(0).join(r, F.lit(False)).select(*keep)
-    zone_squares = _listed(r, square_cells(*_box(_RIGHT), _own_level(_RIGHT)))
-    pairs = _pairs(_listed(l, F.array(*here)), zone_squares, geom, broadcast_bytes).filter(_boxes_meet())
+    squares = square_cells(*_box(_RIGHT), _own_level(_RIGHT, geom))
+    small = fits(r, _row_bytes(geom, squares), broadcast_bytes)
+    pairs = _pairs(_listed(l, F.array(*here)), _listed(r, squares), small).filter(_boxes_meet())
     return pairs.filter(point_place_in(x, y, F.col(geom)).isin(*wanted[name])).select(*keep)
 
 
@@ -115,13 +124,15 @@ def spatial_join(left: DataFrame, right: DataFrame, spatial_rel: str = "intersec
     with the lower left corner of what both boxes share.
     """
     l, r, geom, keep = _prepare(left, right, right_geom)
-    sizes = F.array(*[F.lit(v) for v in sorted({*_levels(l, _LEFT), *_levels(r, _RIGHT)})]).cast("array<int>")
+    sizes = F.array(*[F.lit(v) for v in sorted({*_levels(l, _LEFT, left_geom), *_levels(r, _RIGHT, geom)})]).cast("array<int>")
 
     def squares(names: tuple[str, ...], own: str) -> Column:
         return F.flatten(F.transform(F.filter(sizes, lambda v: v >= F.col(own)), lambda v: square_cells(*_box(names), v)))
 
-    l, r = l.withColumn("_left_own", _own_level(_LEFT)), r.withColumn("_right_own", _own_level(_RIGHT))
-    pairs = _pairs(_listed(l, squares(_LEFT, "_left_own")), _listed(r, squares(_RIGHT, "_right_own")), geom, broadcast_bytes)
+    l, r = l.withColumn("_left_own", _own_level(_LEFT, left_geom)), r.withColumn("_right_own", _own_level(_RIGHT, geom))
+    left_squares, right_squares = squares(_LEFT, "_left_own"), squares(_RIGHT, "_right_own")
+    small = fits(r, _row_bytes(geom, right_squares), broadcast_bytes)
+    pairs = _pairs(_listed(l, left_squares), _listed(r, right_squares), small)
     side = F.pow(F.lit(2.0), F.col("_level"))
     here = (
         (F.col("_level") == F.greatest("_left_own", "_right_own"))

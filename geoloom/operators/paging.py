@@ -76,7 +76,8 @@ def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, top_rows
         place = F.col("_position")
         cut = with_position(df, keys, "_position").filter((place >= offset) & (place < offset + size))
         rows = cut.orderBy(place).drop("_position")
-    total = df.agg(F.count(F.lit(1)).alias("n"))
+    # For a near page every task stops counting once it has seen enough.
+    total = (df.limit(offset + size + 1) if offset + size <= top_rows else df).agg(F.count(F.lit(1)).alias("n"))
     return Page(rows, total.select((F.col("n") > offset + size).alias("exceeded_transfer_limit")))
 
 

@@ -58,9 +58,14 @@ class FeatureQuery:
         return (self.result_type or "").lower() == "tile" and not self.result_offset
 
 
+def _needs_geometry(layer: Layer, q: FeatureQuery) -> bool:
+    shown = q.return_geometry and not q.return_ids_only and (not q.return_count_only or q.count_distinct)
+    return bool(q.geometry) or shown or layer.geometry.lower() in (q.where or "").lower()
+
+
 def filtered(layer: Layer, q: FeatureQuery) -> DataFrame:
     """All filters of a request, ANDed. None of them decodes or moves anything by itself."""
-    df = layer.df
+    df = layer.df if layer.plain is None or _needs_geometry(layer, q) else layer.plain
     if q.where:
         df = where_filter(df, q.where)
     df = time_filter(df, layer.time_field, q.time, layer.date_field)

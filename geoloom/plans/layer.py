@@ -18,7 +18,8 @@ class Layer:
     `df` holds the geometry struct in column `geometry` and its four box columns.
     `geometry_type="Point"` promises single points, which keeps every spatial
     test in the JVM. `date_field` names a partition column with the UTC date of
-    `time_field`.
+    `time_field`. `plain` holds the same rows before decoding; queries that need
+    no geometry read it instead.
     """
 
     df: DataFrame
@@ -33,6 +34,7 @@ class Layer:
     max_distinct: int = 1_000_000
     editable: bool = True
     name: str = "layer"
+    plain: DataFrame | None = None
 
     def __post_init__(self) -> None:
         for column in (self.id_field, self.geometry, self.time_field):
@@ -58,9 +60,9 @@ class Layer:
     def frame(df: DataFrame, geometry: str = "geometry", fmt: str | None = None, srid: int = 4326, **options) -> "Layer":
         """A layer over any DataFrame; already ingested tables (with box columns) are used as they are."""
         check_identifier(geometry)
-        if not set(BBOX) <= set(df.columns):
-            df = with_geometry(df, geometry, fmt, srid, out=geometry)
-        return Layer(df, geometry=geometry, srid=srid, **options)
+        if set(BBOX) <= set(df.columns):
+            return Layer(df, geometry=geometry, srid=srid, **options)
+        return Layer(with_geometry(df, geometry, fmt, srid, out=geometry), geometry=geometry, srid=srid, plain=df, **options)
 
     @staticmethod
     def points(df: DataFrame, lon: str, lat: str, srid: int = 4326, geometry: str = "geom", **options) -> "Layer":
@@ -69,7 +71,7 @@ class Layer:
 
     def over(self, df: DataFrame) -> "Layer":
         """The same layer over other rows."""
-        return replace(self, df=df)
+        return replace(self, df=df, plain=None)
 
     def query(self, request=None, **parameters) -> DataFrame:
         """Rows for a FeatureQuery, a dict of request parameters, or keyword parameters."""

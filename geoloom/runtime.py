@@ -47,6 +47,10 @@ def fits(df: DataFrame, weight: Column | None = None, limit: int = BROADCAST_ROW
     return df.agg(measure.alias("size")).first().size <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow table for broadcast when its counted rows allow it; otherwise Spark joins by shuffle."""
-    return F.broadcast(df) if fits(df, limit=limit) else df
+def broadcast_if_small(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """Mark a table for broadcast when its measured size allows it; otherwise Spark joins by shuffle.
+
+    Tables of fixed-width keys are counted; others give the bytes of a row as `weight`.
+    """
+    small = fits(df) if weight is None else fits(df, weight, BROADCAST_BYTES)
+    return F.broadcast(df) if small else df

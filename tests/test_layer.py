@@ -44,6 +44,16 @@ def test_catalog_table_layer(spark, sf_dir):
     assert got == text.filter("lon BETWEEN -60 AND 60 AND lat BETWEEN -30 AND 30").count()
 
 
+def test_text_is_not_decoded_when_no_geometry_is_needed(spark, sf_dir):
+    text = positions(spark, sf_dir).withColumn("shape", F.concat(F.lit("POINT("), "lon", F.lit(" "), "lat", F.lit(")")))
+    layer = Layer.frame(text, "shape", id_field="oid")
+    for q in (dict(return_count_only=True, where="speed > 1"), dict(return_ids_only=True), dict(out_fields="*", return_geometry=False),
+              dict(return_distinct_values=True, out_fields="event_type", return_geometry=False)):
+        assert "Generate" not in plan_of(layer.query(**q)), q
+    assert "Generate" in plan_of(layer.query(out_fields="oid")) and "shape" not in layer.query(out_fields="*", return_geometry=False).columns
+    assert layer.query(return_count_only=True, where="shape IS NOT NULL").first()[0] == 1000
+
+
 def test_precedence(layer):
     everything = dict(return_count_only=True, return_ids_only=True, return_distinct_values=True, out_fields="event_type", return_geometry=False)
     assert layer.query(**everything).columns == ["count"]

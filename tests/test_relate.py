@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom.functions.decode import parse_wkt
-from geoloom.functions.geometry import with_bounds
+from geoloom.functions.geometry import with_bounds, with_column_once
 from geoloom.functions.predicates import RELATIONS, matches, matches_column
 from geoloom.functions.relate import MATRIX, relation, relation_to
 from geoloom.functions.shapes import FilterShape
@@ -37,9 +37,14 @@ def expected(jts, a, b):
     return tuple(matrix_of(c) for c in text[:8])
 
 
+def decoded(df):
+    """Texts a and b as geometries g and h."""
+    return with_column_once(with_column_once(df, "g", parse_wkt(F.col("a"))), "h", parse_wkt(F.col("b")))
+
+
 def found(spark, pairs):
-    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string").repartition(4)
-    out = df.select("i", relation(parse_wkt(F.col("a")), parse_wkt(F.col("b"))).alias("m")).select("i", "m.*").collect()
+    df = decoded(spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string").repartition(4))
+    out = df.select("i", relation(F.col("g"), F.col("h")).alias("m")).select("i", "m.*").collect()
     by_row = {r.i: tuple(r[c] for c in MATRIX) for r in out}
     return [by_row[i] for i in range(len(pairs))]
 
@@ -124,15 +129,15 @@ def _crosses_rewrite(jts, a, b):
 
 def test_overlaps_default_keeps_the_wider_meaning(spark):
     """Two lines that cross in one point: overlap by the default rule, not by the strict one."""
-    df = spark.createDataFrame([("LINESTRING(0 0, 10 10)", "LINESTRING(0 10, 10 0)")], "a string, b string")
-    a, b = parse_wkt(F.col("a")), parse_wkt(F.col("b"))
+    df = decoded(spark.createDataFrame([("LINESTRING(0 0, 10 10)", "LINESTRING(0 10, 10 0)")], "a string, b string"))
+    a, b = F.col("g"), F.col("h")
     row = df.select(matches_column(a, b, "overlaps").alias("wide"), matches_column(a, b, "overlaps", True).alias("strict")).first()
     assert (row.wide, row.strict) == (True, False)
 
 
 def test_missing_geometry_gives_no_relation(spark):
-    df = spark.createDataFrame([("POINT(1 1)", None), ("POINT EMPTY", "POINT(1 1)")], "a string, b string")
-    rows = df.select(relation(parse_wkt(F.col("a")), parse_wkt(F.col("b"))).alias("m")).collect()
+    df = decoded(spark.createDataFrame([("POINT(1 1)", None), ("POINT EMPTY", "POINT(1 1)")], "a string, b string"))
+    rows = df.select(relation(F.col("g"), F.col("h")).alias("m")).collect()
     assert [r.m for r in rows] == [None, None]
 
 
@@ -148,8 +153,7 @@ def test_long_outlines_go_through_in_blocks(spark, jts):
 
 
 def test_fixed_shape_and_column_agree(spark):
-    df = spark.createDataFrame([(a,) for a in FIXED], "a string").withColumn("g", parse_wkt(F.col("a")))
-    shape = _filter_shape(df.filter(F.col("a") == FIXED[25]).first().g)
-    other = parse_wkt(F.lit(FIXED[25]))
-    rows = df.select(relation_to(F.col("g"), (shape.kind, shape.parts)).alias("x"), relation(F.col("g"), other).alias("y")).collect()
+    df = decoded(spark.createDataFrame([(a, FIXED[25]) for a in FIXED], "a string, b string"))
+    shape = _filter_shape(df.first().h)
+    rows = df.select(relation_to(F.col("g"), (shape.kind, shape.parts)).alias("x"), relation(F.col("g"), F.col("h")).alias("y")).collect()
     assert all(r.x == r.y for r in rows)
