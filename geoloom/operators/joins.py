@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import AtomicType, VariantType
 
 from geoloom.functions.cells import square_cells
 from geoloom.functions.geometry import BBOX, vertices
@@ -63,20 +63,21 @@ def _row_bytes(geom: str, squares: Column) -> Column:
     return F.size(squares) * (F.size(vertices(F.col(geom))) * 16 + 300)
 
 
-def _pairs(left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, small: bool, spread_by: list[str] | None) -> DataFrame:
     """Equi-join on the square.
 
     A right side of small measured size is broadcast and the left one is not
     shuffled. Otherwise squares that hold more than a thousandth of the left
     rows (so at most a thousand) are split over several tasks and the right rows
-    of those squares are copied to each.
+    of those squares are copied to each. Left rows are spread by a hash of
+    `spread_by`, by default of all columns with plain values.
     """
     if small:
         return left.join(F.broadcast(right), _SQUARE)
     sizes = checkpoint(left.groupBy(*_SQUARE).agg(F.count(F.lit(1)).alias("_n")))
     share = (sizes.agg(F.sum("_n").alias("n")).first().n or 0) / _HOT_PARTS
     hot = sizes.filter(F.col("_n") > share).select(*_SQUARE, F.ceil(F.col("_n") / share).cast("int").alias("_splits"))
-    hashed = [F.col(f.name) for f in left.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    hashed = spread_by or [f.name for f in left.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
     splits = F.coalesce(F.col("_splits"), F.lit(1))
     salted = left.join(F.broadcast(hot), _SQUARE, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*hashed), splits).cast("int")).drop("_splits")
@@ -92,7 +93,7 @@ def _boxes_meet() -> Column:
 
 
 def points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str = "within", zone_geom: str = "geom",
-                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                       broadcast_bytes: int = BROADCAST_BYTES, spread_by: list[str] | None = None) -> DataFrame:
     """All (point, zone) pairs with the point within, touching or intersecting the zone.
 
     A point lies in one square per level, so each pair meets exactly once. The
@@ -111,12 +112,13 @@ def points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str = "
         return l.limit(0).join(r, F.lit(False)).select(*keep)
     squares = square_cells(*_box(_RIGHT), _own_level(_RIGHT, geom))
     small = fits(r, _row_bytes(geom, squares), broadcast_bytes)
-    pairs = _pairs(_listed(l, F.array(*here)), _listed(r, squares), small).filter(_boxes_meet())
+    pairs = _pairs(_listed(l, F.array(*here)), _listed(r, squares), small, spread_by).filter(_boxes_meet())
     return pairs.filter(point_place_in(x, y, F.col(geom)).isin(*wanted[name])).select(*keep)
 
 
 def spatial_join(left: DataFrame, right: DataFrame, spatial_rel: str = "intersects", left_geom: str = "geom",
-                 right_geom: str = "geom", strict: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                 right_geom: str = "geom", strict: bool = False, broadcast_bytes: int = BROADCAST_BYTES,
+                 spread_by: list[str] | None = None) -> DataFrame:
     """All pairs of geometries of any type in the relation, each once.
 
     Besides its own squares a geometry is listed under those of every coarser
@@ -132,7 +134,7 @@ def spatial_join(left: DataFrame, right: DataFrame, spatial_rel: str = "intersec
     l, r = l.withColumn("_left_own", _own_level(_LEFT, left_geom)), r.withColumn("_right_own", _own_level(_RIGHT, geom))
     left_squares, right_squares = squares(_LEFT, "_left_own"), squares(_RIGHT, "_right_own")
     small = fits(r, _row_bytes(geom, right_squares), broadcast_bytes)
-    pairs = _pairs(_listed(l, left_squares), _listed(r, right_squares), small)
+    pairs = _pairs(_listed(l, left_squares), _listed(r, right_squares), small, spread_by)
     side = F.pow(F.lit(2.0), F.col("_level"))
     here = (
         (F.col("_level") == F.greatest("_left_own", "_right_own"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructType, VariantType
 
 from geoloom.functions.crs import unwrap_dateline
-from geoloom.functions.geometry import BBOX, as_ewkt
+from geoloom.functions.geometry import BBOX, as_ewkt, with_column_once
 from geoloom.plans.guard import check_field
 
 
@@ -49,9 +49,15 @@ def project(df: DataFrame, out_fields: str, id_field: str, geom: str = "geom", r
     return df.select(*names, *([geom] if return_geometry else []))
 
 
-def display_geometry(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """Geometry as clients draw it: shapes across the dateline are unwrapped. Filters use the stored form."""
-    return df.withColumn(geom, unwrap_dateline(F.col(geom))) if geom in df.columns else df
+def display_geometry(df: DataFrame, geom: str = "geom", after_sort: bool = False) -> DataFrame:
+    """Geometry as clients draw it: shapes across the dateline are unwrapped. Filters use the stored form.
+
+    Spark moves projections below a limit, and with more than one of them no
+    longer sees that a sorted page only needs its best rows. `after_sort` keeps
+    the work above the page; an unsorted sample streams and needs no such care.
+    """
+    shown = unwrap_dateline(F.col(geom))
+    return with_column_once(df, geom, shown) if after_sort else df.withColumn(geom, shown)
 
 
 def _plain(name: str, kind: DataType) -> Column:

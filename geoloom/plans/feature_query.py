@@ -8,7 +8,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame
 
 from geoloom.operators.filters import drop_unusable_ids, id_filter, spatial_filter, time_filter, where_filter
-from geoloom.operators.paging import Page, count_rows, distinct_values, ids_only, page, page_size, sample_page, sort_columns
+from geoloom.operators.paging import TOP_ROWS, Page, count_rows, distinct_values, ids_only, page, page_size, sample_page, sort_columns
 from geoloom.operators.projection import display_geometry, project, selected_fields
 from geoloom.plans.guard import parse_integer
 from geoloom.plans.layer import Layer
@@ -81,15 +81,27 @@ def feature_page(layer: Layer, q: FeatureQuery) -> Page:
     df = filtered(layer, q)
     size = page_size(q.result_record_count, layer.max_record_count)
     if q.tile:
+        keys = []
         cut = Page(sample_page(df, size), page(df, [], size).exceeded)
     else:
         paged = q.result_offset > 0 or q.result_record_count is not None or q.order_by_fields
-        cut = page(df, sort_columns(df, q.order_by_fields, layer.id_field) if paged else [], size, q.result_offset)
+        keys = sort_columns(df, q.order_by_fields, layer.id_field) if paged else []
+        if q.result_offset + size > TOP_ROWS:
+            df = df.select(*_read_fields(layer, q))
+        cut = page(df, keys, size, q.result_offset)
     rows = drop_unusable_ids(cut.rows, layer.id_field) if q.drop_unusable_ids else cut.rows
-    shown = display_geometry(rows, layer.geometry) if q.return_geometry else rows
+    shown = display_geometry(rows, layer.geometry, after_sort=bool(keys)) if q.return_geometry else rows
     return Page(project(shown, q.out_fields, layer.id_field, layer.geometry, q.return_geometry), cut.exceeded)
 
 
+def _read_fields(layer: Layer, q: FeatureQuery) -> list[str]:
+    """Columns a far page has to carry: what is shown, what it is sorted by, and the id."""
+    shown = selected_fields(layer.df, q.out_fields, layer.id_field, layer.geometry)
+    sorted_by = {word.split()[0].lower() for word in (q.order_by_fields or "").split(",") if word.split()}
+    keys = [c for c in layer.df.columns if c.lower() in sorted_by and c not in shown]
+    return [*shown, *keys, *([layer.geometry] if q.return_geometry else [])]
+
+
 def _distinct_fields(layer: Layer, q: FeatureQuery) -> list[str]:
     names = selected_fields(layer.df, q.out_fields, layer.id_field, layer.geometry, add_id=False)
     return [*names, layer.geometry] if q.return_geometry else names

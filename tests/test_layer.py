@@ -183,6 +183,24 @@ def test_tile_pages_do_not_sort(stored):
     assert "TakeOrderedAndProject" in paged and "Exchange" not in paged
 
 
+def test_sorted_pages_keep_only_their_best_rows(stored):
+    """Also when costly columns follow, the page is cut by a top-n and not by a sort of all rows."""
+    from geoloom.functions.geometry import as_geojson, as_wkt
+    rows = stored.query(order_by_fields="speed", result_record_count=10)
+    plan = plan_of(rows.select("oid", as_geojson(F.col("geom")).alias("g"), as_wkt(F.col("geom")).alias("w")))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_far_pages_carry_only_what_they_show(stored, monkeypatch):
+    import geoloom.plans.feature_query as fq
+    import geoloom.operators.paging as paging
+    expected = [r.oid for r in stored.query(order_by_fields="speed DESC", result_offset=500, result_record_count=20, out_fields="oid", return_geometry=False).collect()]
+    monkeypatch.setattr(fq, "TOP_ROWS", 0)
+    monkeypatch.setattr(paging.page, "__defaults__", (0, 0))
+    far = stored.query(order_by_fields="speed DESC", result_offset=500, result_record_count=20, out_fields="oid", return_geometry=False)
+    assert [r.oid for r in far.collect()] == expected and "geom" not in plan_of(far)
+
+
 def test_only_undecided_shapes_leave_the_jvm(spark, sf_dir):
     from geoloom.operators.filters import spatial_filter
     plan = plan_of(spatial_filter(boxes(spark, sf_dir), "-60,-30,60,30").select("oid"))
