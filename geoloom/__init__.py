@@ -6,6 +6,7 @@ joined and edited, all as lazy DataFrames.
 """
 
 from geoloom.functions.crs import reproject, unwrap_dateline, wrap_longitudes
+from geoloom.functions.predicates import st_contains, st_crosses, st_intersects, st_overlaps, st_touches, st_within
 from geoloom.functions.shapes import filter_shape, normalize_shapes
 from geoloom.operators.aggregates import (
     cell_bins, daily_tracks, id_audit, layer_extent, roll_up, table_profile, time_extent,
@@ -24,6 +25,7 @@ __all__ = [
     "FeatureQuery", "Layer", "apply_edits", "assign_ids", "cell_bins", "daily_tracks", "deletes_from", "discover_columns",
     "export_features", "feature_page", "filter_shape", "id_audit", "ingest_geometry", "latest_per_entity", "layer_extent",
     "minimum_scale", "normalize_shapes", "points_in_polygons", "profile_geometry", "refresh_catalog", "reproject",
-    "requests_from", "roll_up", "spatial_join", "table_profile", "time_extent", "unwrap_dateline", "with_point",
+    "requests_from", "roll_up", "spatial_join", "st_contains", "st_crosses", "st_intersects",
+    "st_overlaps", "st_touches", "st_within", "table_profile", "time_extent", "unwrap_dateline", "with_point",
     "wrap_longitudes", "write_clustered", "write_clustered_table",
 ]

@@ -167,6 +167,30 @@ def matches_column(geom: Column, other: Column, spatial_rel: str = "intersects",
     return _from_table(name, relation(geom, other), dimension(geom), dimension(other), strict)
 
 
+def st_intersects(a: Column, b: Column) -> Column:
+    return matches_column(a, b, "intersects")
+
+
+def st_contains(a: Column, b: Column) -> Column:
+    return matches_column(a, b, "contains")
+
+
+def st_within(a: Column, b: Column) -> Column:
+    return matches_column(a, b, "within")
+
+
+def st_touches(a: Column, b: Column) -> Column:
+    return matches_column(a, b, "touches")
+
+
+def st_overlaps(a: Column, b: Column, strict: bool = False) -> Column:
+    return matches_column(a, b, "overlaps", strict)
+
+
+def st_crosses(a: Column, b: Column) -> Column:
+    return matches_column(a, b, "crosses")
+
+
 def point_place_in(x: Column, y: Column, polygon: Column) -> Column:
     """2 inside, 1 on the boundary, 0 outside, for a point against a polygon column."""
 

@@ -47,11 +47,19 @@ def time_literal(ms: int, kind: DataType) -> Column:
 
 
 def epoch_ms(column: Column, kind: DataType) -> Column:
-    """Epoch milliseconds; dates and zone-free timestamps are read as UTC."""
+    """Epoch milliseconds; dates and zone-free timestamps are read as UTC, whatever the session time zone."""
     if isinstance(kind, TimestampType):
         return F.unix_millis(column)
-    origin = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    return F.timestamp_diff("MILLISECOND", origin, column.cast("timestamp_ntz"))
+    if isinstance(kind, DateType):
+        return F.unix_date(column).cast("long") * _DAY
+    minutes = (F.hour(column) * 60 + F.minute(column)).cast("long")
+    rest = F.floor(F.extract(F.lit("SECOND"), column) * 1000).cast("long")
+    return F.unix_date(column.cast("date")).cast("long") * _DAY + minutes * 60_000 + rest
+
+
+def utc_date(column: Column, kind: DataType) -> Column:
+    """Day of a time value in UTC."""
+    return ntz_from_epoch(F.unix_millis(column)).cast("date") if isinstance(kind, TimestampType) else column.cast("date")
 
 
 def parse_instant(text: str) -> int | None:

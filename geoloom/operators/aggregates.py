@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions.cells import hex_cell, hex_polygon
 from geoloom.functions.geometry import BBOX, geometry, vertex
-from geoloom.functions.times import epoch_ms
+from geoloom.functions.times import epoch_ms, utc_date
 from geoloom.operators.ranking import with_position
 from geoloom.plans.guard import MAX_SAFE_INTEGER
 from geoloom.runtime import broadcast_if_small
@@ -86,7 +86,7 @@ def daily_tracks(df: DataFrame, entity: str, time: str, lon: str, lat: str, spee
     keys = ["entity", "track_date"]
     order = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate([time, *([tie] if tie else []), lon, lat])])
     rows = kept.select(
-        F.col(entity).alias("entity"), F.to_date(F.col(time)).alias("track_date"), F.col(time).alias("_time"),
+        F.col(entity).alias("entity"), utc_date(F.col(time), _kind(df, time)).alias("track_date"), F.col(time).alias("_time"),
         F.struct(order.alias("key"), vertex(F.col(lon), F.col(lat)).alias("at")).alias("_stop"),
         *([F.col(speed).alias("_speed")] if speed else []), *([F.col(name).alias("_name")] if name else []),
     )

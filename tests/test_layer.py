@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom import FeatureQuery, Layer, feature_page, write_clustered
+from geoloom import FeatureQuery, Layer, daily_tracks, feature_page, time_extent, write_clustered
 from geoloom.operators.filters import distance_filter, id_filter, time_filter
 from geoloom.operators.paging import TooManyRows, page, page_size, sort_columns
 from geoloom.operators.projection import project, selected_fields
@@ -151,11 +151,16 @@ def test_time_forms(spark):
 
 
 def test_time_does_not_depend_on_the_session_zone(spark):
-    df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS t, timestamp'2024-01-01 00:00:00Z' AS z")
+    df = spark.sql("SELECT timestamp_ntz'2024-07-01 00:30:00.1239' AS t, timestamp'2024-07-01 00:30:00.1239Z' AS z, date'2024-07-01' AS d, 5L AS i, 1e0 AS x, 2e0 AS y")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         for column in ("t", "z"):
-            assert time_filter(df, column, "1704067200000").count() == 1
+            assert time_filter(df, column, "1719793800123,1719793800124").count() == 1
+            assert tuple(time_extent(df, column).first()) == (1719793800123, 1719793800123)
+            assert str(daily_tracks(df, "i", column, "x", "y").first().track_date) == "2024-07-01"
+        assert time_extent(df, "d").first().t0 == 1719792000000
+        early = spark.sql("SELECT timestamp_ntz'1969-12-31 23:59:59.9995' AS t")
+        assert time_extent(early, "t").first().t0 == -1
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

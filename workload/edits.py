@@ -177,7 +177,7 @@ def coerced(spark, sf_dir):
 
 @case("f_edit_sequence", f"""
 WITH {BASE}, {ADDED}, everything AS (SELECT o_orderkey FROM base UNION ALL SELECT o_orderkey FROM added)
-SELECT count(*) AS n, sum(o_orderkey) AS keys FROM everything WHERE o_orderkey NOT IN {DELETED}
+SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM everything WHERE o_orderkey NOT IN {DELETED}
 """)
 def edit_sequence(spark, sf_dir):
     """Adds, updates and deletes of one batch, each on the outcome of the step before."""

@@ -170,7 +170,7 @@ def export_wkt(spark, sf_dir):
 
 
 @case("a10_quarantine", """
-SELECT event_type, count(*) AS n_rows, count_if(event_type = 'signup') AS n_unreadable, count_if(event_type IN ('signup', 'error')) AS n_without
+SELECT event_type, count(*) AS n_rows, CAST(count_if(event_type = 'signup') AS BIGINT) AS n_unreadable, CAST(count_if(event_type IN ('signup', 'error')) AS BIGINT) AS n_without
 FROM events GROUP BY 1
 """)
 def quarantined(spark, sf_dir):
@@ -182,7 +182,7 @@ def quarantined(spark, sf_dir):
 
 
 @case("a11_clustered_write", WITH + """
-SELECT strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS n, sum(oid) AS oids, round(sum(lon), 4) AS lons, round(sum(lat), 4) AS lats
+SELECT strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS n, CAST(sum(oid) AS BIGINT) AS oids, round(sum(lon), 4) AS lons, round(sum(lat), 4) AS lats
 FROM positions GROUP BY 1
 """)
 def clustered_write(spark, sf_dir):
