@@ -71,7 +71,7 @@ def filtered(layer: Layer, q: FeatureQuery) -> DataFrame:
     df = time_filter(df, layer.time_field, q.time, layer.date_field)
     if q.geometry:
         df = spatial_filter(df, q.geometry, q.spatial_rel, layer.geometry, layer.srid, q.in_sr, q.strict, layer.geometry_type)
-    if q.object_ids is not None:
+    if q.object_ids is not None and not (isinstance(q.object_ids, str) and not q.object_ids.strip()):
         df = id_filter(df, layer.id_field, q.object_ids)
     return df
 
