@@ -27,7 +27,7 @@ from geoloom.functions.times import coerce_time, is_time
 from geoloom.operators.projection import is_geometry
 from geoloom.plans.guard import MAX_SAFE_INTEGER
 from geoloom.plans.layer import Layer
-from geoloom.runtime import broadcast_if_small, checkpoint
+from geoloom.runtime import broadcast_if_small, checkpoint, fits
 
 # Error codes of edit results.
 ROLLED_BACK, ADD_FAILED, DELETE_FAILED, UPDATE_FAILED = 1003, 1017, 1018, 1019
@@ -150,6 +150,16 @@ def _unsafe_text(layer: Layer, number: Column) -> Column:
     return F.concat(F.lit(f"{layer.id_field}="), number.cast("string"), F.lit(" is above 2^53 - 1 and cannot be carried exactly"))
 
 
+def _found(base: DataFrame, id_field: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The named ids without repeats, and those of them that the table has; both broadcast if they are few."""
+    keys = keys.distinct()
+    few = fits(keys)
+    keys = F.broadcast(keys) if few else keys
+    ids = base.select(F.col(id_field).cast("long").alias("_key")).join(keys, "_key", "left_semi").distinct()
+    present = ids.withColumn("_present", F.lit(True))
+    return keys, F.broadcast(present) if few else present
+
+
 def run_adds(layer: Layer, adds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New rows and results. Ids go on from the largest one in request order; a sent id is ignored."""
     id_kind = layer.df.schema[layer.id_field].dataType
@@ -204,8 +214,7 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
             hit = F.coalesce(_is_sent(f), F.lit(False))
             columns.append(F.when(hit, _typed(_sent(f), f.dataType)).otherwise(old).alias(f.name))
 
-    present = base.select(F.col(id_field).cast("long").alias("_key")).join(
-        broadcast_if_small(runnable.select("_key").distinct()), "_key", "left_semi").distinct().withColumn("_present", F.lit(True))
+    _, present = _found(base, id_field, runnable.select("_key"))
     keyed = staged.withColumn("_key", F.when(~_unsafe(F.col("_key")), F.col("_key")).cast("long"))
     checked = keyed.join(present, "_key", "left").withColumn("_fault", F.coalesce("_fault", F.when(
         F.col("_present").isNull(), F.concat(F.lit(f"Feature with {id_field}="), F.col("_key").cast("string"), F.lit(" not found")))))
@@ -221,9 +230,8 @@ def run_deletes(layer: Layer, deletes: DataFrame) -> tuple[DataFrame, DataFrame]
         F.col("_number").isNull(), F.concat(F.lit(f"Invalid {id_field} "), F.col("id"), F.lit(": not an integer"))
     ).when(_unsafe(F.col("_number")), _unsafe_text(layer, F.col("_number"))))
     named = named.withColumn("_key", F.when(F.col("_fault").isNull(), F.col("_number")).cast("long"))
-    wanted = broadcast_if_small(named.filter("_key IS NOT NULL").select("_key").distinct())
+    wanted, present = _found(base, id_field, named.filter("_key IS NOT NULL").select("_key"))
     key = F.col(id_field).cast("long")
-    present = base.select(key.alias("_key")).join(wanted, "_key", "left_semi").distinct().withColumn("_present", F.lit(True))
     checked = named.join(present, "_key", "left").withColumn("_fault", F.coalesce("_fault", F.when(
         F.col("_present").isNull(), F.concat(F.lit(f"Feature with {id_field}="), F.col("_key").cast("string"), F.lit(" not found")))))
     results = checked.withColumn("object_id", F.col("_number")).select(*_result("delete", DELETE_FAILED))

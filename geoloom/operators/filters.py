@@ -9,7 +9,7 @@ from geoloom.functions.predicates import matches
 from geoloom.functions.shapes import FilterShape, filter_shape
 from geoloom.functions.times import parse_instant, time_literal
 from geoloom.plans.guard import check_where, parse_ids
-from geoloom.runtime import broadcast_if_small
+from geoloom.runtime import fits
 
 INLINE_IDS = 1000
 
@@ -34,7 +34,8 @@ def id_filter(df: DataFrame, id_field: str, ids: str | list[int] | DataFrame) ->
         return df.filter(F.col(id_field).isin(ids))
     else:
         wanted = df.sparkSession.createDataFrame([(int(i),) for i in ids], "_wanted long")
-    wanted = broadcast_if_small(wanted)
+    # A repeated id must not gather its copies in one task of a shuffled join.
+    wanted = F.broadcast(wanted) if fits(wanted) else wanted.distinct()
     return df.join(wanted, F.col(id_field) == F.col("_wanted"), "left_semi")
 
 

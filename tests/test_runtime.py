@@ -30,7 +30,6 @@ def test_a_cluster_without_one_is_an_error():
 def test_checkpoints_are_reliable_and_cut_the_plan(spark):
     df = checkpoint(spark.range(100).withColumn("x", F.col("id") * 2))
     assert "Scan ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
-    assert df._jdf.rdd().isCheckpointed() or df.rdd.getNumPartitions() > 0
     assert df.agg(F.sum("x")).first()[0] == 9900
 
 
@@ -49,7 +48,8 @@ def test_long_id_lists_join_without_broadcast_when_large(spark, monkeypatch):
     monkeypatch.setattr(runtime.fits, "__defaults__", (None, 10))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        kept = id_filter(spark.range(10_000), "id", spark.range(0, 20_000, 7))
+        wanted = spark.range(0, 20_000, 7).unionAll(spark.range(3000).select(F.lit(7).alias("id")))
+        kept = id_filter(spark.range(10_000), "id", wanted)
         assert "SortMergeJoin" in kept._jdf.queryExecution().executedPlan().toString() and kept.count() == 1429
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
