@@ -34,11 +34,12 @@ def hex_cell(lon: Column, lat: Column, resolution: int) -> Column:
     my = F.greatest(F.least(my, F.lit(WEB_MERCATOR_MAX)), F.lit(-WEB_MERCATOR_MAX))
     q0 = (mx * (_ROOT3 / 3) - my / 3) / edge
     r0 = my * (2 / 3) / edge
-    s0 = -q0 - r0
-    q, r, s = F.round(q0), F.round(r0), F.round(s0)
-    dq, dr, ds = F.abs(q - q0), F.abs(r - r0), F.abs(s - s0)
-    qq = F.when((dq > dr) & (dq > ds), -r - s).otherwise(q)
-    rr = F.when((dr > ds) & ~((dq > dr) & (dq > ds)), -q - s).otherwise(r)
+    q, r = F.rint(q0), F.rint(r0)
+    dq, dr = q0 - q, r0 - r
+    # The rounded pair is the nearest centre or next to it, along the axis that was rounded further.
+    along_q = (F.abs(dq) >= F.abs(dr)).cast("double")
+    qq = q + along_q * F.rint(dq + dr / 2)
+    rr = r + (1 - along_q) * F.rint(dr + dq / 2)
     return (F.lit(resolution).cast("long") * (1 << 58)
             + (qq.cast("long") + _SHIFT) * (1 << 29) + rr.cast("long") + _SHIFT)
 

@@ -7,6 +7,8 @@ leave the answer open.
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -27,7 +29,8 @@ RELATIONS = {
     "esriSpatialRelCrosses": "crosses",
 }
 
-_UNROLL = 64
+_UNROLL = 8
+_ON = 1 << 24  # share of an edge that the point lies on: even, and more than any number of crossings
 
 
 def relation_name(name: str) -> str:
@@ -76,17 +79,6 @@ def _side(x1, y1, x2, y2, x, y) -> Column:
     return (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
 
 
-def _on_edge(x1, y1, x2, y2, x, y) -> Column:
-    return (_side(x1, y1, x2, y2, x, y) == 0) & x.between(F.least(x1, x2), F.greatest(x1, x2)) & y.between(
-        F.least(y1, y2), F.greatest(y1, y2))
-
-
-def _hits_ray(x1, y1, x2, y2, x, y) -> Column:
-    """The ray from the point towards +x crosses the edge."""
-    side = _side(x1, y1, x2, y2, x, y)
-    return ((y1 <= y) & (y2 > y) & (side > 0)) | ((y2 <= y) & (y1 > y) & (side < 0))
-
-
 def _point_place(x: Column, y: Column, shape: FilterShape) -> Column:
     """2 inside, 1 on the boundary, 0 outside, for a point against a fixed shape."""
     if shape.dimension == 0:
@@ -98,18 +90,51 @@ def _point_place(x: Column, y: Column, shape: FilterShape) -> Column:
     ends = _any([(x == px) & (y == py) for px, py in _line_ends(shape)]) if shape.dimension == 1 else F.lit(False)
     edges = _edges(shape)
     if len(edges) <= _UNROLL:
-        literal = [[F.lit(float(v)) for v in e] for e in edges]
-        on = _any([_on_edge(*e, x, y) for e in literal])
-        hits = reduce(lambda a, b: a + b, [_hits_ray(*e, x, y).cast("int") for e in literal])
-    else:
-        table = F.lit([list(map(float, e)) for e in edges])
-        def sides(e):
-            return [F.get(e, F.lit(i)) for i in range(4)]
-        on = F.exists(table, lambda e: _on_edge(*sides(e), x, y))
-        hits = F.aggregate(table, F.lit(0), lambda n, e: n + _hits_ray(*sides(e), x, y).cast("int"))
+        total = reduce(lambda a, b: a + b, [_edge_share(*map(F.lit, e), x, y) for e in edges])
+        if shape.dimension == 1:
+            return F.when(ends, 1).when(total >= _ON, 2).otherwise(0)
+        return F.when(total >= _ON, 1).when(total % 2 == 1, 2).otherwise(0)
+    total = _banded_share(edges, shape.bounds, x, y)
     if shape.dimension == 1:
-        return F.when(ends, 1).when(on, 2).otherwise(0)
-    return F.when(on, 1).when(hits % 2 == 1, 2).otherwise(0)
+        return F.when(ends, 1).otherwise(let(total, lambda n: F.when(n >= _ON, 2).otherwise(0)))
+    return let(total, lambda n: F.when(n >= _ON, 1).when(n % 2 == 1, 2).otherwise(0))
+
+
+def _edge_share(x1, y1, x2, y2, x, y) -> Column:
+    """1 if the ray from the point towards +x crosses the edge, a huge even number if the point lies on it, else 0."""
+    side = _side(x1, y1, x2, y2, x, y)
+    low, high = F.least(y1, y2), F.greatest(y1, y2)
+    beyond = (y < low) | (y > high) | (x > F.greatest(x1, x2))
+    rising = F.when(y2 > y1, side > 0).otherwise(side < 0)
+    return F.when(beyond, 0).when((side == 0) & (x >= F.least(x1, x2)), _ON).when((y < high) & rising, 1).otherwise(0)
+
+
+def _banded_share(edges: list[tuple], bounds: tuple[float, float, float, float], x: Column, y: Column) -> Column:
+    """Sum of the edge shares, looking only at the edges listed for the band of y the point lies in.
+
+    The bands are narrowed as long as the lists stay about as long as the outline.
+    """
+    low, high = bounds[1], bounds[3]
+    count = min(len(edges), 4096)
+
+    def listing(n: int) -> list[list]:
+        def band(v: float) -> int:
+            return min(max(int(math.floor((v - low) / (high - low) * n)), 0), n - 1) if high > low else 0
+        bands: list[list] = [[] for _ in range(n)]
+        for e in edges:
+            # One band more on either side keeps rounding of the band number harmless.
+            for k in range(max(band(min(e[1], e[3])) - 1, 0), min(band(max(e[1], e[3])) + 1, n - 1) + 1):
+                bands[k].append(list(map(float, e)))
+        return bands
+
+    bands = listing(count)
+    while count > 1 and sum(map(len, bands)) > 8 * len(edges):
+        count //= 2
+        bands = listing(count)
+    table = F.from_json(F.lit(json.dumps(bands)), "array<array<array<double>>>")
+    place = F.floor((y - F.lit(low)) / F.lit((high - low) or 1.0) * F.lit(float(count))).cast("int")
+    near = F.get(table, F.greatest(F.least(place, F.lit(count - 1)), F.lit(0)))
+    return F.aggregate(near, F.lit(0), lambda n, e: n + _edge_share(*[F.get(e, F.lit(i)) for i in range(4)], x, y))
 
 
 def _point_answer(name: str, place: Callable[[], Column], x: Column, y: Column, shape: FilterShape) -> Column:
@@ -191,24 +216,23 @@ def st_crosses(a: Column, b: Column) -> Column:
     return matches_column(a, b, "crosses")
 
 
-def point_place_in(x: Column, y: Column, polygon: Column) -> Column:
-    """2 inside, 1 on the boundary, 0 outside, for a point against a polygon column."""
+def edge_list(polygon: Column) -> Column:
+    """All edges of a polygon column as one flat array."""
 
-    def place(ring: Column) -> Column:
-        """Crossings of one ring; -1 marks a point on it."""
+    def edges(ring: Column) -> Column:
         n = F.greatest(F.size(ring) - 1, F.lit(0))
-        pairs = F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), lambda p, q: F.struct(
+        return F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), lambda p, q: F.struct(
             p["x"].alias("a"), p["y"].alias("b"), q["x"].alias("c"), q["y"].alias("d")))
 
-        def step(total: Column, e: Column) -> Column:
-            edge = (e["a"], e["b"], e["c"], e["d"])
-            outside = (F.greatest(e["b"], e["d"]) < y) | (F.least(e["b"], e["d"]) > y) | (F.greatest(e["a"], e["c"]) < x)
-            return F.when(outside | (total < 0), total).when(_on_edge(*edge, x, y), F.lit(-1)).otherwise(
-                total + _hits_ray(*edge, x, y).cast("int"))
+    return F.flatten(F.transform(F.flatten(polygon["parts"]), edges))
+
 
-        return F.aggregate(pairs, F.lit(0), step)
+def place_among(edges: Column, x: Column, y: Column) -> Column:
+    """2 inside, 1 on the boundary, 0 outside, for a point against the edges of a polygon."""
+    total = F.aggregate(edges, F.lit(0), lambda n, e: n + _edge_share(e["a"], e["b"], e["c"], e["d"], x, y))
+    return let(total, lambda n: F.when(n >= _ON, 1).when(n % 2 == 1, 2).otherwise(0))
 
-    rings = F.flatten(polygon["parts"])
-    total = F.aggregate(rings, F.lit(0), lambda n, ring: F.when(n < 0, n).otherwise(
-        let(place(ring), lambda hits: F.when(hits < 0, F.lit(-1)).otherwise(n + hits))))
-    return let(total, lambda n: F.when(n < 0, 1).when(n % 2 == 1, 2).otherwise(0))
+
+def point_place_in(x: Column, y: Column, polygon: Column) -> Column:
+    """The same against a polygon column."""
+    return place_among(edge_list(polygon), x, y)

@@ -14,7 +14,7 @@ from pyspark.sql.types import AtomicType, VariantType
 
 from geoloom.functions.cells import square_cells
 from geoloom.functions.geometry import BBOX, vertices
-from geoloom.functions.predicates import matches_column, point_place_in, relation_name
+from geoloom.functions.predicates import edge_list, matches_column, place_among, relation_name
 from geoloom.runtime import BROADCAST_BYTES, checkpoint, fits
 
 _STEP = 4
@@ -60,7 +60,7 @@ def _listed(df: DataFrame, squares: Column) -> DataFrame:
 
 def _row_bytes(geom: str, squares: Column) -> Column:
     """What the copies of one row weigh."""
-    return F.size(squares) * (F.size(vertices(F.col(geom))) * 16 + 300)
+    return F.size(squares) * (F.size(vertices(F.col(geom))) * 48 + 300)
 
 
 def _pairs(left: DataFrame, right: DataFrame, small: bool, spread_by: list[str] | None) -> DataFrame:
@@ -104,7 +104,7 @@ def points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str = "
     if name not in wanted:
         raise ValueError(f"A point cannot stand in relation {name} to a polygon")
     l, r, geom, keep = _prepare(points, zones, zone_geom)
-    r = r.filter(F.col(geom)["type"].endswith("Polygon"))
+    r = r.filter(F.col(geom)["type"].endswith("Polygon")).withColumn("_edges", edge_list(F.col(geom)))
     x, y = F.col(_LEFT[0]), F.col(_LEFT[1])
     here = [F.struct(F.lit(v).alias("_level"), F.floor(x / 2.0 ** v).alias("_cx"), F.floor(y / 2.0 ** v).alias("_cy"))
             for v in _levels(r, _RIGHT, geom)]
@@ -113,7 +113,7 @@ def points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str = "
     squares = square_cells(*_box(_RIGHT), _own_level(_RIGHT, geom))
     small = fits(r, _row_bytes(geom, squares), broadcast_bytes)
     pairs = _pairs(_listed(l, F.array(*here)), _listed(r, squares), small, spread_by).filter(_boxes_meet())
-    return pairs.filter(point_place_in(x, y, F.col(geom)).isin(*wanted[name])).select(*keep)
+    return pairs.filter(place_among(F.col("_edges"), x, y).isin(*wanted[name])).select(*keep)
 
 
 def spatial_join(left: DataFrame, right: DataFrame, spatial_rel: str = "intersects", left_geom: str = "geom",
