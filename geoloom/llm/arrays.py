@@ -122,6 +122,13 @@ def blocks(texts: pa.Array, least: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         first = end
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, for work that makes Python objects of each."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def runs(sorted_keys: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal neighbours."""
     if not len(sorted_keys):

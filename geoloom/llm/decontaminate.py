@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrays import Words, blocks, byte_table, mix, separators
+from geoloom.llm.arrays import Words, blocks, byte_table, mix, separators, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -32,7 +32,7 @@ WALKS, SAMPLES, PLACES = 8, 12, 3
 #: Words of the items searched for together; a larger benchmark is searched in several passes.
 SLICE_WORDS = 200_000
 #: Bytes of text searched together.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _PAIR = np.uint64(0xA24BAED4963EE407)
 
@@ -206,10 +206,10 @@ class Search:
                 yield doc, member, best[0], max(0, best[2] - base - n), best[2] - base
 
 
-def _slices(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, np.ndarray]]]:
+def _passes(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, np.ndarray]]]:
     """Items with their words, cut so that what a pass sends to the executors is bounded by SLICE_WORDS."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL").distinct().orderBy("id", "text")
-    slices, size = [[]], 0
+    passes, size = [[]], 0
     for batch in rows.toArrow().to_batches():
         for first, end, words in _words(batch.column(1).fill_null(""), BLOCK):
             for d in range(end - first):
@@ -217,11 +217,11 @@ def _slices(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple
                 if len(item) < LEAST_WORDS:
                     continue
                 if size and size + len(item) > SLICE_WORDS:
-                    slices.append([])
+                    passes.append([])
                     size = 0
-                slices[-1].append((batch.column(0)[first + d].as_py(), item))
+                passes[-1].append((batch.column(0)[first + d].as_py(), item))
                 size += len(item)
-    return [s for s in slices if s]
+    return [p for p in passes if p]
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -236,11 +236,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"`{id_col}` long, `{item_col}` long, distance long, start_word long, end_word long"
     found = source.sparkSession.createDataFrame([], schema)
-    for k, items in enumerate(_slices(benchmark, item_col, item_text_col)):
+    for k, items in enumerate(_passes(benchmark, item_col, item_text_col)):
 
         def rows(batches, items=items):
             search = Search(items)
-            for batch in batches:
+            for batch in slices(batches, 1024):
                 ids = batch.column(0).to_pylist()
                 for first, _, words in _words(batch.column(1).fill_null(""), BLOCK):
                     hits = [(ids[first + d], items[m][0], *rest) for d, m, *rest in search.block(words)]
@@ -255,11 +255,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows whose text holds no benchmark item, with all their columns, whatever their names."""
     place = docs.columns.index(text_col)
-    for items in _slices(benchmark, item_col, item_text_col):
+    for items in _passes(benchmark, item_col, item_text_col):
 
         def rows(batches, items=items):
             search = Search(items)
-            for batch in batches:
+            for batch in slices(batches, 1024):
                 keep = np.ones(batch.num_rows, bool)
                 for first, _, words in _words(batch.column(place).fill_null(""), BLOCK):
                     for hit in search.block(words):

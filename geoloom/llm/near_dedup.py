@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrays import binaries, mix, shingle_sets
+from geoloom.llm.arrays import binaries, mix, shingle_sets, slices
 from geoloom.llm.components import components
 from geoloom.runtime import checkpoint
 
@@ -153,7 +153,7 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str, retained: int | N
     """One row per document: id, size of its shingle set, 128-bit class of equal sets, and its smallest `retained` hashes (all: None) as bytes."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches, 1024):
             ids = batch.column(0)
             for first, offsets, hashes in shingle_sets(batch.column(1), width):
                 sizes = np.diff(offsets)
@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("id", "n_shingles", "values")
 
     def keys(batches):
-        for batch in batches:
+        for batch in slices(batches, 1024):
             sizes = batch.column(1).to_numpy()
             found = [_list_keys(np.frombuffer(v.as_buffer(), "<u8"), n, percent) for v, n in zip(batch.column(2), sizes, strict=True)]
             if found:

@@ -21,15 +21,15 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrays import Words, blocks, byte_table, separators
+from geoloom.llm.arrays import Words, blocks, byte_table, separators, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIZE, END_ID = 4096, 2
 #: Costs of a token and of a squared piece length: attention passes the linear part at 8192 tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / 8192
-#: Tokens packed together, bytes of text tokenised together, entries a worker's table of known words may have.
-GROUP_TOKENS, TEXT_BYTES, KNOWN_WORDS = 1 << 20, 4 << 20, 1_000_000
+#: Tokens packed together, bytes of text tokenised together, words and runs of letters a worker remembers.
+GROUP_TOKENS, TEXT_BYTES, KNOWN_WORDS, KNOWN_CORES = 1 << 20, 2 << 20, 800_000, 250_000
 _SEQUENCES_PER_TASK = 40  # bits of a sequence id below the task's number
 
 
@@ -69,7 +69,7 @@ class Tokens:
 
     def _learn_cores(self, cores: list[bytes]) -> None:
         """Ids of runs of letters, tokenised together and cut where a token ends a word."""
-        if len(self.cores) > KNOWN_WORDS:
+        if len(self.cores) > KNOWN_CORES:
             self.cores.clear()
         ids = self._encode(b" ".join(cores).decode())
         cuts = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
@@ -205,7 +205,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 pa.array(offsets, pa.int64())], names=["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
         done: list[tuple] = []
-        for batch in batches:
+        for batch in slices(batches, 1024):
             doc_ids = batch.column(0).to_pylist()
             for first, _, data, bounds in blocks(batch.column(1), TEXT_BYTES):
                 values, offsets = tokens.of_block(data, bounds)

@@ -11,6 +11,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.llm.arrays import slices
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Kinds in the order in which spans that start together are listed; the first four are the base kinds.
@@ -128,8 +130,7 @@ class Finder:
         return out
 
 
-def _spans_of(texts: pa.Array) -> Iterator[list[tuple[int, int, int]]]:
-    finder = Finder()
+def _spans_of(finder: Finder, texts: pa.Array) -> Iterator[list[tuple[int, int, int]]]:
     for text in texts:
         value = text.as_py()
         yield finder.spans(value) if value else []
@@ -148,9 +149,10 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
 
     def rows(batches):
-        for batch in batches:
+        finder = Finder()
+        for batch in slices(batches):
             texts = batch.column(1)
-            found = [[{"kind": KINDS[k], "start": s, "end": e, "value": t.as_py()[s:e]} for s, k, e in spans] for t, spans in zip(texts, _spans_of(texts), strict=True)]
+            found = [[{"kind": KINDS[k], "start": s, "end": e, "value": t.as_py()[s:e]} for s, k, e in spans] for t, spans in zip(texts, _spans_of(finder, texts), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _SPANS)], names=["id", "spans"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
@@ -179,9 +181,10 @@ def mask_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return "".join([*out, f"[{name.upper()}]", text[open_until:]])
 
     def rows(batches):
-        for batch in batches:
+        finder = Finder()
+        for batch in slices(batches):
             texts = batch.column(place)
-            new = [masked(t.as_py(), spans) for t, spans in zip(texts, _spans_of(texts), strict=True)]
+            new = [masked(t.as_py(), spans) for t, spans in zip(texts, _spans_of(finder, texts), strict=True)]
             yield batch.set_column(place, batch.schema.field(place).with_type(pa.string()).name, pa.array(new, pa.string()))
 
     return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(rows, docs.withColumn(text_col, F.col(text_col).cast("string")).schema)

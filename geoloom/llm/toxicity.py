@@ -19,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.llm.arrays import slices
 from geoloom.runtime import checkpoint
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -104,7 +105,7 @@ def _counted(texts: DataFrame) -> DataFrame:
     """Rows (doc, word, n) of a table (doc, text): each document's distinct features."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches):
             docs, words, counts = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen = features(text)
@@ -167,7 +168,7 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
     """
 
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches):
             above = model.above(model.scores(batch.column(1).to_pylist()))
             edges = np.hstack([np.ones((len(above), 1)), above, np.zeros((len(above), 1))])
             grade = (edges[:, :-1] - edges[:, 1:]).argmax(axis=1)
@@ -184,7 +185,7 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, text_col: str = "text", rej
     place = docs.columns.index(text_col)
 
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(model.above(model.scores(batch.column(place).to_pylist()))[:, 0] < reject))
 
     return docs.mapInArrow(rows, docs.schema)
