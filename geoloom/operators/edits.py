@@ -109,8 +109,9 @@ def _read(layer: Layer, requests: DataFrame) -> DataFrame:
     shape = F.when(F.col("geometry").isNotNull(), wrap_longitudes(parse_esri_json(F.col("geometry"), layer.srid)))
     known = [f.name.lower() for f in _attribute_fields(layer)]
     staged = requests.select("pos", "geometry", lowered.alias("_all"), shape.alias("_shape"))
+    sent = F.col("geometry").isNotNull() & (F.lower(F.trim("geometry")) != "null")
     return staged.select(
-        "pos", "_shape",
+        "pos", "_shape", (sent & F.col("_shape").isNull()).alias("_unreadable"),
         F.try_element_at("_all", F.lit(layer.id_field.lower())).alias("_id"),
         F.map_filter("_all", lambda k, _: k != layer.id_field.lower()).alias("_sent"),
     ).withColumns({
@@ -134,6 +135,7 @@ def _fault(layer: Layer, kind: str) -> Column:
     return (
         F.when(F.size("_unknown") > 0, F.concat(F.lit("column does not exist: "), F.array_join("_unknown", ", ")))
         .when(F.size("_bad") > 0, F.concat(F.lit("value does not fit column: "), F.array_join("_bad", ", ")))
+        .when(F.col("_unreadable"), "geometry cannot be read")
         .when((F.size("_sent") == 0) & F.col("_shape").isNull(), f"{kind} requires at least one column")
     )
 

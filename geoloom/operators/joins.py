@@ -8,6 +8,8 @@ and the exact test.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, VariantType
@@ -97,8 +99,27 @@ def points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str = "
     """All (point, zone) pairs with the point within, touching or intersecting the zone.
 
     A point lies in one square per level, so each pair meets exactly once. The
-    test runs in the JVM; zone columns that clash get the prefix `right_`.
+    test runs in the JVM; zone columns that clash get the prefix `right_`. Left
+    rows that are no points (told by a column `geom`) and zones that are no
+    polygons are joined by `spatial_join` instead.
     """
+    odd_zones = zones.filter(~F.col(zone_geom)["type"].endswith("Polygon"))
+    parts = []
+    if "geom" in points.columns:
+        others = points.filter(F.col("geom")["type"] != "Point")
+        if not others.isEmpty():
+            parts.append(spatial_join(others, zones, spatial_rel, "geom", zone_geom, broadcast_bytes=broadcast_bytes, spread_by=spread_by))
+            points = points.filter(F.col("geom")["type"] == "Point")
+        if not odd_zones.isEmpty():
+            parts.append(spatial_join(points, odd_zones, spatial_rel, "geom", zone_geom, broadcast_bytes=broadcast_bytes, spread_by=spread_by))
+    elif not odd_zones.isEmpty():
+        raise ValueError("Zones that are no polygons need the points in a column geom")
+    pairs = _points_in_polygons(points, zones, spatial_rel, zone_geom, broadcast_bytes, spread_by)
+    return reduce(DataFrame.unionByName, parts, pairs)
+
+
+def _points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str, zone_geom: str,
+                        broadcast_bytes: int, spread_by: list[str] | None) -> DataFrame:
     name = relation_name(spatial_rel)
     wanted = {"intersects": (1, 2), "within": (2,), "touches": (1,)}
     if name not in wanted:

@@ -92,7 +92,7 @@ def top_k(df: DataFrame, by: str, k: int, tie: str | None = None) -> DataFrame:
 
 
 def _checked(df: DataFrame, ceiling: int, what: str) -> DataFrame:
-    if ceiling > 0 and df.count() > ceiling:
+    if ceiling > 0 and df.limit(ceiling + 1).count() > ceiling:
         raise TooManyRows(f"The query matches more than {ceiling} {what}; narrow it with a filter")
     return df
 

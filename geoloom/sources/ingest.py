@@ -41,7 +41,7 @@ def decode_column(df: DataFrame, column: str, fmt: str | None = None, srid: int
     form = resolve_format(df, column, fmt)
     kind = next(f.dataType for f in df.schema if f.name.lower() == column.lower())
     if form == "GEOMETRY" and not isinstance(kind, StructType):
-        return decode(F.st_asbinary(F.col(column)), "WKB", srid)
+        return decode(F.st_asbinary(F.col(column)), "WKB", srid).withField("srid", F.st_srid(F.col(column)).cast("int"))
     return decode(F.col(column), form, srid)
 
 
@@ -69,13 +69,14 @@ def ingest_geometry(df: DataFrame, column: str, fmt: str | None = None, srid: in
     """Decode a column; give (all rows, the rows whose value could not be read).
 
     The first result keeps every row, as a layer must; the second is the
-    quarantine to count or to look at. Write the first one to Parquet before
+    quarantine to count or to look at, with the value as it came. Write the first one to Parquet before
     heavy use, so that the decoding happens once.
     """
-    rows = with_geometry(df, column, fmt, srid, out)
-    if out.lower() == column.lower():
-        return rows, rows.limit(0)
-    return rows, quarantine(rows, column, out)
+    if out.lower() != column.lower():
+        rows = with_geometry(df, column, fmt, srid, out)
+        return rows, quarantine(rows, column, out)
+    rows = with_geometry(df.withColumn("_value", F.col(column)), column, fmt, srid, out)
+    return rows.drop("_value"), quarantine(rows, "_value", out).drop(out).withColumnRenamed("_value", column)
 
 
 def quarantine(df: DataFrame, column: str, out: str = "geom") -> DataFrame:

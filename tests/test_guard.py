@@ -77,3 +77,12 @@ def test_request_parameters():
     assert (q.where, q.object_ids, q.in_sr, q.spatial_rel, q.return_geometry, q.return_count_only) == ("a=1", "1,2", "4326", "x", False, True)
     assert (q.result_offset, q.result_record_count, q.time, q.tile) == (5, 7, None, False)
     assert FeatureQuery(result_type="Tile").tile
+
+
+@pytest.mark.parametrize("clause", [
+    "`reflect`('java.lang.System', 'getProperty', 'java.version') <> 'x'", "`java_method` ('a', 'b') = 'x'",
+    "IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'java.version') <> 'x'", "identifier ('ref' || 'lect')('a') = 'b'"])
+def test_function_names_stand_plainly(clause):
+    with pytest.raises(ValueError, match="plain function names"):
+        check_where(clause)
+    assert check_where("`category` = 'identifier(' AND (`a` > 1)")

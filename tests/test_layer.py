@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom import FeatureQuery, Layer, daily_tracks, feature_page, time_extent, write_clustered
+from geoloom import FeatureQuery, Layer, daily_tracks, feature_page, ingest_geometry, points_in_polygons, time_extent, write_clustered
 from geoloom.operators.filters import distance_filter, id_filter, time_filter
 from geoloom.operators.paging import TooManyRows, page, page_size, sort_columns
 from geoloom.operators.projection import project, selected_fields
@@ -256,3 +256,26 @@ def test_lines_and_points_as_filters(spark):
 def test_distance_is_open_and_sorted_by_the_caller(layer):
     rows = distance_filter(layer.df, 0, 0, 30, geometry_type="Point").orderBy("distance").collect()
     assert rows and all(r.distance < 30 for r in rows) and [r.distance for r in rows] == sorted(r.distance for r in rows)
+
+
+def test_quarantine_holds_the_raw_value_under_the_same_name(spark):
+    rows, bad = ingest_geometry(spark.createDataFrame([(1, "POINT(1 2)"), (2, "POINT(oops")], "id int, geom string"), "geom", "WKT")
+    assert rows.count() == 2 and [(r.id, r.geom) for r in bad.collect()] == [(2, "POINT(oops")]
+
+
+def test_native_geometry_keeps_its_srid(spark):
+    spark.conf.set("spark.sql.geospatial.enabled", "true")
+    native = spark.range(1).select(F.expr("st_setsrid(st_geomfromwkb(X'0101000000000000000000F03F0000000000000040'), 3857)").alias("shape"))
+    rows, bad = ingest_geometry(native, "shape")
+    assert [r.geom.srid for r in rows.select("geom").collect()] == [3857] and bad.count() == 0
+
+
+def test_points_join_other_zones_and_other_rows_join_as_they_are(spark):
+    def frame(*shapes):
+        return ingest_geometry(spark.createDataFrame(list(enumerate(shapes)), "id int, wkt string"), "wkt", "WKT")[0].drop("wkt")
+
+    zones = frame("POLYGON((0 0, 2 0, 2 2, 0 2, 0 0))", "LINESTRING(0 0, 10 10)").withColumnRenamed("id", "zone")
+    rows = frame("POLYGON((0 0, 10 0, 10 10, 0 10, 0 0))", "POINT(1 1)", "POINT(5 5)")
+    pairs = lambda rel: sorted((r.id, r.zone) for r in points_in_polygons(rows, zones, rel).collect())
+    assert pairs("intersects") == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 1)]
+    assert (0, 0) not in pairs("within") and (1, 0) in pairs("within")
