@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.runtime import broadcast_if_small
+from geoloom.runtime import broadcast_if_small, checkpoint
 
 #: Documents whose posting lists are held together.
 PART_DOCUMENTS = 4096
@@ -196,7 +196,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     else:
         parts = max(1, math.ceil(rows.count() / PART_DOCUMENTS))
         trigrams = {t for q in queries.values() for clause in q for alternative in clause for t in alternative}
-        found = candidates(trigram_index(rows, sorted(trigrams), parts), queries)
+        # Fixed once: it is measured for the join and then joined.
+        found = checkpoint(candidates(trigram_index(rows, sorted(trigrams), parts), queries))
         joined = rows.join(broadcast_if_small(found), "id", "left")
     listed = [
         _spans("text", i, r) if r.name not in queries else
