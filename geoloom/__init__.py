@@ -9,7 +9,7 @@ from geoloom.functions.crs import reproject, unwrap_dateline, wrap_longitudes
 from geoloom.functions.predicates import st_contains, st_crosses, st_intersects, st_overlaps, st_touches, st_within
 from geoloom.functions.shapes import filter_shape, normalize_shapes
 from geoloom.operators.aggregates import (
-    cell_bins, daily_tracks, id_audit, layer_extent, roll_up, table_profile, time_extent,
+    cell_bins, cut_tracks, daily_tracks, id_audit, layer_extent, roll_up, table_profile, time_extent,
 )
 from geoloom.operators.catalog import discover_columns, minimum_scale, refresh_catalog
 from geoloom.operators.edits import apply_edits, deletes_from, requests_from
@@ -22,7 +22,7 @@ from geoloom.sources.export import export_features
 from geoloom.sources.ingest import ingest_geometry, profile_geometry, with_point
 
 __all__ = [
-    "FeatureQuery", "Layer", "apply_edits", "assign_ids", "cell_bins", "daily_tracks", "deletes_from", "discover_columns",
+    "FeatureQuery", "Layer", "apply_edits", "assign_ids", "cell_bins", "cut_tracks", "daily_tracks", "deletes_from", "discover_columns",
     "export_features", "feature_page", "filter_shape", "id_audit", "ingest_geometry", "latest_per_entity", "layer_extent",
     "minimum_scale", "normalize_shapes", "points_in_polygons", "profile_geometry", "refresh_catalog", "reproject",
     "requests_from", "roll_up", "spatial_join", "st_contains", "st_crosses", "st_intersects",

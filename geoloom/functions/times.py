@@ -13,6 +13,7 @@ from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType,
 MAX_EPOCH_MS = 8_640_000_000_000_000
 
 _DAY = 86_400_000
+# Fixed value: what counts as a number in request text.
 _NUMERIC = r"^\s*-?\d+(\.\d+)?\s*$"
 
 
@@ -89,10 +90,3 @@ def coerce_time(text: Column, kind: DataType) -> Column:
         return F.when(ms.isNotNull(), F.timestamp_millis(ms)).otherwise(zoned.try_cast("timestamp"))
     moment = ntz_from_epoch(ms)
     return F.when(ms.isNotNull(), moment.cast(kind)).otherwise(iso.try_cast("timestamp_ntz").cast(kind))
-
-
-def coerce_text(text: Column) -> Column:
-    """Epoch-millisecond numbers as ISO-8601 text; everything else unchanged."""
-    ms = F.when(is_epoch_text(text), text.try_cast("double").cast("long"))
-    moment = ntz_from_epoch(ms)
-    return F.when(ms.isNotNull(), F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).otherwise(text)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.functions.cells import hex_cell, hex_polygon
@@ -13,6 +14,7 @@ from geoloom.plans.guard import MAX_SAFE_INTEGER
 from geoloom.runtime import broadcast_if_small
 
 MAX_OBJECT_ID = 2147483647
+DAY_MINUTES = 1440
 
 
 def _kind(df: DataFrame, column: str):
@@ -73,57 +75,72 @@ def roll_up(bins: DataFrame, least: int = 0) -> DataFrame:
     return kept.agg(F.count(F.lit(1)).alias("total_cells"), F.sum("total_positions").alias("total_positions"), *sums)
 
 
-def daily_tracks(df: DataFrame, entity: str, time: str, lon: str, lat: str, speed: str | None = None,
-                 name: str | None = None, tie: str | None = None, max_vertices: int = 100_000) -> DataFrame:
-    """One line per entity and UTC day through its positions in time order, with start, end, count, speed and name.
-
-    A day with more than `max_vertices` positions comes as several rows
-    (`part` 0, 1, ...) that continue each other: the last vertex of one is the
-    first of the next, and every position is kept. Such days are cut by counted
-    positions in a global sort, so no task ever holds a whole one.
-    """
+def _stops(df: DataFrame, entity: str, time: str, lon: str, lat: str, speed: str | None, name: str | None, tie: str | None) -> DataFrame:
+    """Positions with the entity, the UTC day and a stop that sorts by time."""
     kept = df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull() & F.col(time).isNotNull())
-    keys = ["entity", "track_date"]
     order = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate([time, *([tie] if tie else []), lon, lat])])
-    rows = kept.select(
+    return kept.select(
         F.col(entity).alias("entity"), utc_date(F.col(time), _kind(df, time)).alias("track_date"), F.col(time).alias("_time"),
         F.struct(order.alias("key"), vertex(F.col(lon), F.col(lat)).alias("at")).alias("_stop"),
         *([F.col(speed).alias("_speed")] if speed else []), *([F.col(name).alias("_name")] if name else []),
     )
-    summary = rows.groupBy(*keys).agg(
+
+
+def _track_measures(rows: DataFrame) -> list[Column]:
+    return [
         F.min("_time").alias("start_time"), F.max("_time").alias("end_time"), F.count(F.lit(1)).alias("position_count"),
-        *([F.avg("_speed").alias("avg_speed")] if speed else []), *([F.max("_name").alias("entity_name")] if name else []),
-    )
-    measures = [F.col(c) for c in summary.columns if c not in keys]
-    long_days = summary.filter(F.col("position_count") > max_vertices)
-    stops = rows.select(*keys, "_stop")
-
-    def lines(pieces: DataFrame) -> DataFrame:
-        path = F.transform(F.sort_array(F.collect_list("_stop")), lambda s: s["at"])
-        return pieces.groupBy(*keys, "part").agg(path.alias("_path"))
-
-    if long_days.isEmpty():
-        # Whole days only: every measure comes out of the same grouping as the line.
-        path = F.transform(F.sort_array(F.collect_list("_stop")), lambda s: s["at"])
-        whole = rows.groupBy(*keys).agg(
-            F.min("_time").alias("start_time"), F.max("_time").alias("end_time"), F.count(F.lit(1)).alias("position_count"),
-            *([F.avg("_speed").alias("avg_speed")] if speed else []),
-            *([F.max("_name").alias("entity_name")] if name else []), path.alias("_path"))
-        tracks = whole.withColumn("part", F.lit(0).cast("long"))
-    else:
-        marks = broadcast_if_small(long_days.select(*keys))
-        short = lines(stops.join(marks, keys, "left_anti").withColumn("part", F.lit(0).cast("long")))
-        ranked = with_position(stops.join(marks, keys, "left_semi"), [F.col(c) for c in (*keys, "_stop")], "_at")
-        begins = broadcast_if_small(ranked.groupBy(*keys).agg(F.min("_at").alias("_begin")))
-        place = F.col("_at") - F.col("_begin")
-        joint = (place % max_vertices == 0) & (place > 0)
-        part = F.floor(place / max_vertices)
-        cut = ranked.join(begins, keys).withColumn(
-            "part", F.explode(F.when(joint, F.array(part, part - 1)).otherwise(F.array(part))))
-        tracks = short.unionByName(lines(cut.select(*keys, "_stop", "part"))).join(summary, keys)
-    kind = F.when(F.size("_path") > 1, "LineString").otherwise("Point")
-    return tracks.select(*keys, "part", *measures, geometry(
-        kind, F.lit(4326), F.array(F.array(F.col("_path")))).alias("geom"))
+        *([F.avg("_speed").alias("avg_speed")] if "_speed" in rows.columns else []),
+        *([F.max("_name").alias("entity_name")] if "_name" in rows.columns else [])]
+
+
+def _track_line() -> Column:
+    return geometry(F.when(F.size("_path") > 1, "LineString").otherwise("Point"), F.lit(4326), F.array(F.array(F.col("_path")))).alias("geom")
+
+
+def daily_tracks(df: DataFrame, entity: str, time: str, lon: str, lat: str, speed: str | None = None,
+                 name: str | None = None, tie: str | None = None, slice_minutes: int = DAY_MINUTES) -> DataFrame:
+    """One line per entity and UTC day through its positions in time order, with start, end, count, speed and name.
+
+    With a shorter slice a day is cut at fixed times: one row per slice that
+    holds positions, `part` is its number within the day, the measures are
+    those of the slice, and its line ends at the first stop of the next slice
+    of the day. A task holds one slice, so the slice is chosen by how dense the
+    positions of one entity can get, never by counting them.
+    """
+    if slice_minutes < 1 or DAY_MINUTES % slice_minutes:
+        raise ValueError(f"A slice must divide the day of {DAY_MINUTES} minutes, got {slice_minutes}")
+    rows = _stops(df, entity, time, lon, lat, speed, name, tie)
+    in_day = F.pmod(epoch_ms(F.col("_time"), _kind(df, time)), F.lit(DAY_MINUTES * 60_000))
+    rows = rows.withColumn("part", F.floor(in_day / (slice_minutes * 60_000)).cast("long"))
+    stops = F.sort_array(F.collect_list("_stop"))
+    tracks = rows.groupBy("entity", "track_date", "part").agg(*_track_measures(rows), F.transform(stops, lambda s: s["at"]).alias("_path"))
+    if slice_minutes < DAY_MINUTES:
+        # One row per slice: at most a day's slices are in one group.
+        following = F.lead(F.col("_path")[0]).over(W.partitionBy("entity", "track_date").orderBy("part"))
+        tracks = tracks.withColumn("_next", following).withColumn(
+            "_path", F.when(F.col("_next").isNull(), F.col("_path")).otherwise(F.array_append("_path", F.col("_next")))).drop("_next")
+    return tracks.select(*[c for c in tracks.columns if c != "_path"], _track_line())
+
+
+def cut_tracks(df: DataFrame, entity: str, time: str, lon: str, lat: str, max_vertices: int, speed: str | None = None,
+               name: str | None = None, tie: str | None = None) -> DataFrame:
+    """Daily tracks as lines of `max_vertices` steps (`part` 0, 1, ...), with the measures of the whole day on each.
+
+    The last vertex of a line is the first of the next and every position is
+    kept. All tracks are cut alike, by counted positions in a global sort.
+    """
+    keys = ["entity", "track_date"]
+    rows = _stops(df, entity, time, lon, lat, speed, name, tie)
+    summary = rows.groupBy(*keys).agg(*_track_measures(rows))
+    ranked = with_position(rows.select(*keys, "_stop"), [F.col(c) for c in (*keys, "_stop")], "_at")
+    begins = broadcast_if_small(ranked.groupBy(*keys).agg(F.min("_at").alias("_begin")))
+    place = F.col("_at") - F.col("_begin")
+    part = F.floor(place / max_vertices)
+    cut = ranked.join(begins, keys).withColumn(
+        "part", F.explode(F.when((place % max_vertices == 0) & (place > 0), F.array(part, part - 1)).otherwise(F.array(part))))
+    path = F.transform(F.sort_array(F.collect_list("_stop")), lambda s: s["at"])
+    lines = cut.groupBy(*keys, "part").agg(path.alias("_path"))
+    return lines.join(summary, keys).select(*keys, "part", *[c for c in summary.columns if c not in keys], _track_line())
 
 
 def table_profile(df: DataFrame, entity: str, time: str, lon: str, lat: str, approximate: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -131,12 +132,15 @@ def _rank_ids(names: list[str]) -> list[str]:
     return sorted(names, key=rank)
 
 
+# Words for a moment, at the end of a word of the name.
+_TIME_WORD = re.compile(r"(?i)(time|stamp|date|day|when)(?![a-z])|(_(ts|at)|(?<![a-z])dt)$")
+
+
 def _rank_times(columns: list[tuple[str, DataType]]) -> list[str]:
-    """Names that speak of time first; within those, timestamps before dates."""
+    """Names with a word for a moment first; within those, timestamps before dates."""
     def rank(item: tuple[str, DataType]) -> tuple[bool, bool]:
         name, kind = item
-        named = any(w in name.lower() for w in ("time", "date", "_ts", "timestamp", "dt"))
-        return not named, isinstance(kind, DateType)
+        return not _TIME_WORD.search(name), isinstance(kind, DateType)
     return [name for name, _ in sorted(columns, key=rank)]
 
 

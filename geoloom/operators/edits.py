@@ -55,22 +55,16 @@ def requests_from(spark: SparkSession, features: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, REQUEST_DDL)
 
 
-def delete_ids(raw) -> list[str]:
-    """Ids of a delete parameter: a number, `1,2`, `[1,2]` or a list; blanks are left out."""
-    if raw is None or raw == "":
-        return []
-    if not isinstance(raw, (list, tuple)):
-        text = str(raw).strip()
-        try:
-            parsed = json.loads(text)
-        except ValueError:
-            parsed = None
-        raw = parsed if isinstance(parsed, list) else text.removeprefix("[").removesuffix("]").split(",")
-    return [str(v).strip() for v in raw if v is not None and str(v).strip() != ""]
-
-
 def deletes_from(spark: SparkSession, raw) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(delete_ids(raw))), DELETE_DDL)
+    """Deletes of one request parameter: a list of ids, one id, or text with ids between commas, brackets and quotes; blanks are left out."""
+    if isinstance(raw, (list, tuple)):
+        sent, ids = [None if v is None else str(v) for v in raw], F.col("sent")
+        request = spark.createDataFrame([(sent,)], "sent array<string>")
+    else:
+        ids = F.split("sent", r"[\[\]\",]")
+        request = spark.createDataFrame([(None if raw is None else str(raw),)], "sent string")
+    trimmed = F.transform(ids, lambda v: F.regexp_replace(v, r"^\s+|\s+$", ""))
+    return request.select(F.posexplode(F.filter(trimmed, lambda v: v != "")).alias("pos", "id")).select(F.col("pos").cast("long"), "id")
 
 
 def _number(text: Column) -> Column:
@@ -130,13 +124,13 @@ def _is_sent(field: StructField) -> Column:
     return F.map_contains_key(F.col("_sent"), field.name.lower())
 
 
-def _fault(layer: Layer, kind: str) -> Column:
+def _fault(layer: Layer) -> Column:
     """Why a request row cannot run, or NULL."""
     return (
-        F.when(F.size("_unknown") > 0, F.concat(F.lit("column does not exist: "), F.array_join("_unknown", ", ")))
-        .when(F.size("_bad") > 0, F.concat(F.lit("value does not fit column: "), F.array_join("_bad", ", ")))
+        F.when(F.size("_unknown") > 0, F.concat(F.lit("unknown columns: "), F.array_join("_unknown", ", ")))
+        .when(F.size("_bad") > 0, F.concat(F.lit("unfit values for: "), F.array_join("_bad", ", ")))
         .when(F.col("_unreadable"), "geometry cannot be read")
-        .when((F.size("_sent") == 0) & F.col("_shape").isNull(), f"{kind} requires at least one column")
+        .when((F.size("_sent") == 0) & F.col("_shape").isNull(), "nothing to write")
     )
 
 
@@ -149,7 +143,23 @@ def _result(op: str, code: int) -> list[Column]:
 
 
 def _unsafe_text(layer: Layer, number: Column) -> Column:
-    return F.concat(F.lit(f"{layer.id_field}="), number.cast("string"), F.lit(" is above 2^53 - 1 and cannot be carried exactly"))
+    return F.concat(F.lit(f"{layer.id_field} "), number.cast("string"), F.lit(" exceeds 2^53 - 1"))
+
+
+def _no_integer(layer: Layer, sent: Column) -> Column:
+    return F.concat(F.lit(f"{layer.id_field} must be a whole number, not "), F.coalesce(sent, F.lit("null")))
+
+
+def _answered(requests: DataFrame, present: DataFrame, id_field: str) -> DataFrame:
+    """Requests with a fault where the table lacks the id. Those without a key are no part of the join, so they gather nowhere."""
+    absent = F.when(F.col("_present").isNull(), F.concat(F.lit(f"no row has {id_field} "), F.col("_key").cast("string")))
+    named = requests.filter("_key IS NOT NULL").join(present, "_key", "left").withColumn("_fault", F.coalesce("_fault", absent))
+    return named.drop("_present").unionByName(requests.filter("_key IS NULL"))
+
+
+def _split_by_id(base: DataFrame, id_field: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with an id, and those without, which no edit can name and no join should gather."""
+    return base.filter(F.col(id_field).isNotNull()), base.filter(F.col(id_field).isNull())
 
 
 def _found(base: DataFrame, id_field: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -168,7 +178,7 @@ def run_adds(layer: Layer, adds: DataFrame) -> tuple[DataFrame, DataFrame]:
     top = layer.df.agg(F.coalesce(F.max(layer.id_field).cast("decimal(38,0)"), F.lit(0)).alias("top")).first().top
     new_id = F.lit(int(top)).cast("decimal(38,0)") + F.col("pos") + 1
     staged = _read(layer, adds).withColumn("_new", new_id)
-    fault = F.coalesce(_fault(layer, "INSERT"), F.when(_unsafe(F.col("_new")), _unsafe_text(layer, F.col("_new"))))
+    fault = F.coalesce(_fault(layer), F.when(_unsafe(F.col("_new")), _unsafe_text(layer, F.col("_new"))))
     staged = checkpoint(staged.withColumn("_fault", fault))
     values = [_typed(_sent(f), f.dataType).cast(f.dataType).alias(f.name) for f in _attribute_fields(layer)]
     rows = staged.filter("_fault IS NULL").select(
@@ -189,9 +199,9 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
     number = _number(F.col("_id"))
     staged = _read(layer, updates).withColumn("_key", number)
     fault = (
-        F.when(F.col("_key").isNull(), F.concat(F.lit(f"Update needs an integer {id_field}; got "), F.coalesce("_id", F.lit("null"))))
+        F.when(F.col("_key").isNull(), _no_integer(layer, F.col("_id")))
         .when(_unsafe(F.col("_key")), _unsafe_text(layer, F.col("_key")))
-        .otherwise(_fault(layer, "UPDATE"))
+        .otherwise(_fault(layer))
     )
     staged = checkpoint(staged.withColumn("_fault", fault))
     runnable = staged.filter("_fault IS NULL").withColumn("_key", F.col("_key").cast("long"))
@@ -202,7 +212,8 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
     change = merged.join(shapes, "_key", "full").withColumn("_sent", F.coalesce("_sent", F.create_map().cast(_VALUES)))
     change = broadcast_if_small(change, F.length(F.to_json("_sent")) + F.coalesce(F.size(vertices(F.col("_shape"))), F.lit(0)) * 16 + 100)
 
-    found = base.join(change, F.col(id_field).cast("long") == F.col("_key"), "left")
+    named, nameless = _split_by_id(base, id_field)
+    found = named.join(change, F.col(id_field).cast("long") == F.col("_key"), "left")
     columns = []
     for f in base.schema:
         old = F.col(f.name)
@@ -218,10 +229,8 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
 
     _, present = _found(base, id_field, runnable.select("_key"))
     keyed = staged.withColumn("_key", F.when(~_unsafe(F.col("_key")), F.col("_key")).cast("long"))
-    checked = keyed.join(present, "_key", "left").withColumn("_fault", F.coalesce("_fault", F.when(
-        F.col("_present").isNull(), F.concat(F.lit(f"Feature with {id_field}="), F.col("_key").cast("string"), F.lit(" not found")))))
-    results = checked.withColumn("object_id", number).select(*_result("update", UPDATE_FAILED))
-    return found.select(*columns), results
+    results = _answered(keyed, present, id_field).withColumn("object_id", number).select(*_result("update", UPDATE_FAILED))
+    return found.select(*columns).unionByName(nameless), results
 
 
 def run_deletes(layer: Layer, deletes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -229,15 +238,12 @@ def run_deletes(layer: Layer, deletes: DataFrame) -> tuple[DataFrame, DataFrame]
     base, id_field = layer.df, layer.id_field
     named = deletes.filter(F.col("id").isNotNull() & (F.trim("id") != "")).withColumn("_number", _number(F.col("id")))
     named = named.withColumn("_fault", F.when(
-        F.col("_number").isNull(), F.concat(F.lit(f"Invalid {id_field} "), F.col("id"), F.lit(": not an integer"))
-    ).when(_unsafe(F.col("_number")), _unsafe_text(layer, F.col("_number"))))
+        F.col("_number").isNull(), _no_integer(layer, F.col("id"))).when(_unsafe(F.col("_number")), _unsafe_text(layer, F.col("_number"))))
     named = named.withColumn("_key", F.when(F.col("_fault").isNull(), F.col("_number")).cast("long"))
     wanted, present = _found(base, id_field, named.filter("_key IS NOT NULL").select("_key"))
-    key = F.col(id_field).cast("long")
-    checked = named.join(present, "_key", "left").withColumn("_fault", F.coalesce("_fault", F.when(
-        F.col("_present").isNull(), F.concat(F.lit(f"Feature with {id_field}="), F.col("_key").cast("string"), F.lit(" not found")))))
-    results = checked.withColumn("object_id", F.col("_number")).select(*_result("delete", DELETE_FAILED))
-    return base.join(wanted, key == F.col("_key"), "left_anti"), results
+    results = _answered(named, present, id_field).withColumn("object_id", F.col("_number")).select(*_result("delete", DELETE_FAILED))
+    keyed, nameless = _split_by_id(base, id_field)
+    return keyed.join(wanted, F.col(id_field).cast("long") == F.col("_key"), "left_anti").unionByName(nameless), results
 
 
 def apply_edits(layer: Layer, adds: DataFrame | None = None, updates: DataFrame | None = None,
@@ -260,10 +266,13 @@ def apply_edits(layer: Layer, adds: DataFrame | None = None, updates: DataFrame
     outcome = results[0]
     for more in results[1:]:
         outcome = outcome.unionByName(more)
+    if rollback:
+        # Asked for failures and returned: fixed once for both.
+        outcome = checkpoint(outcome)
     if rollback and not outcome.filter(~F.col("success")).isEmpty():
         undone = F.col("success")
         outcome = outcome.select(
             "op", "pos", "object_id", F.lit(False).alias("success"), F.when(undone, ROLLED_BACK).otherwise(F.col("code")).alias("code"),
-            F.when(undone, "Operation rolled back").otherwise(F.col("description")).alias("description"))
+            F.when(undone, "undone, since another edit failed").otherwise(F.col("description")).alias("description"))
         rows = layer.df
     return EditResult(rows, outcome.select(*_RESULT))

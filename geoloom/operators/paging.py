@@ -6,12 +6,14 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.operators.ranking import with_position
 
 # Sorting the rows before a page in one task is fine up to here; further down, positions are counted instead.
 TOP_ROWS = 100_000
+EXCEEDED = "exceeded_transfer_limit"
 
 
 class TooManyRows(ValueError):
@@ -48,7 +50,9 @@ def order_by(df: DataFrame, fields: str) -> DataFrame:
 
 
 def page_size(requested: int | None, most: int) -> int:
-    """Rows per page: as asked for, at most the layer's limit; less than one means the limit."""
+    """Rows per page: as asked for, at most the layer's limit; less than one means the limit. 0 is a page of all rows."""
+    if most < 1:
+        return max(0, requested or 0)
     return most if requested is None or requested < 1 else min(requested, most)
 
 
@@ -64,9 +68,14 @@ def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, top_rows
     """Rows offset+1 .. offset+size in the order of `keys`.
 
     Near pages keep only the best rows per partition; far ones are cut by
-    counted positions, so no task sorts everything that comes before.
+    counted positions, so no task sorts everything that comes before. Size 0
+    takes all rows after the offset, which stay as many tasks as they were.
     """
     offset = max(0, offset)
+    if not size:
+        rows = with_position(df, keys, "_position").filter(F.col("_position") >= offset).drop("_position") if offset and keys else df
+        nothing = df.sparkSession.range(1).select(F.lit(False).alias(EXCEEDED))
+        return Page(rows.orderBy(*keys) if keys else rows, nothing)
     if not keys:
         rows = df.offset(offset).limit(size) if offset else df.limit(size)
     elif offset + size <= top_rows:
@@ -78,12 +87,25 @@ def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, top_rows
         rows = cut.orderBy(place).drop("_position")
     # For a near page every task stops counting once it has seen enough.
     total = (df.limit(offset + size + 1) if offset + size <= top_rows else df).agg(F.count(F.lit(1)).alias("n"))
-    return Page(rows, total.select((F.col("n") > offset + size).alias("exceeded_transfer_limit")))
+    return Page(rows, total.select((F.col("n") > offset + size).alias(EXCEEDED)))
+
+
+def flagged_page(df: DataFrame, keys: list[Column], size: int, offset: int = 0) -> DataFrame:
+    """The rows of a page, each with `exceeded_transfer_limit`: one run fetches a row more and looks whether it is there.
+
+    The window runs over the page alone.
+    """
+    if not size:
+        return page(df, keys, 0, offset).rows.withColumn(EXCEEDED, F.lit(False))
+    ahead = page(df, keys, size + 1, offset).rows
+    row = F.row_number().over(W.orderBy(*(keys or [F.lit(1)])))
+    counted = ahead.withColumns({"_row": row, EXCEEDED: F.count(F.lit(1)).over(W.partitionBy(F.lit(1))) > size})
+    return counted.filter(F.col("_row") <= size).drop("_row")
 
 
 def sample_page(df: DataFrame, size: int) -> DataFrame:
     """Any `size` rows, for map tiles: no sort, and the scan stops early."""
-    return df.limit(size)
+    return df.limit(size) if size else df
 
 
 def top_k(df: DataFrame, by: str, k: int, tie: str | None = None) -> DataFrame:
@@ -97,12 +119,12 @@ def _checked(df: DataFrame, ceiling: int, what: str) -> DataFrame:
     return df
 
 
-def ids_only(df: DataFrame, id_field: str, ceiling: int = 500_000) -> DataFrame:
+def ids_only(df: DataFrame, id_field: str, ceiling: int = 0) -> DataFrame:
     """Every matching id, or an error above the ceiling (0 = no ceiling)."""
     return _checked(df.select(id_field), ceiling, "ids")
 
 
-def distinct_values(df: DataFrame, fields: list[str], ceiling: int = 1_000_000) -> DataFrame:
+def distinct_values(df: DataFrame, fields: list[str], ceiling: int = 0) -> DataFrame:
     """Distinct combinations of the fields, or an error above the ceiling (0 = no ceiling)."""
     return _checked(df.select(*fields).distinct(), ceiling, "distinct rows")
 

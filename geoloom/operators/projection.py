@@ -40,13 +40,14 @@ def selected_fields(df: DataFrame, out_fields: str, id_field: str, geom: str, ad
     return list(dict.fromkeys(n for n in names if n.lower() != geom.lower()))
 
 
-def project(df: DataFrame, out_fields: str, id_field: str, geom: str = "geom", return_geometry: bool = True) -> DataFrame:
-    """`*` or a field list; the geometry comes last and is read only when it is asked for."""
+def project(df: DataFrame, out_fields: str, id_field: str, geom: str = "geom", return_geometry: bool = True,
+            extra: tuple[str, ...] = ()) -> DataFrame:
+    """`*` or a field list; then the geometry, read only when it is asked for, and the columns that are not the table's (`extra`)."""
     if out_fields.strip() == "*":
-        names = attribute_columns(df, geom)
+        names = [c for c in attribute_columns(df, geom) if c not in extra]
     else:
         names = selected_fields(df, out_fields, id_field, geom)
-    return df.select(*names, *([geom] if return_geometry else []))
+    return df.select(*names, *([geom] if return_geometry else []), *extra)
 
 
 def display_geometry(df: DataFrame, geom: str = "geom", after_sort: bool = False) -> DataFrame:

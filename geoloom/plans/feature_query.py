@@ -8,7 +8,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame
 
 from geoloom.operators.filters import drop_unusable_ids, id_filter, spatial_filter, time_filter, where_filter
-from geoloom.operators.paging import TOP_ROWS, Page, count_rows, distinct_values, ids_only, page, page_size, sample_page, sort_columns
+from geoloom.operators.paging import EXCEEDED, TOP_ROWS, Page, count_rows, distinct_values, flagged_page, ids_only, page, page_size, sample_page, sort_columns
 from geoloom.operators.projection import display_geometry, project, selected_fields
 from geoloom.plans.guard import parse_integer
 from geoloom.plans.layer import Layer
@@ -36,6 +36,7 @@ class FeatureQuery:
     count_distinct: bool = False
     drop_unusable_ids: bool = False
     strict: bool = False
+    with_exceeded: bool = False
 
     @staticmethod
     def from_params(params: dict) -> "FeatureQuery":
@@ -77,21 +78,27 @@ def filtered(layer: Layer, q: FeatureQuery) -> DataFrame:
 
 
 def feature_page(layer: Layer, q: FeatureQuery) -> Page:
-    """One page of features: cut first, then drop unusable ids, then shape the output."""
+    """One page of features: cut first, then drop unusable ids, then shape the output.
+
+    `with_exceeded` puts the flag on every row, out of the same run.
+    """
     df = filtered(layer, q)
     size = page_size(q.result_record_count, layer.max_record_count)
     if q.tile:
         keys = []
-        cut = Page(sample_page(df, size), page(df, [], size).exceeded)
+        cut = Page(flagged_page(df, [], size) if q.with_exceeded else sample_page(df, size), page(df, [], size).exceeded)
     else:
         paged = q.result_offset > 0 or q.result_record_count is not None or q.order_by_fields
         keys = sort_columns(df, q.order_by_fields, layer.id_field) if paged else []
         if q.result_offset + size > TOP_ROWS:
             df = df.select(*_read_fields(layer, q))
         cut = page(df, keys, size, q.result_offset)
+        if q.with_exceeded:
+            cut = Page(flagged_page(df, keys, size, q.result_offset), cut.exceeded)
     rows = drop_unusable_ids(cut.rows, layer.id_field) if q.drop_unusable_ids else cut.rows
     shown = display_geometry(rows, layer.geometry, after_sort=bool(keys)) if q.return_geometry else rows
-    return Page(project(shown, q.out_fields, layer.id_field, layer.geometry, q.return_geometry), cut.exceeded)
+    flag = (EXCEEDED,) if q.with_exceeded else ()
+    return Page(project(shown, q.out_fields, layer.id_field, layer.geometry, q.return_geometry, flag), cut.exceeded)
 
 
 def _read_fields(layer: Layer, q: FeatureQuery) -> list[str]:
@@ -107,11 +114,16 @@ def _distinct_fields(layer: Layer, q: FeatureQuery) -> list[str]:
     return [*names, layer.geometry] if q.return_geometry else names
 
 
+def parse(request: FeatureQuery | dict | None = None, **parameters) -> FeatureQuery:
+    """A request as it came to a FeatureQuery."""
+    if isinstance(request, dict):
+        return FeatureQuery.from_params({**request, **parameters})
+    return request or FeatureQuery(**parameters)
+
+
 def run(layer: Layer, request: FeatureQuery | dict | None = None, **parameters) -> DataFrame:
     """Answer a request; count comes before ids, ids before distinct values, those before features."""
-    if isinstance(request, dict):
-        request = FeatureQuery.from_params({**request, **parameters})
-    q = request or FeatureQuery(**parameters)
+    q = parse(request, **parameters)
     if q.return_count_only:
         df = filtered(layer, q)
         return count_rows(df.select(*_distinct_fields(layer, q)).distinct() if q.count_distinct else df)

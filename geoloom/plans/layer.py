@@ -19,7 +19,10 @@ class Layer:
     `geometry_type="Point"` promises single points, which keeps every spatial
     test in the JVM. `date_field` names a partition column with the UTC date of
     `time_field`. `plain` holds the same rows before decoding; queries that need
-    no geometry read it instead.
+    no geometry read it instead. A page holds at most `max_record_count` rows (0: all);
+    `with_exceeded` in a request, or `page`, tells whether more follow. Id lists
+    and distinct values are complete; a layer may refuse answers above `max_ids`
+    and `max_distinct` rows (0: never).
     """
 
     df: DataFrame
@@ -30,8 +33,8 @@ class Layer:
     date_field: str | None = None
     geometry_type: str | None = None
     max_record_count: int = 2000
-    max_ids: int = 500_000
-    max_distinct: int = 1_000_000
+    max_ids: int = 0
+    max_distinct: int = 0
     editable: bool = True
     name: str = "layer"
     plain: DataFrame | None = None
@@ -78,3 +81,9 @@ class Layer:
         from geoloom.plans.feature_query import run
 
         return run(self, request, **parameters)
+
+    def page(self, request=None, **parameters):
+        """The same as a Page: the rows and whether more follow."""
+        from geoloom.plans.feature_query import feature_page, parse
+
+        return feature_page(self, parse(request, **parameters))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,19 +12,14 @@ BROADCAST_BYTES = 64 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """The shared folder that spark.checkpoint.dir names, or the session's checkpoint folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="geoloom-")
+    raise RuntimeError("Set spark.checkpoint.dir to a folder that every executor can reach")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -14,57 +14,101 @@ from geoloom.functions.distance import distance_to
 from geoloom.functions.geometry import with_bounds
 from geoloom.functions.decode import parse_wkt
 
-# A small ring over the dateline as stored, a hole in it, an ordinary ring, and one that is wide without a jump.
-WRAPPED = [[179.4, -17.0], [-179.75, -17.2], [-179.5, -16.5], [179.8, -16.1], [179.4, -17.0]]
-HOLE = [[179.9, -16.9], [179.95, -16.6], [-179.9, -16.7], [179.9, -16.9]]
-NORMAL = [[8.0, 47.0], [8.5, 47.0], [8.5, 47.5], [8.0, 47.0]]
-WIDE = [[x, -5] for x in range(-120, 121, 40)] + [[x, 5] for x in range(120, -121, -40)] + [[-120, -5]]
+GRID = 1 / 64
 
 
-def unwrapped(spark, kind, coordinates, srid=4326):
-    df = spark.createDataFrame([(json.dumps({"type": kind, "coordinates": coordinates}),)], "t string")
-    g = df.select(unwrap_dateline(parse_geojson(F.col("t"), srid)).alias("g")).first().g
-    return [[[[v.x, v.y] for v in ring] for ring in part] for part in g.parts]
+def island(rng, lon, lat, reach, n=7):
+    """A closed ring all around a centre, in longitudes that go on beyond 180; no vertex lies on the dateline."""
+    turns = [(k + rng.uniform(0, 0.5)) * 2 * math.pi / n for k in range(n)]
+    ring = [[round((lon + reach * math.cos(t)) / GRID) * GRID + GRID / 2, round((lat + reach * math.sin(t)) / GRID) * GRID] for t in turns]
+    return [*ring, ring[0]]
+
+
+def as_stored(ring):
+    return [[(x + 180) % 360 - 180, y] for x, y in ring]
+
 
+def as_drawn(part):
+    """A part over the dateline goes on beyond 180, any other stays as it is stored."""
+    across = len({x > 180 for x, _ in part[0]}) == 2
+    return [ring if across else as_stored(ring) for ring in part]
 
-def span(ring):
-    return max(p[0] for p in ring) - min(p[0] for p in ring)
 
+def world(seed, n=60):
+    """Random shapes of every kind with parts on either side of the dateline and across it: (kind, parts)."""
+    rng, shapes = random.Random(seed), []
+    for k in range(n):
+        parts = []
+        for _ in range(1 if k % 4 in (0, 2) else rng.randint(2, 4)):
+            lon, lat, reach = rng.choice([rng.uniform(178, 182), rng.uniform(100, 260)]), rng.uniform(-60, 60), rng.uniform(3, 20)
+            shell = island(rng, lon, lat, reach)
+            parts.append([shell, island(rng, lon, lat, reach / 3)] if k % 4 < 2 else [shell])
+        shapes.append((("Polygon", "MultiPolygon", "LineString", "MultiLineString")[k % 4], parts))
+    return shapes
 
-def test_unwrap_polygon_with_hole(spark):
-    ((shell, hole),) = unwrapped(spark, "Polygon", [WRAPPED, HOLE])
-    assert span(shell) < 2 and span(hole) < 2 and shell[1][0] == pytest.approx(180.25)
 
+def geojson(kind, parts):
+    nested = parts if kind == "MultiPolygon" else [p[0] for p in parts] if kind == "MultiLineString" else parts[0] if kind == "Polygon" else parts[0][0]
+    return json.dumps({"type": kind, "coordinates": nested})
 
-def test_unwrap_parts_apart(spark):
-    (a,), (b,) = unwrapped(spark, "MultiPolygon", [[WRAPPED], [NORMAL]])
-    assert span(a) < 2 and b == NORMAL
 
+def decoded(spark, texts, srid=4326):
+    return spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", parse_geojson(F.col("t"), srid).alias("g"))
 
-def test_unwrap_lines(spark):
-    assert unwrapped(spark, "LineString", [[-178, 3], [177.5, 4]]) == [[[[182.0, 3.0], [177.5, 4.0]]]]
-    two = unwrapped(spark, "MultiLineString", [[[-178, 3], [177.5, 4]], [[-10, 0], [10, 0]]])
-    assert two == [[[[182.0, 3.0], [177.5, 4.0]]], [[[-10.0, 0.0], [10.0, 0.0]]]]
+
+def plain(g):
+    return [[[[v.x, v.y] for v in ring] for ring in part] for part in g.parts]
 
 
-@pytest.mark.parametrize("kind,coordinates,srid", [
-    ("Polygon", [NORMAL], 4326), ("Point", [-178.5, 12], 4326), ("MultiPoint", [[179.0, 0.0], [-179.0, 0.0]], 4326),
-    ("Polygon", [[[-150, 86], [60, 87], [140, 86], [-150, 86]]], 4326), ("Polygon", [WRAPPED], 3857), ("Polygon", [WIDE], 4326),
-])
-def test_unwrap_leaves_others_alone(spark, kind, coordinates, srid):
-    df = spark.createDataFrame([(json.dumps({"type": kind, "coordinates": coordinates}),)], "t string").select(
-        parse_geojson(F.col("t"), srid).alias("g"))
-    row = df.select("g", unwrap_dateline(F.col("g")).alias("u")).first()
-    assert row.g == row.u
+def same_rings(got, want):
+    """Equal whatever the vertex a ring starts with and its direction."""
+    def key(ring):
+        return sorted(map(tuple, ring[:-1])), ring[0] == ring[-1]
+    return [[key(r) for r in part] for part in got] == [[key(r) for r in part] for part in want]
 
 
-def test_wrap_on_write(spark):
-    ring = [[178, 3], [178, 4], [183, 4], [183, 3], [178, 3]]
-    df = spark.createDataFrame([(json.dumps({"rings": [ring]}),)], "t string")
-    g = df.select(wrap_longitudes(parse_esri_json(F.col("t"))).alias("g")).first().g
-    assert [v.x for v in g.parts[0][0]] == [178.0, 178.0, -177.0, -177.0, 178.0]
-    far = spark.createDataFrame([('{"x":1500000,"y":7}',)], "t string").select(wrap_longitudes(parse_esri_json(F.col("t"), 3857)).alias("g"))
-    assert far.first().g.parts[0][0][0].x == 1500000.0
+def test_shapes_over_the_dateline_are_drawn_in_one_piece(spark):
+    shapes = world(1)
+    df = decoded(spark, [geojson(kind, [[as_stored(r) for r in p] for p in parts]) for kind, parts in shapes])
+    rows = df.select("i", unwrap_dateline(F.col("g")).alias("u"), "g", wrap_longitudes(unwrap_dateline(F.col("g"))).alias("back")).collect()
+    moved = 0
+    for row in rows:
+        kind, parts = shapes[row.i]
+        drawn = plain(row.u)
+        assert row.u.type == kind and same_rings(drawn, [as_drawn(p) for p in parts])
+        assert all(max(x for x, _ in ring) - min(x for x, _ in ring) < 180 for part in drawn for ring in part)
+        assert plain(row.back) == plain(row.g)
+        moved += drawn != plain(row.g)
+    assert 10 < moved < len(shapes)
+
+
+def test_other_shapes_are_drawn_as_stored(spark):
+    """Points, metres, shapes near a pole, and shapes that are wide in small steps."""
+    rng = random.Random(2)
+    across = [as_stored(island(rng, 180, 10, 9))]
+    steps = [[x + rng.random(), -40.0] for x in range(-170, 170, 30)]
+    band = [[*steps, *([x, 40.0] for x, _ in reversed(steps)), steps[0]]]
+    polar = [[[x, 85.5 + rng.random()] for x, _ in across[0][:-1]]]
+    polar[0].append(polar[0][0])
+    dots = [[rng.uniform(-180, 180), rng.uniform(-90, 90)] for _ in range(8)]
+    degrees = [geojson("Polygon", [band]), geojson("Polygon", [polar]), geojson("LineString", [[steps]]),
+               json.dumps({"type": "MultiPoint", "coordinates": dots}), json.dumps({"type": "Point", "coordinates": dots[0]})]
+    for srid, texts in ((4326, degrees), (3857, [geojson("Polygon", [across])])):
+        rows = decoded(spark, texts, srid).select("g", unwrap_dateline(F.col("g")).alias("u")).collect()
+        assert len(rows) == len(texts) and all(r.g == r.u for r in rows)
+
+
+def test_longitudes_are_wrapped_before_saving(spark):
+    """Whatever turn a client draws a vertex in, the stored longitude is the same; metres stay."""
+    rng = random.Random(3)
+    ring = island(rng, 180, 0, 30)
+    texts = [json.dumps({"rings": [[[x + turn, y] for x, y in ring]]}) for turn in (0, -360)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = sorted(map(tuple, as_stored(ring)))
+    for row in df.select(wrap_longitudes(parse_esri_json(F.col("t"))).alias("g")).collect():
+        assert sorted((v.x, v.y) for v in row.g.parts[0][0]) == want
+    metres = df.select(parse_esri_json(F.col("t"), 3857).alias("g")).select("g", wrap_longitudes(F.col("g")).alias("w")).collect()
+    assert all(r.g == r.w for r in metres)
 
 
 def test_reproject(spark):

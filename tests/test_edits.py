@@ -1,11 +1,14 @@
 """Edit batches: results, order, rollback, value handling."""
 
+import json
+import random
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from geoloom import Layer, apply_edits, deletes_from, requests_from
-from geoloom.functions.times import coerce_text, coerce_time
-from geoloom.operators.edits import delete_ids
+from geoloom.functions.times import MAX_EPOCH_MS, coerce_time
 
 
 @pytest.fixture
@@ -64,7 +67,7 @@ def test_updates(spark, towers):
     assert (str(rows[2].seen), rows[2]._xmin, rows[2].name) == ("1970-01-01 00:00:00", 170.0, "two")
     assert (rows[5].name, rows[5]._xmin) == ("V", 12.0)
     texts = {r.pos: r.description for r in edit.results.collect()}
-    assert "not found" in texts[3] and "integer" in texts[4] and "2^53" in texts[6] and "at least one" in texts[7] and "bogus" in texts[8] and "height" in texts[9]
+    assert texts[3] == "no row has id 3" and "whole number" in texts[4] and "2^53" in texts[6] and texts[7] == "nothing to write" and "bogus" in texts[8] and "height" in texts[9]
 
 
 def test_deletes(spark, towers):
@@ -74,10 +77,14 @@ def test_deletes(spark, towers):
     assert edit.rows.count() == 0
 
 
-@pytest.mark.parametrize("raw,ids", [(7, ["7"]), ("1,2, 3", ["1", "2", "3"]), ("[1,2]", ["1", "2"]), ('["1","2"]', ["1", "2"]), ([1, "2 ", None, ""], ["1", "2"]),
-                                     (None, []), ("", []), ("1,,2", ["1", "2"]), ("[1,", ["1"]), ("[]", [])])
-def test_delete_parameter_forms(raw, ids):
-    assert delete_ids(raw) == ids
+def test_delete_parameter_forms(spark):
+    """A list of ids and its texts, with any blanks in between, name the same rows in the same places."""
+    rng = random.Random(8)
+    for n in (0, 1, 4):
+        ids = [str(rng.randrange(10 ** 6)) for _ in range(n)]
+        texts = [",".join(ids), " , ".join([*ids, ""]), json.dumps(ids), json.dumps([int(i) for i in ids], indent=1), ",,".join(ids)]
+        for raw in (ids, [None, *map(int, ids), "  "], *texts, *([None] if n == 0 else []), *(map(int, ids) if n == 1 else [])):
+            assert [(r.pos, r.id) for r in deletes_from(spark, raw).orderBy("pos").collect()] == list(enumerate(ids))
 
 
 def test_later_steps_see_earlier_ones(spark, towers):
@@ -114,10 +121,25 @@ def test_hot_id_in_a_batch(spark, towers):
 
 
 def test_time_values(spark):
-    df = spark.createDataFrame([("1688169600000",), (" 1688169600000 ",), ("-1000000000000",), ("2023-07-01T12:00:00Z",), (None,), ("soon",), ("1e20",), ("8640000000000001",)], "v string")
-    assert [r.v for r in df.select(coerce_text(F.col("v")).alias("v")).collect()] == [
-        "2023-07-01T00:00:00.000Z", "2023-07-01T00:00:00.000Z", "1938-04-24T22:13:20.000Z", "2023-07-01T12:00:00Z", None, "soon", "1e20", "8640000000000001"]
+    """Random instants as numbers and as ISO text come back as that instant, words and numbers out of range as nothing."""
+    rng = random.Random(6)
+    instants = [rng.randrange(-4 * 10 ** 12, 4 * 10 ** 12) for _ in range(40)]
+    rows = []
+    for i, ms in enumerate(instants):
+        moment = datetime(1970, 1, 1) + timedelta(milliseconds=ms)
+        rows.append((i, f"  {ms}" if i % 2 else moment.isoformat(timespec="milliseconds") + "Z", moment.strftime("%Y-%m-%d %H:%M:%S")))
+    rows += [(99, text, None) for text in (None, "", "next week", "9e30", str(MAX_EPOCH_MS + 1), "2024-13-01")]
+    df = spark.createDataFrame(rows, "i int, v string, want string")
     for kind in ("timestamp_ntz", "timestamp", "date"):
         data_type = spark.sql(f"SELECT CAST(NULL AS {kind}) AS c").schema["c"].dataType
-        got = [r.v for r in df.select(coerce_time(F.col("v"), data_type).cast("string").alias("v")).collect()]
-        assert got[0][:10] == "2023-07-01" and got[2][:10] == "1938-04-24" and got[3][:10] == "2023-07-01" and got[4:] == [None] * 4
+        got = df.select("want", coerce_time(F.col("v"), data_type).cast("string").alias("v")).collect()
+        assert [r.v and r.v[:19] for r in got] == [r.want and (r.want[:10] if kind == "date" else r.want) for r in got]
+
+
+def test_rows_without_an_id_stay_and_join_nothing(spark, towers):
+    """No edit can name them; neither they nor requests without a key take part in a join."""
+    loose = towers.over(towers.df.withColumn("id", F.when(F.col("id") != 2, F.col("id"))))
+    sent = requests_from(spark, [{"attributes": {"id": 1, "name": "new"}}, {"attributes": {"name": "nobody"}}])
+    edit = apply_edits(loose, updates=sent, deletes=deletes_from(spark, "5,x"))
+    assert sorted((r.id or 0, r.name) for r in edit.rows.collect()) == [(0, "two"), (1, "new")]
+    assert {k: v[0] for k, v in outcome(edit).items()} == {("update", 0): True, ("update", 1): False, ("delete", 0): True, ("delete", 1): False}

@@ -1,5 +1,7 @@
 """Layers and feature queries: precedence, paging, ceilings, plans."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from geoloom import FeatureQuery, Layer, daily_tracks, feature_page, ingest_geom
 from geoloom.operators.filters import distance_filter, id_filter, time_filter
 from geoloom.operators.paging import TooManyRows, page, page_size, sort_columns
 from geoloom.operators.projection import project, selected_fields
+from workload.geometry import stored_count
 from workload.tables import boxes, position_layer, positions
 
 
@@ -279,3 +282,24 @@ def test_points_join_other_zones_and_other_rows_join_as_they_are(spark):
     pairs = lambda rel: sorted((r.id, r.zone) for r in points_in_polygons(rows, zones, rel).collect())
     assert pairs("intersects") == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 1)]
     assert (0, 0) not in pairs("within") and (1, 0) in pairs("within")
+
+
+def test_an_answer_carries_its_flag(layer):
+    """A page tells that more rows follow; without a limit the answer is the whole table, from any offset."""
+    n = layer.df.count()
+    for request, more in (({}, True), ({"order_by_fields": "speed"}, True), ({"result_type": "tile"}, True), ({"result_offset": n - 5}, False)):
+        small = replace(layer, max_record_count=10)
+        rows = small.query(with_exceeded=True, out_fields="oid", return_geometry=False, **request).collect()
+        assert len(rows) == (10 if more else 5) and {r.exceeded_transfer_limit for r in rows} == {more}
+        paged = small.page(out_fields="oid", return_geometry=False, **request)
+        assert paged.rows.count() == len(rows) and paged.exceeded.first()[0] is more
+    whole = replace(layer, max_record_count=0)
+    assert whole.query(out_fields="oid").count() == n and not whole.page(out_fields="oid").exceeded.first()[0]
+    assert [r.oid for r in whole.query(out_fields="oid", result_offset=n - 3, with_exceeded=True).collect()] == [n - 2, n - 1, n]
+
+
+def test_stored_layers_push_their_filters_down(spark, sf_dir):
+    plan = plan_of(stored_count(spark, sf_dir))
+    for name in ("LessThanOrEqual(_xmin,60.0)", "GreaterThanOrEqual(_xmax,-60.0)", "LessThanOrEqual(ts"):
+        assert name in plan[plan.index("PushedFilters"):]
+    assert "event_date" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom import (
-    Layer, assign_ids, cell_bins, daily_tracks, discover_columns, export_features, id_audit, latest_per_entity, layer_extent, minimum_scale,
+    Layer, assign_ids, cell_bins, cut_tracks, daily_tracks, discover_columns, export_features, id_audit, latest_per_entity, layer_extent, minimum_scale,
     points_in_polygons, refresh_catalog, spatial_join, time_extent, with_point, write_clustered, write_clustered_table,
 )
 from geoloom.functions.decode import parse_wkt
@@ -108,20 +108,25 @@ def test_latest(spark):
 def test_tracks_keep_every_position(spark):
     """Cut lines together run through the same stops as the whole one."""
     rows = [(1, i, float(i % 7), float(i % 5)) for i in range(103)] + [(2, i, 1.0, 2.0) for i in range(3)] + [(3, 0, 9.0, 9.0)]
-    df = spark.createDataFrame(rows, "e int, i int, x double, y double").withColumn("ts", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, i)"))
+    df = spark.createDataFrame(rows, "e int, i int, x double, y double").withColumn("ts", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, i, 0)"))
     whole = {r.entity: r for r in daily_tracks(df, "e", "ts", "x", "y", tie="i").collect()}
-    cut = daily_tracks(df, "e", "ts", "x", "y", tie="i", max_vertices=10).orderBy("entity", "part").collect()
-    joined = {}
-    for r in cut:
-        path = [(v.x, v.y) for v in r.geom.parts[0][0]]
-        before = joined.setdefault(r.entity, [])
-        if before:
-            assert before[-1] == path[0]
-            path = path[1:]
-        before += path
-        assert (r.position_count, r.start_time, r.end_time) == (whole[r.entity].position_count, whole[r.entity].start_time, whole[r.entity].end_time)
-    assert joined == {e: [(v.x, v.y) for v in r.geom.parts[0][0]] for e, r in whole.items()}
-    assert [r.part for r in cut if r.entity == 1] == list(range(11))
+    cut = cut_tracks(df, "e", "ts", "x", "y", 10, tie="i").orderBy("entity", "part").collect()
+    sliced = daily_tracks(df, "e", "ts", "x", "y", tie="i", slice_minutes=10).orderBy("entity", "part").collect()
+    for rows in (cut, sliced):
+        joined = {}
+        for r in rows:
+            path = [(v.x, v.y) for v in r.geom.parts[0][0]]
+            before = joined.setdefault(r.entity, [])
+            if before:
+                assert before[-1] == path[0]
+                path = path[1:]
+            before += path
+        assert joined == {e: [(v.x, v.y) for v in r.geom.parts[0][0]] for e, r in whole.items()}
+        assert [r.part for r in rows if r.entity == 1] == list(range(11))
+    assert all((r.position_count, r.start_time, r.end_time) == (whole[r.entity].position_count, whole[r.entity].start_time, whole[r.entity].end_time) for r in cut)
+    assert [r.position_count for r in sliced if r.entity == 1] == [10] * 10 + [3]
+    with pytest.raises(ValueError, match="divide the day"):
+        daily_tracks(df, "e", "ts", "x", "y", slice_minutes=7)
     assert whole[3].geom.type == "Point" and whole[1].geom.type == "LineString"
 
 

@@ -21,10 +21,10 @@ def test_the_named_folder_comes_first():
     assert scratch_path(session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/geoloom-x-")
 
 
-def test_a_cluster_without_one_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_root(session("spark://host:7077"))
-    assert "geoloom-" in scratch_root(session("local[2]"))
+def test_a_session_without_one_is_an_error():
+    for master in ("spark://host:7077", "local[2]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_root(session(master))
 
 
 def test_checkpoints_are_reliable_and_cut_the_plan(spark):

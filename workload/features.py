@@ -9,7 +9,7 @@ from geoloom.functions.geometry import as_geojson, point
 from geoloom.functions.times import epoch_ms
 from geoloom.operators.filters import drop_unusable_ids, id_filter, quality_filter, time_filter, where_filter
 from geoloom.operators.paging import count_rows, order_by, page, sort_columns, top_k
-from geoloom.operators.projection import normalize_columns, project
+from geoloom.operators.projection import normalize_columns
 from workload.registry import case
 from workload.tables import WITH, position_layer, positions, read
 
@@ -37,24 +37,28 @@ def feature_query_page(spark, sf_dir):
     return purchases_page(spark, sf_dir).select("oid", "entity", "speed", at[0].alias("lon"), at[1].alias("lat"))
 
 
+def everything(spark, sf_dir, **request):
+    """A layer query whose page takes every row."""
+    return position_layer(spark, sf_dir, max_record_count=0).query(**request)
+
+
 @case("b1_field_list", WITH + "SELECT event_type, entity, oid, lon AS x, lat AS y FROM positions")
 def field_list(spark, sf_dir):
-    layer = position_layer(spark, sf_dir)
-    rows = project(layer.df, " event_type ,ENTITY", "oid")
+    rows = everything(spark, sf_dir, out_fields=" event_type ,ENTITY")
     v = F.col("geom.parts")[0][0][0]
     return rows.select(*rows.columns[:-1], v["x"].alias("x"), v["y"].alias("y"))
 
 
 @case("b2_star", WITH + "SELECT oid, raw_id, entity, epoch_us(ts) // 1000 AS ts_ms, event_type, speed, lon, lat, 'Point' AS kind FROM positions")
 def star(spark, sf_dir):
-    rows = project(position_layer(spark, sf_dir).df, "*", "oid")
+    rows = everything(spark, sf_dir)
     kind = rows.schema["ts"].dataType
     return rows.withColumns({"ts_ms": epoch_ms(F.col("ts"), kind), "kind": F.col("geom.type")}).drop("ts", "geom")
 
 
 @case("b3_without_geometry", WITH + "SELECT entity, speed, oid FROM positions")
 def without_geometry(spark, sf_dir):
-    return project(position_layer(spark, sf_dir).df, "entity,speed", "oid", return_geometry=False)
+    return everything(spark, sf_dir, out_fields="entity,speed", return_geometry=False)
 
 
 @case("b4_where", WITH + """
@@ -174,6 +178,17 @@ def exceeded(spark, sf_dir):
         where="event_type <> 'error'", result_offset=100, result_record_count=50)).exceeded
 
 
+@case("g2_page_with_flag", WITH + """
+, kept AS (SELECT oid, speed FROM positions WHERE event_type <> 'error')
+SELECT oid, speed, (SELECT count(*) FROM kept) > 150 AS exceeded_transfer_limit FROM kept ORDER BY speed DESC NULLS LAST, oid LIMIT 50 OFFSET 100
+""")
+def flagged_second_page(spark, sf_dir):
+    """The page tells whether more rows follow, out of one run."""
+    return position_layer(spark, sf_dir).query(
+        where="event_type <> 'error'", order_by_fields="speed DESC", result_offset=100, result_record_count=50,
+        out_fields="oid,speed", return_geometry=False, with_exceeded=True)
+
+
 @case("g2_far_page", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_suppkey, l_extendedprice LIMIT 500 OFFSET 4000")
 def far_page(spark, sf_dir):
     """A page far down, cut by counted positions instead of a sort of all rows before it."""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom import (
-    export_features, ingest_geometry, normalize_shapes, points_in_polygons, profile_geometry, reproject, spatial_join,
+    Layer, export_features, ingest_geometry, normalize_shapes, points_in_polygons, profile_geometry, reproject, spatial_join,
     unwrap_dateline, with_point, wrap_longitudes, write_clustered,
 )
 from geoloom.functions.geometry import as_geojson, as_wkt, box, dimension, envelope, line, type_name, vertices, with_bounds
@@ -96,8 +96,32 @@ def ingest_geojson(spark, sf_dir):
     return _shape_row(with_geometry(box_values(spark, sf_dir).withColumn("geojson", text), "geojson", srid=3857))
 
 
-@case("a5_ingest_native", SHAPE_SQL.format(kind="Polygon", srid=4326, n=5))
+NATIVE_SRID = "CASE oid % 3 WHEN 0 THEN 4326 WHEN 1 THEN 3857 ELSE 0 END"
+
+
+def native_boxes(spark, sf_dir) -> DataFrame:
+    """Rectangles as Spark's own geometry type, with two spatial references and without one."""
+    spark.conf.set("spark.sql.geospatial.enabled", "true")
+    stored = box_values(spark, sf_dir).withColumn("raw", polygon_wkb("x0", "y0", "x1", "y1"))
+    return stored.withColumn("shape", F.expr(f"st_setsrid(st_geomfromwkb(raw), {NATIVE_SRID})")).drop("raw")
+
+
+@case("a5_ingest_native", SHAPE_SQL.format(kind="Polygon", srid=NATIVE_SRID, n=5))
 def ingest_native(spark, sf_dir):
+    return _shape_row(with_geometry(native_boxes(spark, sf_dir), "shape"))
+
+
+@case("a6_profile_native", WITH + f"""
+SELECT 'GEOMETRY' AS format, 'Polygon' AS type, CAST({NATIVE_SRID} AS INT) AS srid, CASE WHEN {NATIVE_SRID} = 0 THEN 'no srid' ELSE 'ok' END AS state, count(*) AS n_rows
+FROM boxes GROUP BY ALL
+""")
+def native_profile(spark, sf_dir):
+    return profile_geometry(native_boxes(spark, sf_dir), "shape")
+
+
+@case("a5_ingest_struct", SHAPE_SQL.format(kind="Polygon", srid=4326, n=5))
+def ingest_struct(spark, sf_dir):
+    """A column that holds the decoded form already."""
     stored = boxes(spark, sf_dir).withColumnRenamed("geom", "shape")
     return _shape_row(with_geometry(stored, "shape"))
 
@@ -169,6 +193,14 @@ def export_wkt(spark, sf_dir):
     return _shape_row(with_geometry(spark.read.parquet(path).withColumnRenamed("geom", "text"), "text", "WKT"))
 
 
+def stored_layer(spark, sf_dir) -> Layer:
+    """Positions written in clusters by day and place and opened again."""
+    path = scratch_path(spark, "layer")
+    dated = position_layer(spark, sf_dir).df.withColumn("event_date", F.to_date("ts"))
+    write_clustered(dated, path, "event_date", "oid")
+    return Layer.path(spark, path, "geom", id_field="oid", time_field="ts", date_field="event_date", geometry_type="Point")
+
+
 @case("a10_quarantine", """
 SELECT event_type, count(*) AS n_rows, CAST(count_if(event_type = 'signup') AS BIGINT) AS n_unreadable, CAST(count_if(event_type IN ('signup', 'error')) AS BIGINT) AS n_without
 FROM events GROUP BY 1
@@ -181,6 +213,32 @@ def quarantined(spark, sf_dir):
         F.count_if(missing).alias("n_without"))
 
 
+@case("a10_quarantine_rows", WITH + """
+SELECT oid, event_type, 'POLYGON((' AS begin, ', 0 0, 1 1, 2 2))' AS rest FROM positions WHERE event_type = 'signup'
+""")
+def quarantine_rows(spark, sf_dir):
+    """The unreadable rows with their value as it came, also where the decoded column takes its name."""
+    stored = mixed_text(spark, sf_dir).withColumnRenamed("shape_text", "geom")
+    _, bad = ingest_geometry(stored, "geom", "WKT")
+    return bad.select("oid", "event_type", F.substring("geom", 1, 9).alias("begin"), F.regexp_extract("geom", r", 0 0.*", 0).alias("rest"))
+
+
+@case("a11_stored_page", WITH + """
+SELECT oid, entity, speed FROM positions WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-20'
+  AND lon BETWEEN -60 AND 60 AND lat BETWEEN -30 AND 30 ORDER BY speed DESC NULLS LAST, oid LIMIT 100
+""")
+def stored_page(spark, sf_dir):
+    """Time, box and condition on clustered files."""
+    return stored_layer(spark, sf_dir).query(
+        time="1704844800000,1705708800000", geometry=WINDOW, where="event_type = 'view'", order_by_fields="speed DESC",
+        result_record_count=100, out_fields="oid,entity,speed", return_geometry=False)
+
+
+@case("a11_stored_count", WITH + "SELECT count(*) AS count FROM positions WHERE lon BETWEEN -60 AND 60 AND lat BETWEEN -30 AND 30 AND ts <= TIMESTAMP '2024-01-20'")
+def stored_count(spark, sf_dir):
+    return stored_layer(spark, sf_dir).query(time="null,1705708800000", geometry=WINDOW, return_count_only=True)
+
+
 @case("a11_clustered_write", WITH + """
 SELECT strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS n, CAST(sum(oid) AS BIGINT) AS oids, round(sum(lon), 4) AS lons, round(sum(lat), 4) AS lats
 FROM positions GROUP BY 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geoloom import (
-    Layer, assign_ids, cell_bins, daily_tracks, discover_columns, id_audit, latest_per_entity, layer_extent, minimum_scale,
+    Layer, assign_ids, cell_bins, cut_tracks, daily_tracks, discover_columns, id_audit, latest_per_entity, layer_extent, minimum_scale,
     refresh_catalog, roll_up, table_profile, time_extent,
 )
 from geoloom.functions.cells import hex_edge
@@ -14,11 +14,13 @@ from geoloom.functions.times import epoch_ms
 from workload.registry import case
 from workload.tables import WITH, boxes, position_layer, positions, read, segments
 
-EDGE = repr(hex_edge(3))
+RESOLUTION = 2
+EDGE = repr(hex_edge(RESOLUTION))
 
-# The hexagon of a point is the one with the nearest centre; the SQL tries the four centres around it.
-HEXAGONS = WITH + f""", projected AS (
-  SELECT *, radians(lon) * 20037508.342789244 / pi() / {EDGE} AS u, asinh(tan(radians(lat))) * 20037508.342789244 / pi() / {EDGE} AS v FROM positions),
+# Positions in a tenth of the world each way, so that a cell holds many of them. The hexagon of a point is the one with the nearest centre; the SQL tries the four centres around it.
+HEXAGONS = WITH + f""", crowded AS (SELECT * REPLACE (lon / 1e1 AS lon, lat / 1e1 AS lat) FROM positions),
+projected AS (
+  SELECT *, radians(lon) * 20037508.342789244 / pi() / {EDGE} AS u, asinh(tan(radians(lat))) * 20037508.342789244 / pi() / {EDGE} AS v FROM crowded),
 axial AS (SELECT *, u / sqrt(3e0) - v / 3e0 AS q0, v * 2e0 / 3e0 AS r0 FROM projected),
 centres AS (
   SELECT *, floor(q0) + a AS q, floor(r0) + b AS r FROM axial, (VALUES (0), (1)) AS s(a), (VALUES (0), (1)) AS t(b)),
@@ -27,14 +29,15 @@ nearest AS (
          arg_min(CAST(r AS BIGINT), power(u - sqrt(3e0) * (q + r / 2e0), 2) + power(v - 1.5e0 * r, 2)) AS r
   FROM centres GROUP BY oid),
 placed AS (
-  SELECT p.*, n.q, n.r, CAST(3 * 288230376151711744 + (n.q + 268435456) * 536870912 + n.r + 268435456 AS BIGINT) AS cell
-  FROM positions p JOIN nearest n USING (oid))
+  SELECT p.*, n.q, n.r, CAST({RESOLUTION} * 288230376151711744 + (n.q + 268435456) * 536870912 + n.r + 268435456 AS BIGINT) AS cell
+  FROM crowded p JOIN nearest n USING (oid))
 """
 
 
 def bins_of(spark, sf_dir, **options):
     given = {"entity": "entity", "speed": "speed", "category": "event_type", "time": "ts", **options}
-    return cell_bins(positions(spark, sf_dir), "lon", "lat", 3, **given)
+    crowded = positions(spark, sf_dir).withColumns({"lon": F.col("lon") / 10, "lat": F.col("lat") / 10})
+    return cell_bins(crowded, "lon", "lat", RESOLUTION, **given)
 
 
 @case("e2_layer_extent", WITH + "SELECT min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, max(lat) AS ymax, CAST(4326 AS INT) AS wkid FROM positions")
@@ -81,10 +84,10 @@ def bins_with_lists(spark, sf_dir):
 
 @case("e5_roll_up", HEXAGONS + """
 , bins AS (SELECT cell, count(*) AS n, count(DISTINCT entity) AS e FROM placed GROUP BY cell)
-SELECT count(*) AS total_cells, CAST(sum(n) AS BIGINT) AS total_positions, CAST(sum(e) AS BIGINT) AS unique_entities FROM bins WHERE n > 1
+SELECT count(*) AS total_cells, CAST(sum(n) AS BIGINT) AS total_positions, CAST(sum(e) AS BIGINT) AS unique_entities FROM bins WHERE n > 10
 """)
 def rolled_up(spark, sf_dir):
-    return roll_up(bins_of(spark, sf_dir), least=1)
+    return roll_up(bins_of(spark, sf_dir), least=10)
 
 
 TRACKS = WITH + """
@@ -112,6 +115,20 @@ def tracks(spark, sf_dir):
     return _track_rows(daily_tracks(positions(spark, sf_dir), "entity", "ts", "lon", "lat", "speed", "event_type", "oid"))
 
 
+@case("e6_daily_tracks_sliced", WITH + """
+, stops AS (SELECT *, strftime(ts, '%Y-%m-%d') AS track_date, CAST(date_part('hour', ts) // 6 AS BIGINT) AS part FROM positions),
+slices AS (
+  SELECT entity, track_date, part, min(ts) AS t0, max(ts) AS t1, count(*) AS position_count, avg(speed) AS avg_speed, max(event_type) AS entity_name,
+         string_agg(concat(round(lon * 100), '/', round(lat * 100)), ' ' ORDER BY ts, oid) AS path,
+         arg_min(concat(round(lon * 100), '/', round(lat * 100)), (ts, oid)) AS first_stop FROM stops GROUP BY ALL)
+SELECT entity, track_date, part, epoch_us(t0) // 1000 AS t0, epoch_us(t1) // 1000 AS t1, position_count, round(avg_speed, 6) AS avg_speed, entity_name,
+       concat_ws(' ', path, lead(first_stop) OVER (PARTITION BY entity, track_date ORDER BY part)) AS path FROM slices
+""")
+def tracks_sliced(spark, sf_dir):
+    """Quarters of days, each line reaching to the first stop of the next quarter."""
+    return _track_rows(daily_tracks(positions(spark, sf_dir), "entity", "ts", "lon", "lat", "speed", "event_type", "oid", slice_minutes=360))
+
+
 @case("e6_daily_tracks_cut", WITH + """
 , ranked AS (
   SELECT entity, strftime(ts, '%Y-%m-%d') AS track_date, oid, lon, lat,
@@ -126,7 +143,7 @@ FROM pieces GROUP BY entity, track_date, part
 """)
 def tracks_cut(spark, sf_dir):
     """Days above the vertex limit come in parts that share their joints."""
-    rows = daily_tracks(positions(spark, sf_dir), "entity", "ts", "lon", "lat", tie="oid", max_vertices=2)
+    rows = cut_tracks(positions(spark, sf_dir), "entity", "ts", "lon", "lat", 2, tie="oid")
     xs, ys = vertices(F.col("geom")).getField("x"), vertices(F.col("geom")).getField("y")
     return rows.select(
         "entity", F.col("track_date").cast("string").alias("track_date"), "part", "position_count",
