@@ -2,7 +2,7 @@
 
 import pytest
 
-from geoloom.plans.guard import check_field, check_identifier, check_where, parse_ids, parse_integer
+from geoloom.plans.guard import FUNCTIONS, check_field, check_identifier, check_where, parse_ids, parse_integer
 from geoloom.plans.feature_query import FeatureQuery
 from geoloom.functions.times import parse_instant
 
@@ -85,3 +85,23 @@ def test_function_names_stand_plainly(clause):
     with pytest.raises(ValueError, match="plain function names"):
         check_where(clause)
     assert check_where("`category` = 'identifier(' AND (`a` > 1)")
+
+
+@pytest.mark.parametrize("call", ["reflect('a', 'b')", "try_reflect ('a')", "java_method\n('a')", "uuid()", "rand()", "current_user()", "input_file_name()",
+                                  "raise_error('x')", "read_files('/etc')", "sum(speed)", "my_function(1)", "exists(list, x -> true)"])
+def test_only_listed_functions(call):
+    with pytest.raises(ValueError, match="Function"):
+        check_where(f"kind = 'a' OR {call} = 1")
+
+
+@pytest.mark.parametrize("clause", ["other.lower(kind) = 'a'", "cat . db . abs (1) = 1"])
+def test_functions_of_other_schemas(clause):
+    with pytest.raises(ValueError, match="plain function names"):
+        check_where(clause)
+
+
+def test_listed_functions_are_built_in(spark):
+    """Every listed name is Spark's own, gives the same answer each time, and looks at one row."""
+    known = {r.function.split(".")[-1] for r in spark.sql("SHOW SYSTEM FUNCTIONS").collect()}
+    assert FUNCTIONS - known <= {"extract", "trim"}
+    assert check_where("abs(speed) > 2 AND NOT (lower(kind) IN ('a') OR CAST(speed AS DECIMAL(9, 2)) BETWEEN (1) AND (2))")
