@@ -4,7 +4,9 @@ The CGK walk copies the current word and steps on by a random bit of it, so that
 texts a few edits apart have embeddings with a small Hamming distance. Equal
 samples of a few places of the embedding make an item-sized window of a document
 a candidate for an item; enough walks and samples bring the recall to target.
-Windows that share too few neighbouring word pairs with any item of their length
+Long items are searched as pieces of bounded length: of the pieces of an item
+within the distance at least one is within its own share of the edits, so that
+the recall does not fall with the length. Windows that share too few neighbouring word pairs with any item of their length
 to be within the distance are left out before (no window within it is lost).
 Candidates are verified by the exact edit distance.
 """
@@ -27,8 +29,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Words an item needs to count as evidence; edits allowed in hundredths of its words.
 LEAST_WORDS, PERCENT = 8, 20
-#: Random walks, samples of each walk's embedding, places of a sample: recall of at least 0.99 at the largest distance (tests/llm measures it).
+#: Random walks, samples of each walk's embedding, places of a sample: recall of at least 0.99 at the largest distance for up to PIECE words (tests/llm measures it).
 WALKS, SAMPLES, PLACES = 8, 12, 3
+#: Words of the pieces that an item is searched in, at most.
+PIECE = 32
 #: Words of the items searched for together; a larger benchmark is searched in several passes.
 SLICE_WORDS = 200_000
 #: Bytes of text searched together.
@@ -76,8 +80,14 @@ class Search:
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.items = items
+        #: (item, its words before the piece, words of the piece)
+        self.pieces: list[tuple[int, int, np.ndarray]] = []
+        for member, (_, words) in enumerate(items):
+            count = -(-len(words) // PIECE)
+            cuts = [len(words) * i // count for i in range(count + 1)]
+            self.pieces += [(member, a, words[a:b]) for a, b in zip(cuts, cuts[1:])]
         self.by_length: dict[int, list[int]] = {}
-        for k, (_, words) in enumerate(items):
+        for k, (_, _, words) in enumerate(self.pieces):
             self.by_length.setdefault(len(words), []).append(k)
         # Lengths a quarter apart share a class; a class is a bit of the table of word pairs.
         self.classes: list[list[int]] = []
@@ -86,16 +96,16 @@ class Search:
                 self.classes[-1].append(n)
             else:
                 self.classes.append([n])
-        pairs = sum(max(0, len(w) - 1) for _, w in items)
+        pairs = sum(max(0, len(w) - 1) for _, _, w in self.pieces)
         self.bits = max(16, int(np.ceil(np.log2(64 * max(1, pairs)))))
         self.table = np.zeros(1 << self.bits, np.uint64)
         for c, lengths in enumerate(self.classes):
             for n in lengths:
                 for k in self.by_length[n]:
-                    at = self._pairs(items[k][1])
+                    at = self._pairs(self.pieces[k][2])
                     self.table[at] |= np.uint64(1) << np.uint64(c % 64)
         # An edit changes two pairs and may join two runs of a repeated word, which then count once.
-        self.need = [max(1, min(int(self._fresh(items[k][1]).sum()) - 3 * _allowed(n) for n in lengths for k in self.by_length[n])) for lengths in self.classes]
+        self.need = [max(1, min(int(self._fresh(self.pieces[k][2]).sum()) - 3 * _allowed(n) for n in lengths for k in self.by_length[n])) for lengths in self.classes]
         # Places are drawn from the part of the walk that the shortest item of the class fills.
         rng = np.random.default_rng(20240601)
         self.keys = []
@@ -103,7 +113,7 @@ class Search:
             members = np.array([k for n in lengths for k in self.by_length[n]])
             words = np.ones((len(members), lengths[-1]), np.uint64)
             for row, k in enumerate(members):
-                words[row, :len(items[k][1])] = items[k][1]
+                words[row, :len(self.pieces[k][2])] = self.pieces[k][2]
             most = max(PLACES, 3 * lengths[0] // 2)
             places = [[np.sort(rng.choice(most, PLACES, replace=False)) for _ in range(SAMPLES)] for _ in range(WALKS)]
             keys = []
@@ -148,7 +158,7 @@ class Search:
         return fresh
 
     def _starts(self, words: Words, flags: np.ndarray, lengths: list[int], c: int) -> np.ndarray:
-        """First words of windows that share enough word pairs with the items of a class."""
+        """First words of windows that share enough word pairs with the pieces of a class."""
         low, high = lengths[0], lengths[-1]
         pairs = np.concatenate([[0], np.cumsum((flags >> np.uint64(c % 64)).astype(np.uint8) & np.uint8(1), dtype=np.int32)])
         need = self.need[c]
@@ -187,8 +197,9 @@ class Search:
                 for found, (known, members) in zip(self._sampled(windows, walk, places[walk]), keys[walk * SAMPLES:(walk + 1) * SAMPLES], strict=True):
                     left, right = np.searchsorted(known, found), np.searchsorted(known, found, side="right")
                     for w in np.flatnonzero(right > left):
-                        for member in members[left[w]:right[w]]:
-                            candidates.setdefault((int(owner[w]), int(member)), []).append(int(starts[w]))
+                        for piece in members[left[w]:right[w]]:
+                            member, before, _ = self.pieces[piece]
+                            candidates.setdefault((int(owner[w]), member), []).append(int(starts[w]) - before)
         for (doc, member), at in sorted(candidates.items()):
             item = self.items[member][1]
             n, k = len(item), _allowed(len(item))

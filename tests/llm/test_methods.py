@@ -83,6 +83,24 @@ def test_edited_passages_are_found_with_the_promised_recall():
         assert edit_distance_to_run(items[m], texts[d]) <= distance <= len(items[m]) // 5
 
 
+@pytest.mark.parametrize("kind", ["replaced", "inserted", "deleted", "mixed"])
+def test_long_passages_are_found_at_the_largest_distance(kind):
+    rng = random.Random(11)
+    for n in (8, 33, 40, 100, 200, 300):
+        items = [[f"w{rng.randrange(2000)}" for _ in range(n)] for _ in range(25)]
+        texts = []
+        for item in items:
+            passage = list(item)
+            for i, at in enumerate(sorted(rng.sample(range(n), n // 5), reverse=True)):
+                does = kind if kind != "mixed" else ("replaced", "inserted", "deleted")[i % 3]
+                passage[at:at + 1] = {"replaced": [f"x{at}"], "inserted": [passage[at], f"x{at}"], "deleted": []}[does]
+            texts.append([f"y{rng.randrange(2000)}" for _ in range(20)] + passage + [f"y{rng.randrange(2000)}" for _ in range(20)])
+        hashed = [next(decontaminate._words(pa.array([" ".join(i)]), 1))[2].hashes for i in items]
+        _, _, words = next(decontaminate._words(pa.array([" ".join(t) for t in texts]), 1 << 30))
+        found = {(d, m) for d, m, distance, *_ in decontaminate.Search(list(enumerate(hashed))).block(words) if distance <= n // 5}
+        assert sum((d, d) in found for d in range(25)) >= 24, n
+
+
 def test_exact_edit_distance():
     rng = random.Random(8)
     for _ in range(300):
