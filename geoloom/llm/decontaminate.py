@@ -203,18 +203,22 @@ class Search:
         for (doc, member), at in sorted(candidates.items()):
             item = self.items[member][1]
             n, k = len(item), _allowed(len(item))
-            best, tried = None, -1
+            base, limit = int(words.offsets[doc]), int(words.offsets[doc + 1])
+            # All that a match near a candidate can take up, once where it overlaps.
+            regions: list[list[int]] = []
             for s in sorted(set(at)):
-                if s + n <= tried:  # inside the last region
-                    continue
-                first = max(int(words.offsets[doc]), s - k)
-                tried = min(int(words.offsets[doc + 1]), s + 2 * n + 2 * k)
-                distance, end = best_match(item, hashes[first:tried])
+                first, last = max(base, s - k), min(limit, s + n + 2 * k)
+                if regions and first <= regions[-1][1]:
+                    regions[-1][1] = last
+                else:
+                    regions.append([first, last])
+            best = None
+            for first, last in regions:
+                distance, end = best_match(item, hashes[first:last])
                 if distance <= k and (best is None or distance < best[0]):
-                    best = (distance, first, first + end)
+                    best = (distance, first + end)
             if best:
-                base = int(words.offsets[doc])
-                yield doc, member, best[0], max(0, best[2] - base - n), best[2] - base
+                yield doc, member, best[0], max(0, best[1] - base - n), best[1] - base
 
 
 def _passes(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, np.ndarray]]]:

@@ -101,6 +101,15 @@ def test_long_passages_are_found_at_the_largest_distance(kind):
         assert sum((d, d) in found for d in range(25)) >= 24, n
 
 
+def test_a_match_after_a_failed_candidate_is_searched_to_its_end(monkeypatch):
+    item, other = [f"w{i}" for i in range(30)], [f"y{i}" for i in range(60)]
+    passage = item[:12] + [f"x{i}" for i in range(6)] + item[12:]
+    text = item[:20] + other[:22] + passage + other[30:]
+    hashed, words = (next(decontaminate._words(pa.array([" ".join(t)]), 1))[2] for t in (item, text))
+    monkeypatch.setattr(decontaminate.Search, "_starts", lambda *_: np.array([0, 42]))
+    assert list(decontaminate.Search([(0, hashed.hashes)]).block(words)) == [(0, 0, 6, 48, 78)]
+
+
 def test_exact_edit_distance():
     rng = random.Random(8)
     for _ in range(300):
