@@ -13,6 +13,7 @@ Candidates are verified by the exact edit distance.
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from geoloom.llm.arrays import Words, blocks, byte_table, mix, separators, slice
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Words an item needs to count as evidence; edits allowed in hundredths of its words.
+#: Items of fewer words must occur word by word; edits allowed in hundredths of the words of the others.
 LEAST_WORDS, PERCENT = 8, 20
 #: Random walks, samples of each walk's embedding, places of a sample: recall of at least 0.99 at the largest distance for up to PIECE words (tests/llm measures it).
 WALKS, SAMPLES, PLACES = 8, 12, 3
@@ -82,7 +83,11 @@ class Search:
         self.items = items
         #: (item, its words before the piece, words of the piece)
         self.pieces: list[tuple[int, int, np.ndarray]] = []
+        short: dict[int, list[int]] = {}
         for member, (_, words) in enumerate(items):
+            if len(words) < LEAST_WORDS:
+                short.setdefault(len(words), []).append(member)
+                continue
             count = -(-len(words) // PIECE)
             cuts = [len(words) * i // count for i in range(count + 1)]
             self.pieces += [(member, a, words[a:b]) for a, b in zip(cuts, cuts[1:])]
@@ -123,6 +128,21 @@ class Search:
                     keys.append((found[order], members[order]))
             self.keys.append((places, keys))
 
+        #: Length of short items, their sorted keys and the items.
+        self.short: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for n, members in sorted(short.items()):
+            found = np.array([self._runs(items[k][1], n)[0] for k in members])
+            order = np.argsort(found, kind="stable")
+            self.short.append((n, found[order], np.array(members)[order]))
+
+    @staticmethod
+    def _runs(words: np.ndarray, n: int) -> np.ndarray:
+        """Keys of the runs of n words."""
+        key = np.zeros(max(0, len(words) - n + 1), np.uint64)
+        for j in range(n):
+            key = mix(key * _PAIR + words[j:j + len(key)])
+        return key
+
     def _pairs(self, words: np.ndarray) -> np.ndarray:
         return (mix(words[:-1] * _PAIR + words[1:]) >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -175,10 +195,25 @@ class Search:
         some_ends = np.minimum(some + reach, last)
         return some[(pairs[np.maximum(some_ends, some)] - pairs[some] >= need) & (last - some + 1 >= low - _allowed(low))]
 
+    def _word_by_word(self, words: Words) -> Iterator[tuple[int, int, int, int, int]]:
+        """The first place of each short item in each document."""
+        for n, known, members in self.short:
+            found = self._runs(words.hashes, n)
+            left, right = np.searchsorted(known, found), np.searchsorted(known, found, side="right")
+            at = np.flatnonzero(right > left)
+            owner = np.searchsorted(words.offsets, at, side="right") - 1
+            inside = at + n <= words.offsets[owner + 1]
+            at, owner = at[inside], owner[inside]
+            for i in np.unique(owner * len(known) + left[at], return_index=True)[1]:
+                place = int(at[i] - words.offsets[owner[i]])
+                for member in members[left[at[i]]:right[at[i]]]:
+                    yield int(owner[i]), int(member), 0, place, place + n
+
     def block(self, words: Words) -> Iterator[tuple[int, int, int, int, int]]:
         """(document of the block, item, distance, first word searched, word after the match)."""
         hashes = words.hashes
-        if len(hashes) < 2:
+        yield from self._word_by_word(words)
+        if len(hashes) < 2 or not self.pieces:
             return
         flags = np.append(np.where(self._fresh(hashes), self.table[self._pairs(hashes)], np.uint64(0)), np.uint64(0))
         crossing = words.offsets[1:-1] - 1  # pairs over the end of a document
@@ -223,18 +258,21 @@ class Search:
 
 def _passes(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, np.ndarray]]]:
     """Items with their words, cut so that what a pass sends to the executors is bounded by SLICE_WORDS."""
-    rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL").distinct().orderBy("id", "text")
+    rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).distinct().orderBy(F.col("id").asc_nulls_last(), "text")
     passes, size = [[]], 0
+    seen: set[bytes] = set()
     for batch in rows.toArrow().to_batches():
         for first, end, words in _words(batch.column(1).fill_null(""), BLOCK):
             for d in range(end - first):
                 item = words.hashes[words.offsets[d]:words.offsets[d + 1]]
-                if len(item) < LEAST_WORDS:
+                key, id_ = hashlib.blake2b(item.tobytes(), digest_size=16).digest(), batch.column(0)[first + d].as_py()
+                if not len(item) or id_ is None and key in seen:
                     continue
+                seen.add(key)
                 if size and size + len(item) > SLICE_WORDS:
                     passes.append([])
                     size = 0
-                passes[-1].append((batch.column(0)[first + d].as_py(), item))
+                passes[-1].append((id_, item))
                 size += len(item)
     return [p for p in passes if p]
 
@@ -242,11 +280,13 @@ def _passes(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Rows (id, item, distance, start_word, end_word): documents with a run of words within 20 % word edits of a benchmark item, and its place.
 
-    Words are lower-cased and lie between white space and ASCII punctuation. Items
-    of fewer than 8 words are no evidence and are not searched for; texts and items
-    may be null or empty and then hold nothing. A document gives one row per item,
-    the best match. Null and repeated ids of documents are kept; rows that repeat
-    an item's id are items of their own. Other columns are not read.
+    Words are lower-cased and lie between white space and ASCII punctuation. An item
+    of fewer than 8 words must occur word by word, however short it is; texts and
+    items may be null or without words and then hold nothing. A document gives one
+    row per item, the best match (of equal ones the first). Null and repeated ids of
+    documents are kept; rows that repeat an item's id are items of their own. Items
+    without an id are returned with a null one; if their words are those of an item
+    with an id or of another without one, they are that item. Other columns are not read.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"`{id_col}` long, `{item_col}` long, distance long, start_word long, end_word long"

@@ -81,6 +81,17 @@ def test_contamination(docs, spark):
     assert find_contamination(docs.limit(0), items).count() == 0
 
 
+def test_contamination_by_short_items_and_items_without_an_id(spark):
+    question = "What is the longest river, really?"
+    texts = [(1, f"first. {question} yes"), (2, "what is the longest"), (3, "river really what is the longest"), (4, "Paris"), (5, f"x {PROSE} y"), (6, "paris alpha0 beta"), (7, None),
+             (8, f"WHAT is the longest - river really; {question}")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, question), (2, "Paris!"), (None, PROSE), (None, PROSE + "."), (None, question), (3, "?!"), (None, None)], "item_id long, text string")
+    rows = by_id(find_contamination(docs, items))
+    assert rows == sorted([(1, 1, 0, 1, 7), (8, 1, 0, 0, 6), (4, 2, 0, 0, 1), (6, 2, 0, 0, 1), (5, None, 0, 1, 25)], key=repr)
+    assert sorted(r.doc_id for r in drop_contaminated(docs, items).collect()) == [2, 3, 7]
+
+
 def test_toxicity(docs, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = fit_toxicity(docs, none)
