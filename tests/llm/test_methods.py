@@ -127,6 +127,15 @@ def test_word_by_word_ids_are_those_of_the_whole_text():
         assert ids[offsets[0]:offsets[1]].tolist() == tokens.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_a_pair_at_the_threshold_survives_an_unlucky_sketch():
+    # 300 of 400 values are common, but only 44 of the smallest 84.
+    low = [0] * 44 + [1] * 20 + [2] * 20
+    random.Random(4).shuffle(low)
+    side = np.array([*low, *[0] * 256, *[1] * 30, *[2] * 30])
+    sets = [np.flatnonzero((side == 0) | (side == k)).astype(np.uint64) for k in (1, 2)]
+    assert near_dedup._exact_links(sets, 75, None) and near_dedup._sketch_links(np.array([350, 350]), [s[:near_dedup.RETAINED] for s in sets], 75, None)
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)]
