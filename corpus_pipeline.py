@@ -28,10 +28,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies. Documents without an id belong to no group and stay; of rows that share an id one stays."""
+    """One document of each group of near copies. Documents without an id belong to no group and stay.
+
+    Of rows that share an id one stays: the longest text, of equally long ones the first in the order of the columns.
+    """
     kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    order = F.struct((-F.coalesce(F.length("text"), F.lit(-1))).alias("_order"), *docs.columns)
+    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(order).alias("_row"))
+    return named.select(*(F.col("_row")[c].alias(c) for c in docs.columns)).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

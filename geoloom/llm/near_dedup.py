@@ -182,8 +182,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     2.5e-8, one set inside the other), similar pairs less. A null or empty
     text, or one without words, has no shingles and is linked with nothing.
     Rows of a null id keep their size, have a null component and are not kept.
-    Rows that share an id are one document, linked with whatever one of its
-    texts is linked with. Other columns are not read.
+    Rows that share an id are one document of one component, linked with
+    whatever one of its texts is linked with. Other columns are not read.
     """
     table = checkpoint(shingle_table(docs, id_col, text_col, RETAINED))
     filled = table.filter("n_shingles > 0 AND id IS NOT NULL")
@@ -225,9 +225,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return _cell_links(table, lambda t, order, values, across: _exact_links(values, percent, across))
 
     links = exact_cells.select("_group", "_i", "_j", "_block", "id", "values").groupBy("_group", "_i", "_j").applyInArrow(confirmed, "a long, b long")
-    joined = components(links)
+    # Ids with several sets, or with a set and none, link all their classes.
+    of_class = F.struct("n_shingles", "high", "low")
+    split = checkpoint(table.filter("id IS NOT NULL").groupBy("id").agg(F.min(of_class).alias("first"), F.max(of_class).alias("last")).filter("first <> last").select("id"))
+    own = filled.join(split, "id", "left_semi").join(classes, ["n_shingles", "high", "low"]).select(F.col("id").alias("a"), F.col("representative").alias("b"))
+    joined = components(links.unionByName(own))
     named = classes.join(joined.withColumnRenamed("id", "representative"), "representative", "left") \
-        .select("n_shingles", "high", "low", F.coalesce("component", "representative").alias("class_component"))
+        .select("n_shingles", "high", "low", F.lit(0).cast("long").alias("_empty"), F.coalesce("component", "representative").alias("class_component"))
+    bare = joined.join(split, "id", "left_semi").select(*(F.lit(0).cast("long").alias(c) for c in ("n_shingles", "high", "low")), F.col("id").alias("_empty"), "component")
+    named = named.unionByName(bare.withColumnRenamed("component", "class_component"))
     component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("class_component", "id"))
-    return table.drop("values").join(named, ["n_shingles", "high", "low"], "left").select(
+    rows = table.drop("values").withColumn("_empty", F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.lit(0)))
+    return rows.join(named, ["n_shingles", "high", "low", "_empty"], "left").select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from geoloom.llm.chat import format_conversations
 from geoloom.llm.decontaminate import drop_contaminated, find_contamination
 from geoloom.llm.near_dedup import near_duplicates
@@ -38,6 +39,20 @@ def test_near_duplicates(docs, spark):
     assert near_duplicates(docs).count() == docs.count() and near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdef"}
+    rows = [(5, texts["a"]), (5, texts["b"] + " tail"), (2, texts["b"]), (1, texts["c"]), (1, texts["d"]), (3, texts["d"]), (7, None), (7, texts["e"]), (6, texts["e"]), (8, texts["f"]), (8, ""),
+            (9, texts["c"] + " tail"), (4, ""), (None, texts["a"])]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, place int")
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect()}
+    assert got == {(5, 2, False), (2, 2, True), (1, 1, True), (3, 1, False), (9, 1, False), (7, 6, False), (6, 6, True), (8, 8, True), (4, 4, True), (None, None, False)}
+    assert near_duplicates(docs).count() == len(rows)
+    more = docs.unionByName(spark.createDataFrame([(10, "short text", 20), (10, "a longer text", 22), (10, "a longer text", 21)], docs.schema))
+    for parts in (1, 3):
+        stay = {(r.doc_id, r.place) for r in corpus_pipeline.near_dedup(spark, more.repartition(parts, "place"), "").collect()}
+        assert stay == {(2, 2), (1, 3), (6, 8), (8, 9), (4, 12), (None, 13), (10, 21)}
+
+
 def test_repeated_words(docs):
     rows = {(r.doc_id, r.n_words, r.n_removed, r.kept) for r in repeated_words(docs).collect() if r.doc_id != 5}
     assert (1, 24, 0, PROSE) in rows and (2, 24, 24, "") in rows and (None, 24, 24, "") in rows and (4, 0, 0, "") in rows and (7, 2, 0, "one word") in rows
