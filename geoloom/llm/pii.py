@@ -19,11 +19,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "account", "address")
 
-#: Schemes, words before an identifier and words that end a street address, as they are looked for (also capitalised and in capitals).
+#: Schemes, words before an identifier and words that end a street address, as they are looked for (A-Z may be in either case).
 SCHEMES = ("http://", "https://", "ftp://", "mailto:")
 CUES = ("account", "acct", "iban", "passport", "ssn", "customer id", "user id")
 STREETS = ("street", "avenue", "road", "boulevard", "lane", "straße", "strasse")
 
+_FOLDED = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
@@ -59,8 +60,7 @@ class Finder:
         anchors |= {str(d): ("number",) for d in range(10)}
         for name, words in (("url", SCHEMES), ("account", CUES), ("address", STREETS)):
             for word in words:
-                for form in (word, word.capitalize(), word.upper()):
-                    anchors[form] = (name,)
+                anchors[word] = (name,)
         for form, (name,) in anchors.items():
             self.automaton.add_word(form, (name, len(form)))
         self.automaton.make_automaton()
@@ -117,7 +117,7 @@ class Finder:
                 if right:
                     out.append((start, KINDS.index(kind), end))
 
-        for last, (name, length) in self.automaton.iter(text):
+        for last, (name, length) in self.automaton.iter(text.encode().translate(_FOLDED).decode()):
             at = last - length + 1
             if name == "number":
                 for kind, parse in (("ip", self.ip), ("card", self.card)):

@@ -35,6 +35,13 @@ def test_anchored_spans_are_the_leftmost_matches(letters):
         assert [s for s in finder.spans(text) if s[1] < 4] == want, text
 
 
+def test_cues_and_schemes_are_found_in_any_case():
+    finder = Finder()
+    for text, value in (("User ID: 48213377", "48213377"), ("Customer Id 48213377.", "48213377"), ("İ CUSTOMER ID 48213377", "48213377"), ("uSER iD: 48213377", "48213377"),
+                        ("HttpS://a.bc/D", "HttpS://a.bc/D"), ("at 12 Hill StReet", "12 Hill StReet"), ("12 Hill STRAßE", "12 Hill STRAßE"), ("12 Hill Straße", "12 Hill Straße")):
+        assert value in [text[s:e] for s, k, e in finder.spans(text) if k >= 4], text
+
+
 def test_trigram_queries_hold_for_every_match():
     samples = ["My PassWord = 'abcdefghijkl'", "api_key:abcdefghijklmnop", "APIKEY=abcdefghijklmn", "AKIA" + "A" * 16, "deadbeefdeadbeef",
                "-----BEGIN RSA PRIVATE KEY-----", "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 12, "ghp_" + "x" * 36]
