@@ -7,13 +7,15 @@ fixed functions of the bytes: they agree between tasks, machines and runs.
 
 from __future__ import annotations
 
+import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 
 # Functions that Spark sends to its workers travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -21,6 +23,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Bytes of text that one block of documents holds at least (a longer document is a block of its own).
 BLOCK_BYTES = 1 << 20
 
+#: Bytes of the Arrow batches that a Python task is handed, at most (a longer row is a batch of its own).
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 #: The six bytes of white space that separate words.
 WHITE_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -42,6 +48,34 @@ def byte_table(folded: bool) -> np.ndarray:
     return table
 
 
+def release() -> None:
+    """Hand memory that nothing uses any more back to the system: workers are reused by later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def bound_batches(df: DataFrame) -> None:
+    """From here on the session hands Python tasks batches of at most BATCH_BYTES, unless a bound was set before."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
+def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with batches of bounded bytes; what a task held goes back to the system at its end."""
+    bound_batches(df)
+
+    def released(batches):
+        try:
+            yield from rows(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(released, schema)
+
+
 def separators(extra: bytes = b"") -> np.ndarray:
     table = np.zeros(256, bool)
     table[list(WHITE_SPACE + extra)] = True

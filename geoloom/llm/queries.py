@@ -7,30 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoloom.llm.bestfit import pack_best_fit
 from geoloom.llm.chat import format_conversations
 from geoloom.llm.decontaminate import find_contamination
 from geoloom.llm.near_dedup import near_duplicates
 from geoloom.llm.packing import pack_documents
 from geoloom.llm.pii import BASE, find_personal_data
+from geoloom.llm.quantise import compress
 from geoloom.llm.secret_scan import BASE_RULES, RULES, scan_secrets
 from geoloom.llm.sharding import SHARDS, shard_documents
 from geoloom.llm.substring import repeated_words
 from geoloom.llm.topk import top_k
 from geoloom.llm.toxicity import fit_toxicity, score_toxicity
+from geoloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
-#: File of the tokenizer in the public package, as every executor finds it.
-TOKENIZER = "word_bpe_49k.json"
+#: Files of the tokenizers in the public package, as every executor finds them.
+TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def listed(spans: Column, kind: str) -> Column:
@@ -89,6 +92,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(read(spark, sf_dir, "embeddings"))
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(read(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER)).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def _found(i: int, name: str, pattern: str, group: int, least: int) -> str:
     """Spans of a rule: the pieces between matches and the matches, added up."""
     pattern = pattern.replace("'", "''")
@@ -154,11 +169,39 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.x
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
+
+
+def _assigned(n: int, books: str) -> str:
+    """Nearest entry of each part, of equal ones the first, as table a<n>."""
+    return f"""
+a{n} AS (SELECT p.vec_id, p.label, p.part, p.x, arg_min(struct_pack(i := b.entry, d := list_sum(list_transform(range(1, len(p.x) + 1), lambda k: (p.x[k] - b.x[k]) * (p.x[k] - b.x[k])))),
+           struct_pack(d := list_sum(list_transform(range(1, len(p.x) + 1), lambda k: (p.x[k] - b.x[k]) * (p.x[k] - b.x[k]))), i := b.entry)) AS near
+         FROM p JOIN {books} b USING (part) GROUP BY p.row, p.vec_id, p.label, p.part, p.x)"""
+
+
+def _refined(n: int, books: str) -> str:
+    """The codebook after round n, as table b<n>."""
+    return f"""
+m{n} AS (SELECT part, near.i AS entry, k, CAST(floor(sum(x[k]) / count(*)) AS BIGINT) AS x FROM a{n}, range(1, 5) r(k) GROUP BY ALL),
+b{n} AS (SELECT b.part, b.entry, coalesce(x2, b.x) AS x FROM {books} b LEFT JOIN (SELECT part, entry, list(x ORDER BY k) AS x2 FROM m{n} GROUP BY ALL) USING (part, entry))"""
+
+
+CODES_SQL = f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+p AS (SELECT row, vec_id, label, part, x[4 * part + 1:4 * part + 4] AS x FROM v, range(16) t(part)),
+b0 AS (SELECT part, row - 1 AS entry, x FROM p WHERE row <= 64),{_assigned(1, "b0")},{_refined(1, "b0")},{_assigned(2, "b1")},{_refined(2, "b1")},{_assigned(3, "b2")},
+c AS (SELECT vec_id, label, string_agg(printf('%02x', near.i), '' ORDER BY part) AS code, CAST(sum(near.d) AS BIGINT) AS error FROM a3 GROUP BY vec_id, label),
+h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, label, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c, h"""
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity, "op2_secret_scan": op2_secret_scan, "op3_chat": op3_chat, "op4_decontamination": op4_decontamination,
     "op5_personal_data": op5_personal_data, "op6_packing": op6_packing, "op7_near_duplicates": op7_near_duplicates,
     "op8_substring_dedup": op8_substring_dedup, "op9_sharding": op9_sharding, "op10_top_k": op10_top_k,
+    "op11_whitening": op11_whitening, "op12_vector_codes": op12_vector_codes, "op13_best_fit": op13_best_fit,
 }
 ORACLES: dict[str, str] = {
     "op2_secret_scan": SECRETS_SQL, "op3_chat": CHAT_SQL, "op7_near_duplicates": NEAR_SQL, "op8_substring_dedup": REPEATS_SQL, "op10_top_k": TOP_K_SQL,
+    "op12_vector_codes": CODES_SQL,
 }
