@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrays import slices
+from geoloom.llm.arrays import map_arrow, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -32,7 +32,11 @@ _DIGITS = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ADDRESS_TAIL = re.compile(r"[^\s<>\"'\x60]+")
-_ACCOUNT = re.compile(r"(?:\s?(?:no\.?|number|nr\.?|#))?\s?[:=#]?\s?([A-Z]{0,2}[0-9](?:[ -]?[A-Z0-9]){4,32})(?![A-Za-z0-9])", re.IGNORECASE)
+_LABEL = re.compile(r"(?:\s?(?:no\.?|number|nr\.?|#))?\s?[:=#]?\s?", re.IGNORECASE)
+#: Blocks of four capitals or digits behind a country and two digits, the last one shorter if it holds a digit.
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: (?=[A-Z]*[0-9])[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+#: A first group with a digit, then groups of digits or of capitals with a digit: words behind a number are none of it.
+_ACCOUNT = re.compile(r"[A-Za-z]{0,2}[0-9][A-Za-z0-9]*(?:[ -](?=[A-Z]*[0-9])[A-Z0-9]{2,}(?![A-Za-z0-9]))*")
 _STREET_HEAD = re.compile(r"[0-9]{1,6}(?: [A-Z][\w'.-]{0,30}){1,4} $")
 
 
@@ -97,8 +101,9 @@ class Finder:
     def account(self, text: str, start: int, end: int) -> tuple[int, int, bool] | None:
         if start and text[start - 1].isalnum():
             return None
-        found = _ACCOUNT.match(text, end)
-        return (found.start(1), found.end(1), sum(c.isdigit() for c in found[1]) >= 5) if found else None
+        at = _LABEL.match(text, end).end()
+        found = _IBAN.match(text, at) or _ACCOUNT.match(text, at)
+        return (at, found.end(), sum(c.isdigit() for c in found[0]) >= 5) if found else None
 
     def address(self, text: str, start: int, end: int) -> tuple[int, int, bool] | None:
         if end < len(text) and text[end].isalnum():
@@ -143,8 +148,11 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per input row: id and `spans`, an array of (kind, start, end, value) by start and kind, in code points, end exclusive.
 
     email, ip, card and phone are exactly the leftmost matches of their
-    patterns that pass their check; url, account and address come on top. A
-    null or empty text has no spans. Null and repeated ids are kept as they are.
+    patterns that pass their check; url, account and address come on top. An
+    account is the number behind a cue, five digits at least: one group, more of
+    them if they hold digits, or an IBAN in its blocks. An address is a number of
+    at most six digits, one to four capitalised words of at most 31 characters and
+    a street word. A null or empty text has no spans. Null and repeated ids are kept as they are.
     Other columns are not read.
     """
 
@@ -155,8 +163,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             found = [[{"kind": KINDS[k], "start": s, "end": e, "value": t.as_py()[s:e]} for s, k, e in spans] for t, spans in zip(texts, _spans_of(finder, texts), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _SPANS)], names=["id", "spans"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        rows, "id long, spans array<struct<kind: string, start: long, end: long, value: string>>").withColumnRenamed("id", id_col)
+    return map_arrow(
+        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), rows, "id long, spans array<struct<kind: string, start: long, end: long, value: string>>").withColumnRenamed("id", id_col)
 
 
 def mask_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -187,4 +195,5 @@ def mask_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
             new = [masked(t.as_py(), spans) for t, spans in zip(texts, _spans_of(finder, texts), strict=True)]
             yield batch.set_column(place, batch.schema.field(place).with_type(pa.string()).name, pa.array(new, pa.string()))
 
-    return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(rows, docs.withColumn(text_col, F.col(text_col).cast("string")).schema)
+    typed = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    return map_arrow(typed, rows, typed.schema)
