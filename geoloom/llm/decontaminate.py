@@ -24,13 +24,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrays import Words, blocks, byte_table, mix, separators, slices
+from geoloom.llm.arrays import Words, blocks, byte_table, map_arrow, mix, separators, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Items of fewer words must occur word by word; edits allowed in hundredths of the words of the others.
 LEAST_WORDS, PERCENT = 8, 20
-#: Random walks, samples of each walk's embedding, places of a sample: recall of at least 0.99 at the largest distance for up to PIECE words (tests/llm measures it).
+#: Random walks, samples of each walk's embedding, places of a sample: recall of at least 0.99 over distances up to the largest and of at least 0.96 at the largest itself, for up to PIECE words (tests/llm measures it).
 WALKS, SAMPLES, PLACES = 8, 12, 3
 #: Words of the pieces that an item is searched in, at most.
 PIECE = 32
@@ -55,8 +55,15 @@ def _allowed(n: int) -> int:
     return PERCENT * n // 100
 
 
-def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """Smallest word edit distance of the item to a run of words of the text, and the end of the first such run (bit-parallel dynamic programme)."""
+def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
+    """Smallest word edit distance of the item to a run of words of the text, and start and end of the run that ends first (of those the shortest)."""
+    best, end = _nearest(item, text, anchored=False)
+    _, length = _nearest(item[::-1], text[:end][::-1], anchored=True)
+    return best, end - length, end
+
+
+def _nearest(item: np.ndarray, text: np.ndarray, anchored: bool) -> tuple[int, int]:
+    """Smallest distance of the item to a run of the text and the first end of such a run; an anchored run starts with the text (bit-parallel dynamic programme)."""
     n = len(item)
     masks: dict[int, int] = {}
     for i, w in enumerate(item.tolist()):
@@ -69,7 +76,7 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
         diagonal = (((same & up) + up) ^ up) | same | down
         right_up, right_down = down | ~(diagonal | up) & full, up & diagonal
         distance += bool(right_up & top) - bool(right_down & top)
-        right_up, right_down = (right_up << 1) & full, (right_down << 1) & full
+        right_up, right_down = (right_up << 1 | anchored) & full, (right_down << 1) & full
         up, down = (right_down | ~(diagonal | right_up)) & full, right_up & diagonal
         if distance < best:
             best, end = distance, j + 1
@@ -210,7 +217,7 @@ class Search:
                     yield int(owner[i]), int(member), 0, place, place + n
 
     def block(self, words: Words) -> Iterator[tuple[int, int, int, int, int]]:
-        """(document of the block, item, distance, first word searched, word after the match)."""
+        """(document of the block, item, distance, first word of the match, word after it)."""
         hashes = words.hashes
         yield from self._word_by_word(words)
         if len(hashes) < 2 or not self.pieces:
@@ -249,11 +256,11 @@ class Search:
                     regions.append([first, last])
             best = None
             for first, last in regions:
-                distance, end = best_match(item, hashes[first:last])
+                distance, start, end = best_match(item, hashes[first:last])
                 if distance <= k and (best is None or distance < best[0]):
-                    best = (distance, first + end)
+                    best = (distance, first + start, first + end)
             if best:
-                yield doc, member, best[0], max(0, best[1] - base - n), best[1] - base
+                yield doc, member, best[0], best[1] - base, best[2] - base
 
 
 def _passes(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, np.ndarray]]]:
@@ -283,7 +290,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     Words are lower-cased and lie between white space and ASCII punctuation. An item
     of fewer than 8 words must occur word by word, however short it is; texts and
     items may be null or without words and then hold nothing. A document gives one
-    row per item, the best match (of equal ones the first). Null and repeated ids of
+    row per item, the best match (of equal ones the one that ends first, of those the shortest). Null and repeated ids of
     documents are kept; rows that repeat an item's id are items of their own. Items
     without an id are returned with a null one; if their words are those of an item
     with an id or of another without one, they are that item. Other columns are not read.
@@ -302,13 +309,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                     if hits:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*hits, strict=True)], names=["id", "item", "distance", "start_word", "end_word"])
 
-        part = source.mapInArrow(rows, "id long, item long, distance long, start_word long, end_word long").toDF(id_col, item_col, "distance", "start_word", "end_word")
+        part = map_arrow(source, rows, "id long, item long, distance long, start_word long, end_word long").toDF(id_col, item_col, "distance", "start_word", "end_word")
         found = part if k == 0 else found.unionByName(part)
     return found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows whose text holds no benchmark item, with all their columns, whatever their names."""
+    """The rows whose text holds no benchmark item, with all their columns, whatever their names.
+
+    A null or empty text holds nothing and stays. Rows that repeat are judged each by its own text.
+    """
     place = docs.columns.index(text_col)
     for items in _passes(benchmark, item_col, item_text_col):
 
@@ -321,5 +331,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                         keep[first + hit[0]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(rows, docs.schema)
+        docs = map_arrow(docs, rows, docs.schema)
     return docs

@@ -114,7 +114,32 @@ def test_a_match_after_a_failed_candidate_is_searched_to_its_end(monkeypatch):
     text = item[:20] + other[:22] + passage + other[30:]
     hashed, words = (next(decontaminate._words(pa.array([" ".join(t)]), 1))[2] for t in (item, text))
     monkeypatch.setattr(decontaminate.Search, "_starts", lambda *_: np.array([0, 42]))
-    assert list(decontaminate.Search([(0, hashed.hashes)]).block(words)) == [(0, 0, 6, 48, 78)]
+    assert list(decontaminate.Search([(0, hashed.hashes)]).block(words)) == [(0, 0, 6, 42, 78)]
+
+
+def test_a_match_starts_where_the_passage_starts():
+    rng = random.Random(12)
+    for trial in range(60):
+        n = rng.randint(20, 60)
+        item = [f"w{trial}x{i}" for i in range(n)]
+        passage = list(item)
+        for k in range(n // 5):
+            passage.insert(rng.randint(1, len(passage) - 1), f"x{k}")
+        before, after = [f"b{i}" for i in range(rng.randint(0, 50))], [f"a{i}" for i in range(20)]
+        hashed, words = (next(decontaminate._words(pa.array([" ".join(t)]), 1))[2] for t in (item, before + passage + after))
+        assert decontaminate.best_match(hashed.hashes, words.hashes) == (n // 5, len(before), len(before) + len(passage))
+
+
+def test_accounts_end_where_their_number_ends():
+    finder = Finder()
+    cases = {
+        "account 48213377 was opened in May last year": ["48213377"], "the account 12 of 34567 units shipped": [], "user id 48213377 and then call": ["48213377"],
+        "Customer ID: 4821 3377 is yours": ["4821 3377"], "acct no. AB123456 Then it rained": ["AB123456"], "account #12-3456-78, paid": ["12-3456-78"],
+        "IBAN DE89 3704 0044 0532 0130 00 was used": ["DE89 3704 0044 0532 0130 00"], "iban GB29 NWBK 6016 1331 9268 19 THE BANK": ["GB29 NWBK 6016 1331 9268 19"],
+        "passport number 123456789 A new one": ["123456789"], "account 1234": [], "accounts 48213377": [], "subaccount 48213377": [], "account " + "7" * 60 + " x": ["7" * 60],
+    }
+    for text, want in cases.items():
+        assert [text[s:e] for s, k, e in finder.spans(text) if KINDS[k] == "account"] == want, text
 
 
 def test_exact_edit_distance():
