@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrays import binaries, mix, shingle_sets, slices
+from geoloom.llm.arrays import binaries, map_arrow, mix, shingle_sets, slices
 from geoloom.llm.components import components
 from geoloom.runtime import checkpoint
 
@@ -168,8 +168,8 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str, retained: int | N
                     [ids.slice(first, len(sizes)), pa.array(sizes.astype(np.int64)), pa.array(high), pa.array(low), binaries(hashes, offsets)],
                     names=["id", "n_shingles", "high", "low", "values"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        rows, "id long, n_shingles long, high long, low long, values binary")
+    return map_arrow(
+        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), rows, "id long, n_shingles long, high long, low long, values binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), [len(k) for k in found]))], schema=_KEYS)
 
-    listed = checkpoint(sketches.mapInArrow(keys, "key long, id long").distinct())
+    listed = checkpoint(map_arrow(sketches, keys, "key long, id long").distinct())
     # Lists of the same members answer alike: one of them is enough.
     chosen = listed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.xxhash64("id", F.lit(3)).bitwiseAND(F.lit((1 << 40) - 1))).alias("y")) \
         .filter("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key"))

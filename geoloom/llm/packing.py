@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import heapq
 import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,23 +20,18 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrays import Words, blocks, byte_table, separators, slices
+from geoloom.llm.arrays import Words, blocks, byte_table, map_arrow, separators, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIZE, END_ID = 4096, 2
 #: Costs of a token and of a squared piece length: attention passes the linear part at 8192 tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / 8192
-#: Tokens packed together, bytes of text tokenised together, words and runs of letters a worker remembers.
-GROUP_TOKENS, TEXT_BYTES, KNOWN_WORDS, KNOWN_CORES = 1 << 20, 2 << 20, 800_000, 250_000
+#: Tokens packed together, bytes of text tokenised together, words and runs of letters a task remembers.
+GROUP_TOKENS, TEXT_BYTES, KNOWN_WORDS, KNOWN_CORES = 1 << 20, 2 << 20, 400_000, 150_000
 _SEQUENCES_PER_TASK = 40  # bits of a sequence id below the task's number
 
 
-def worker_store() -> types.ModuleType:
-    """Values that outlive a task in a reused Python worker."""
-    return sys.modules.setdefault("_geoloom_worker", types.ModuleType("_geoloom_worker"))
-
-
 class Tokens:
     """Ids of whole texts. Words between white space are tokenised on their own and remembered by their 64-bit hash: no id spans white space."""
 
@@ -53,14 +47,6 @@ class Tokens:
         self.fold = np.arange(256, dtype=np.uint8)
         self.fold[65:91] += 32
 
-    @classmethod
-    def of_worker(cls, path: str) -> Tokens:
-        store = worker_store()
-        name = f"tokens {path}"
-        if not hasattr(store, name):
-            setattr(store, name, cls(path))
-        return getattr(store, name)
-
     def _forget(self) -> None:
         self.known, self.begins, self.lengths, self.flat = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4")
 
@@ -194,7 +180,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     """
 
     def rows(batches):
-        tokens = Tokens.of_worker(tokenizer)
+        tokens = Tokens(tokenizer)
         packer = _Packer(size, linear, quadratic, TaskContext.get().partitionId() << _SEQUENCES_PER_TASK)
 
         def batch_of(pieces: list[tuple]) -> pa.RecordBatch:
@@ -220,5 +206,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
         if done:
             yield batch_of(done)
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        rows, "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long").withColumnRenamed("id", id_col)
+    return map_arrow(
+        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), rows, "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long").withColumnRenamed("id", id_col)

@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrays import slices
+from geoloom.llm.arrays import map_arrow, slices
 from geoloom.runtime import checkpoint
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -114,7 +114,7 @@ def _counted(texts: DataFrame) -> DataFrame:
                 counts += seen.values()
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(words, pa.string()), pa.array(counts, pa.int64())], names=["doc", "word", "n"])
 
-    return texts.mapInArrow(rows, "doc long, word string, n long")
+    return map_arrow(texts, rows, "doc long, word string, n long")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> OrdinalModel:
@@ -176,16 +176,19 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
                 [batch.column(0), pa.array(grade.astype(np.int32)), pa.array(above.sum(axis=1)), pa.array(above[:, 0]), pa.array(above[:, 0] >= reject)],
                 names=["id", "grade", "expected_severity", "p_toxic", "rejected"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        rows, "id long, grade int, expected_severity double, p_toxic double, rejected boolean").withColumnRenamed("id", id_col)
+    return map_arrow(
+        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), rows, "id long, grade int, expected_severity double, p_toxic double, rejected boolean").withColumnRenamed("id", id_col)
 
 
 def drop_toxic(docs: DataFrame, model: OrdinalModel, text_col: str = "text", reject: float = REJECT) -> DataFrame:
-    """The rows that are not rejected, with all their columns, whatever their names."""
+    """The rows that are not rejected, with all their columns, whatever their names.
+
+    A null or empty text has no telling words and is judged by the model's thresholds alone. Rows that repeat are judged each by its own text.
+    """
     place = docs.columns.index(text_col)
 
     def rows(batches):
         for batch in slices(batches):
             yield batch.filter(pa.array(model.above(model.scores(batch.column(place).to_pylist()))[:, 0] < reject))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return map_arrow(docs, rows, docs.schema)
