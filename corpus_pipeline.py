@@ -23,33 +23,38 @@ from geoloom.runtime import scratch_path  # noqa: E402
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal model, fitted on the labelled ones of them, does not reject."""
+    """Documents that the ordinal model, fitted on the labelled ones of them, does not reject.
+
+    Null and empty texts have no telling words. Repeated rows are judged alike. Without labels of both kinds all stay.
+    """
     return drop_toxic(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies. Documents without an id belong to no group and stay.
 
-    Of rows that share an id one stays: the longest text, of equally long ones the first in the order of the columns.
+    Of rows that share an id one stays: the longest text, of equally long ones the first in the order of the columns (a column
+    that has no order by its JSON text). A null text is shorter than an empty one. Columns of any type and name are kept.
     """
     kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    order = F.struct((-F.coalesce(F.length("text"), F.lit(-1))).alias("_order"), *docs.columns)
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(order).alias("_row"))
+    ordered = [F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in docs.dtypes]
+    order = F.struct(-F.coalesce(F.length("text"), F.lit(-1)), *ordered)
+    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
     return named.select(*(F.col("_row")[c].alias(c) for c in docs.columns)).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage. Null and empty texts stay; without a benchmark all do."""
     return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents with personal data masked and their new lengths."""
+    """The same documents with personal data masked and their new lengths. A null text stays null and has a null length."""
     return mask_personal_data(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in their sequences."""
+    """Pieces of the documents in their sequences. A null or empty text is its end id alone; each of repeated rows is packed."""
     return pack_documents(docs, tokenizer_path())
 
 
