@@ -14,18 +14,20 @@ from geoloom.operators.aggregates import (
 from geoloom.operators.catalog import discover_columns, minimum_scale, refresh_catalog
 from geoloom.operators.edits import apply_edits, deletes_from, requests_from
 from geoloom.operators.joins import points_in_polygons, spatial_join
+from geoloom.operators.stored_edits import edit_stored
 from geoloom.operators.ranking import assign_ids, latest_per_entity
 from geoloom.plans.feature_query import FeatureQuery, feature_page
 from geoloom.plans.layer import Layer
 from geoloom.sources.clustered import write_clustered, write_clustered_table
 from geoloom.sources.export import export_features
 from geoloom.sources.ingest import ingest_geometry, profile_geometry, with_point
+from geoloom.sources.stored import StoredLayer, compact, with_time_ms
 
 __all__ = [
-    "FeatureQuery", "Layer", "apply_edits", "assign_ids", "cell_bins", "cut_tracks", "daily_tracks", "deletes_from", "discover_columns",
-    "export_features", "feature_page", "filter_shape", "id_audit", "ingest_geometry", "latest_per_entity", "layer_extent",
+    "FeatureQuery", "Layer", "StoredLayer", "apply_edits", "assign_ids", "cell_bins", "compact", "cut_tracks", "daily_tracks", "deletes_from",
+    "discover_columns", "edit_stored", "export_features", "feature_page", "filter_shape", "id_audit", "ingest_geometry", "latest_per_entity", "layer_extent",
     "minimum_scale", "normalize_shapes", "points_in_polygons", "profile_geometry", "refresh_catalog", "reproject",
     "requests_from", "roll_up", "spatial_join", "st_contains", "st_crosses", "st_intersects",
     "st_overlaps", "st_touches", "st_within", "table_profile", "time_extent", "unwrap_dateline", "with_point",
-    "wrap_longitudes", "write_clustered", "write_clustered_table",
+    "with_time_ms", "wrap_longitudes", "write_clustered", "write_clustered_table",
 ]

@@ -22,6 +22,8 @@ GEOMETRY_DDL = f"struct<type:string,srid:int,parts:{PARTS_DDL}>"
 GEOMETRY_TYPES = ("Point", "MultiPoint", "LineString", "MultiLineString", "Polygon", "MultiPolygon")
 
 BBOX = ("_xmin", "_ymin", "_xmax", "_ymax")
+#: Columns that are kept for filters and statistics and are no attributes: the box and the stored epoch milliseconds.
+HIDDEN = (*BBOX, "_time_ms")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

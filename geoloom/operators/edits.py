@@ -22,7 +22,7 @@ from pyspark.sql.types import BooleanType, DataType, StringType, StructField
 
 from geoloom.functions.crs import wrap_longitudes
 from geoloom.functions.decode import parse_esri_json
-from geoloom.functions.geometry import BBOX, bounds, vertices
+from geoloom.functions.geometry import BBOX, HIDDEN, bounds, vertices
 from geoloom.functions.times import coerce_time, is_time
 from geoloom.operators.projection import is_geometry
 from geoloom.plans.guard import MAX_SAFE_INTEGER
@@ -35,7 +35,7 @@ ROLLED_BACK, ADD_FAILED, DELETE_FAILED, UPDATE_FAILED = 1003, 1017, 1018, 1019
 REQUEST_DDL = "pos long, attributes string, geometry string"
 DELETE_DDL = "pos long, id string"
 _INTEGER = r"^\s*[-+]?\d+(?:\.0*)?\s*$"
-_VALUES = "map<string,string>"
+VALUES_DDL = "map<string,string>"
 _RESULT = ["op", "pos", "object_id", "success", "code", "description"]
 
 
@@ -67,7 +67,7 @@ def deletes_from(spark: SparkSession, raw) -> DataFrame:
     return request.select(F.posexplode(F.filter(trimmed, lambda v: v != "")).alias("pos", "id")).select(F.col("pos").cast("long"), "id")
 
 
-def _number(text: Column) -> Column:
+def request_number(text: Column) -> Column:
     """Integer that request text stands for; NULL for fractions, words and missing values."""
     return F.when(text.rlike(_INTEGER), F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast("decimal(38,0)"))
 
@@ -76,6 +76,11 @@ def _unsafe(number: Column) -> Column:
     return F.abs(number) > F.lit(MAX_SAFE_INTEGER)
 
 
+def safe_key(number: Column) -> Column:
+    """A number of a request as an id; NULL for one that no id can be."""
+    return F.when(~_unsafe(number), number).cast("long")
+
+
 def _typed(text: Column, kind: DataType) -> Column:
     """Request text as a value of the column; NULL when it does not fit."""
     if is_time(kind):
@@ -88,7 +93,7 @@ def _typed(text: Column, kind: DataType) -> Column:
 
 
 def _attribute_fields(layer: Layer) -> list[StructField]:
-    out = {layer.id_field.lower(), layer.geometry.lower(), *BBOX}
+    out = {layer.id_field.lower(), layer.geometry.lower(), *HIDDEN}
     return [f for f in layer.df.schema if f.name.lower() not in out and not is_geometry(f.dataType)]
 
 
@@ -98,7 +103,7 @@ def _read(layer: Layer, requests: DataFrame) -> DataFrame:
     Callers checkpoint the outcome: it feeds the rows, the results and the size
     checks, and is parsed once for all of them.
     """
-    lowered = F.transform_keys(F.coalesce(F.from_json("attributes", _VALUES), F.create_map().cast(_VALUES)),
+    lowered = F.transform_keys(F.coalesce(F.from_json("attributes", VALUES_DDL), F.create_map().cast(VALUES_DDL)),
                                lambda k, _: F.lower(k))
     shape = F.when(F.col("geometry").isNotNull(), wrap_longitudes(parse_esri_json(F.col("geometry"), layer.srid)))
     known = [f.name.lower() for f in _attribute_fields(layer)]
@@ -172,10 +177,11 @@ def _found(base: DataFrame, id_field: str, keys: DataFrame) -> tuple[DataFrame,
     return keys, F.broadcast(present) if few else present
 
 
-def run_adds(layer: Layer, adds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New rows and results. Ids go on from the largest one in request order; a sent id is ignored."""
+def run_adds(layer: Layer, adds: DataFrame, top: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """New rows and results. Ids go on from the largest one (`top`, if it is known) in request order; a sent id is ignored."""
     id_kind = layer.df.schema[layer.id_field].dataType
-    top = layer.df.agg(F.coalesce(F.max(layer.id_field).cast("decimal(38,0)"), F.lit(0)).alias("top")).first().top
+    if top is None:
+        top = layer.df.agg(F.coalesce(F.max(layer.id_field).cast("decimal(38,0)"), F.lit(0)).alias("top")).first().top
     new_id = F.lit(int(top)).cast("decimal(38,0)") + F.col("pos") + 1
     staged = _read(layer, adds).withColumn("_new", new_id)
     fault = F.coalesce(_fault(layer), F.when(_unsafe(F.col("_new")), _unsafe_text(layer, F.col("_new"))))
@@ -196,7 +202,7 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
     and column is shuffled, and the table is joined once.
     """
     base, id_field, geom = layer.df, layer.id_field, layer.geometry
-    number = _number(F.col("_id"))
+    number = request_number(F.col("_id"))
     staged = _read(layer, updates).withColumn("_key", number)
     fault = (
         F.when(F.col("_key").isNull(), _no_integer(layer, F.col("_id")))
@@ -209,8 +215,15 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
     last = named.groupBy("_key", "name").agg(F.max_by(F.struct("value"), "pos").alias("last"))
     merged = last.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("name", "last.value"))).alias("_sent"))
     shapes = runnable.filter("_shape IS NOT NULL").groupBy("_key").agg(F.max_by("_shape", "pos").alias("_shape"))
-    change = merged.join(shapes, "_key", "full").withColumn("_sent", F.coalesce("_sent", F.create_map().cast(_VALUES)))
-    change = broadcast_if_small(change, F.length(F.to_json("_sent")) + F.coalesce(F.size(vertices(F.col("_shape"))), F.lit(0)) * 16 + 100)
+    change = merged.join(shapes, "_key", "full").withColumn("_sent", F.coalesce("_sent", F.create_map().cast(VALUES_DDL)))
+    # Values are read once per request, not once per row and column of the table.
+    fields = [f for f in base.schema if f.name != geom and f.name.lower() not in (id_field.lower(), *HIDDEN) and not is_geometry(f.dataType)]
+    weight = F.length(F.concat_ws("", F.map_values("_sent"))) + F.coalesce(F.size(vertices(F.col("_shape"))), F.lit(0)) * 16 + 16 * len(fields) + 100
+    flags = [_is_sent(f).alias(f"_is{i}") for i, f in enumerate(fields)]
+    values = [F.when(_is_sent(f), _typed(_sent(f), f.dataType)).alias(f"_to{i}") for i, f in enumerate(fields)]
+    place = {f.name: i for i, f in enumerate(fields)}
+    change = change.select("_key", "_shape", *flags, *values, weight.alias("_weight"))
+    change = broadcast_if_small(change, F.col("_weight")).drop("_weight")
 
     named, nameless = _split_by_id(base, id_field)
     found = named.join(change, F.col(id_field).cast("long") == F.col("_key"), "left")
@@ -221,11 +234,10 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
             columns.append(F.coalesce("_shape", old).alias(f.name))
         elif f.name in BBOX:
             columns.append(F.when(F.col("_shape").isNotNull(), bounds(F.col("_shape"))[f.name]).otherwise(old).alias(f.name))
-        elif f.name.lower() == id_field.lower() or is_geometry(f.dataType):
-            columns.append(old)
+        elif f.name in place:
+            columns.append(F.when(F.col(f"_is{place[f.name]}"), F.col(f"_to{place[f.name]}")).otherwise(old).alias(f.name))
         else:
-            hit = F.coalesce(_is_sent(f), F.lit(False))
-            columns.append(F.when(hit, _typed(_sent(f), f.dataType)).otherwise(old).alias(f.name))
+            columns.append(old)
 
     _, present = _found(base, id_field, runnable.select("_key"))
     keyed = staged.withColumn("_key", F.when(~_unsafe(F.col("_key")), F.col("_key")).cast("long"))
@@ -236,7 +248,7 @@ def run_updates(layer: Layer, updates: DataFrame) -> tuple[DataFrame, DataFrame]
 def run_deletes(layer: Layer, deletes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Remaining rows and results at the request positions; a repeated id succeeds each time it is named."""
     base, id_field = layer.df, layer.id_field
-    named = deletes.filter(F.col("id").isNotNull() & (F.trim("id") != "")).withColumn("_number", _number(F.col("id")))
+    named = deletes.filter(F.col("id").isNotNull() & (F.trim("id") != "")).withColumn("_number", request_number(F.col("id")))
     named = named.withColumn("_fault", F.when(
         F.col("_number").isNull(), _no_integer(layer, F.col("id"))).when(_unsafe(F.col("_number")), _unsafe_text(layer, F.col("_number"))))
     named = named.withColumn("_key", F.when(F.col("_fault").isNull(), F.col("_number")).cast("long"))
@@ -247,9 +259,11 @@ def run_deletes(layer: Layer, deletes: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def apply_edits(layer: Layer, adds: DataFrame | None = None, updates: DataFrame | None = None,
-                deletes: DataFrame | None = None, rollback: bool = False) -> EditResult:
+                deletes: DataFrame | None = None, rollback: bool = False, top: int | None = None) -> EditResult:
     """Adds, then updates, then deletes, each on the outcome of the step before.
 
+    `top` is the largest id of the table, where `layer` holds only the rows that the edits name.
+
     With `rollback` a single failure leaves the table as it was: rows that had
     worked are reported as rolled back, the others keep their own error.
     """
@@ -258,7 +272,8 @@ def apply_edits(layer: Layer, adds: DataFrame | None = None, updates: DataFrame
     rows, results = layer.df, []
     for requests, step in ((adds, run_adds), (updates, run_updates), (deletes, run_deletes)):
         if requests is not None:
-            rows, outcome = step(layer.over(rows), requests)
+            known = {"top": top} if step is run_adds else {}
+            rows, outcome = step(layer.over(rows), requests, **known)
             results.append(outcome)
     if not results:
         return EditResult(rows, layer.df.sparkSession.createDataFrame(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructType, VariantType
 
 from geoloom.functions.crs import unwrap_dateline
-from geoloom.functions.geometry import BBOX, as_ewkt, with_column_once
+from geoloom.functions.geometry import HIDDEN, as_ewkt, with_column_once
 from geoloom.plans.guard import check_field
 
 
@@ -20,8 +20,8 @@ def parse_fields(out_fields: str) -> list[str]:
 
 
 def attribute_columns(df: DataFrame, geom: str) -> list[str]:
-    """Everything but the geometry and its box columns."""
-    return [c for c in df.columns if c.lower() != geom.lower() and c not in BBOX]
+    """Everything but the geometry, its box columns and the stored milliseconds."""
+    return [c for c in df.columns if c.lower() != geom.lower() and c not in HIDDEN]
 
 
 def selected_fields(df: DataFrame, out_fields: str, id_field: str, geom: str, add_id: bool = True) -> list[str]:

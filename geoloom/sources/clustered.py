@@ -10,13 +10,24 @@ from geoloom.functions.cells import morton
 from geoloom.functions.geometry import BBOX
 
 
-def clustered(df: DataFrame, by: str, tie: str, extent: tuple[float, float, float, float] = (-180.0, -90.0, 180.0, 90.0),
-              partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort on (date, place, tie).
+Extent = tuple[float, float, float, float]
+
+
+def measured_extent(df: DataFrame) -> Extent:
+    """The box around all rows, whatever their coordinates."""
+    lows, highs = [F.min(c) for c in BBOX[:2]], [F.max(c) for c in BBOX[2:]]
+    row = df.agg(*lows, *highs).first()
+    return tuple(row) if row[0] is not None else (-180.0, -90.0, 180.0, 90.0)
+
+
+def clustered(df: DataFrame, by: str, tie: str, extent: Extent | None = None, partitions: int | None = None) -> DataFrame:
+    """Range-partition and sort on (date, place, tie); places are cells of `extent`, by default the box around all rows.
 
     Ranges are cut on all three, so a day or a single place that holds a large
     share of the rows still spreads over many files.
     """
+    x0, y0, x1, y1 = extent or measured_extent(df)
+    extent = (x0, y0, x1 if x1 > x0 else x0 + 1, y1 if y1 > y0 else y0 + 1)  # all in one column or row of places
     xmin, ymin, xmax, ymax = (F.col(c) for c in BBOX)
     keyed = df.withColumn("_place", morton((xmin + xmax) / 2, (ymin + ymax) / 2, *extent))
     order = [F.col(by), F.col("_place"), F.col(tie)]
@@ -24,15 +35,12 @@ def clustered(df: DataFrame, by: str, tie: str, extent: tuple[float, float, floa
     return spread.sortWithinPartitions(*order).drop("_place")
 
 
-def write_clustered(df: DataFrame, path: str, by: str, tie: str,
-                    extent: tuple[float, float, float, float] = (-180.0, -90.0, 180.0, 90.0),
-                    partitions: int | None = None) -> None:
-    """Write Parquet in folders per date, clustered by place inside them. Run it again on the result to compact."""
+def write_clustered(df: DataFrame, path: str, by: str, tie: str, extent: Extent | None = None, partitions: int | None = None) -> None:
+    """Write Parquet in folders per date, clustered by place inside them; `compact` merges the files that later writes add."""
     clustered(df, by, tie, extent, partitions).write.partitionBy(by).parquet(path)
 
 
-def write_clustered_table(df: DataFrame, name: str, by: str, tie: str,
-                          extent: tuple[float, float, float, float] = (-180.0, -90.0, 180.0, 90.0)) -> None:
+def write_clustered_table(df: DataFrame, name: str, by: str, tie: str, extent: Extent | None = None) -> None:
     """The same as a catalog table, with statistics for the planner."""
     spark: SparkSession = df.sparkSession
     clustered(df, by, tie, extent).write.partitionBy(by).format("parquet").saveAsTable(name)

@@ -1,6 +1,6 @@
 """The queries of the driver contract, each with its closed-form SQL where there is one."""
 
-from workload import edits, features, geometry, summaries
+from workload import edits, features, geometry, stored, summaries
 from workload.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "edits", "features", "geometry", "summaries"]
+__all__ = ["ORACLES", "QUERIES", "edits", "features", "geometry", "stored", "summaries"]
