@@ -12,12 +12,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, VariantType
+from pyspark.sql.types import AtomicType, BinaryType, BooleanType, DatetimeType, NumericType, StringType, VariantType
 
 from geoloom.functions.cells import square_cells
 from geoloom.functions.geometry import BBOX, vertices
 from geoloom.functions.predicates import edge_list, matches_column, place_among, relation_name
-from geoloom.runtime import BROADCAST_BYTES, checkpoint, fits
+from geoloom.operators.quadtree import SQUARE_ROWS, Quadtree, dealt
+from geoloom.runtime import BROADCAST_BYTES, broadcast_if_small, checkpoint, fits
 
 _STEP = 4
 _LOWEST, _HIGHEST = -24, 40
@@ -69,23 +70,27 @@ def _pairs(left: DataFrame, right: DataFrame, small: bool, spread_by: list[str]
     """Equi-join on the square.
 
     A right side of small measured size is broadcast and the left one is not
-    shuffled. Otherwise squares that hold more than a thousandth of the left
-    rows (so at most a thousand) are split over several tasks and the right rows
-    of those squares are copied to each. Left rows are spread by a hash of
-    `spread_by`, by default of all columns with plain values.
+    shuffled. Otherwise squares that hold more than a thousandth of the rows of
+    either side (so at most a thousand of each) are split over several tasks and
+    the other side's rows of those squares are copied to each. Left rows are spread
+    by a hash of `spread_by`, by default of all columns with plain values.
     """
     if small:
         return left.join(F.broadcast(right), _SQUARE)
-    sizes = checkpoint(left.groupBy(*_SQUARE).agg(F.count(F.lit(1)).alias("_n")))
-    share = (sizes.agg(F.sum("_n").alias("n")).first().n or 0) / _HOT_PARTS
-    hot = sizes.filter(F.col("_n") > share).select(*_SQUARE, F.ceil(F.col("_n") / share).cast("int").alias("_splits"))
-    hashed = spread_by or [f.name for f in left.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
-    splits = F.coalesce(F.col("_splits"), F.lit(1))
-    salted = left.join(F.broadcast(hot), _SQUARE, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*hashed), splits).cast("int")).drop("_splits")
-    copies = right.join(F.broadcast(hot), _SQUARE, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), splits - 1))).drop("_splits")
-    return salted.join(copies, [*_SQUARE, "_salt"])
+
+    def hot(df: DataFrame, name: str) -> DataFrame:
+        sizes = checkpoint(df.groupBy(*_SQUARE).agg(F.count(F.lit(1)).alias("_n")))
+        share = (sizes.agg(F.sum("_n").alias("n")).first().n or 0) / _HOT_PARTS
+        return sizes.filter(F.col("_n") > share).select(*_SQUARE, F.ceil(F.col("_n") / share).cast("int").alias(name))
+
+    full = hot(left, "_salt_parts").join(hot(right, "_salt_right_parts"), _SQUARE, "full")
+
+    def side(df: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
+        n, copies = F.coalesce(F.col(f"{own}_parts"), F.lit(1)), F.coalesce(F.col(f"{other}_parts"), F.lit(1))
+        mine = F.pmod(F.xxhash64(*spread), n).cast("int")
+        return df.join(F.broadcast(full), _SQUARE, "left").withColumns({own: mine, other: F.explode(F.sequence(F.lit(0), copies - 1))}).drop("_salt_parts", "_salt_right_parts")
+
+    return side(left, "_salt", "_salt_right", spread_by or _plain_columns(left)).join(side(right, "_salt_right", "_salt", _plain_columns(right)), [*_SQUARE, "_salt", "_salt_right"]).drop("_salt", "_salt_right")
 
 
 def _boxes_meet() -> Column:
@@ -94,47 +99,81 @@ def _boxes_meet() -> Column:
     return (lx0 <= rx1) & (lx1 >= rx0) & (ly0 <= ry1) & (ly1 >= ry0)
 
 
+def _plain_columns(df: DataFrame) -> list[str]:
+    """Columns whose values can be hashed."""
+    return [f.name for f in df.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+
+
+def _attribute_bytes(df: DataFrame, geom: str) -> Column:
+    """What the attributes of a row weigh, texts and nested values by their length."""
+    long = [f for f in df.schema if f.name != geom and not f.name.startswith("_") and not isinstance(f.dataType, (NumericType, BooleanType, DatetimeType))]
+    texts = [F.octet_length(F.col(f.name)) if isinstance(f.dataType, (StringType, BinaryType)) else F.length(F.to_json(F.struct(f.name))) for f in long]
+    return sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 * len(df.columns)))
+
+
 def points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str = "within", zone_geom: str = "geom",
-                       broadcast_bytes: int = BROADCAST_BYTES, spread_by: list[str] | None = None) -> DataFrame:
+                       broadcast_bytes: int = BROADCAST_BYTES, spread_by: list[str] | None = None, square_rows: int = SQUARE_ROWS) -> DataFrame:
     """All (point, zone) pairs with the point within, touching or intersecting the zone.
 
     A point lies in one square per level, so each pair meets exactly once. The
     test runs in the JVM; zone columns that clash get the prefix `right_`. Left
     rows that are no points (told by a column `geom`) and zones that are no
     polygons are joined by `spatial_join` instead.
+
+    Zones whose measured bytes fit, attributes included, are broadcast. Otherwise
+    points and zones meet in the leaves of a quadtree that is refined until a
+    square holds at most `square_rows` of either side, as far as places differ; the
+    zones' side of that exchange has only boxes, and outlines and attributes are
+    fetched once per pair of box and point, by the row's number.
     """
-    odd_zones = zones.filter(~F.col(zone_geom)["type"].endswith("Polygon"))
+    name = relation_name(spatial_rel)
+    polygon = F.col(zone_geom)["type"].endswith("Polygon")
+    odd_zones = zones.filter(~polygon)
     parts = []
+    # One pass over the zones tells all that the plan depends on.
+    l, r, geom, keep = _prepare(points, zones, zone_geom)
+    own, flat = _own_level(_RIGHT, geom), F.col(geom)["type"].endswith("Polygon")
+    weight = _row_bytes(geom, square_cells(*_box(_RIGHT), own)) + _attribute_bytes(r, geom) * F.size(square_cells(*_box(_RIGHT), own))
+    about = r.agg(
+        F.count_if(~flat).alias("odd"), F.sum(F.when(flat, weight.cast("double"))).alias("bytes"), F.collect_set(F.when(flat, own)).alias("levels"),
+        *(pick(F.when(flat, F.col(c))).alias(c) for pick, c in zip((F.min, F.min, F.max, F.max), _RIGHT))).first()
     if "geom" in points.columns:
-        others = points.filter(F.col("geom")["type"] != "Point")
-        if not others.isEmpty():
-            parts.append(spatial_join(others, zones, spatial_rel, "geom", zone_geom, broadcast_bytes=broadcast_bytes, spread_by=spread_by))
+        if not points.filter(F.col("geom")["type"] != "Point").isEmpty():
+            parts.append(spatial_join(points.filter(F.col("geom")["type"] != "Point"), zones, spatial_rel, "geom", zone_geom, broadcast_bytes=broadcast_bytes, spread_by=spread_by))
+            l = l.filter(F.col("geom")["type"] == "Point")
             points = points.filter(F.col("geom")["type"] == "Point")
-        if not odd_zones.isEmpty():
+        if about.odd:
             parts.append(spatial_join(points, odd_zones, spatial_rel, "geom", zone_geom, broadcast_bytes=broadcast_bytes, spread_by=spread_by))
-    elif not odd_zones.isEmpty():
+    elif about.odd:
         raise ValueError("Zones that are no polygons need the points in a column geom")
-    pairs = _points_in_polygons(points, zones, spatial_rel, zone_geom, broadcast_bytes, spread_by)
-    return reduce(DataFrame.unionByName, parts, pairs)
-
-
-def _points_in_polygons(points: DataFrame, zones: DataFrame, spatial_rel: str, zone_geom: str,
-                        broadcast_bytes: int, spread_by: list[str] | None) -> DataFrame:
-    name = relation_name(spatial_rel)
     wanted = {"intersects": (1, 2), "within": (2,), "touches": (1,)}
     if name not in wanted:
         raise ValueError(f"A point cannot stand in relation {name} to a polygon")
-    l, r, geom, keep = _prepare(points, zones, zone_geom)
-    r = r.filter(F.col(geom)["type"].endswith("Polygon")).withColumn("_edges", edge_list(F.col(geom)))
+    r = r.filter(flat).withColumn("_edges", edge_list(F.col(geom)))
+    x, y = F.col(_LEFT[0]), F.col(_LEFT[1])
+    if not about.levels:
+        pairs = l.select("*", *(F.lit(None).cast(r.schema[c].dataType).alias(c) for c in r.columns if c in keep)).limit(0)
+        return reduce(DataFrame.unionByName, parts, pairs.select(*keep))
+    if about.bytes <= broadcast_bytes:
+        here = [F.struct(F.lit(v).alias("_level"), F.floor(x / 2.0 ** v).alias("_cx"), F.floor(y / 2.0 ** v).alias("_cy")) for v in sorted(about.levels)]
+        pairs = _listed(l, F.array(*here)).join(F.broadcast(_listed(r, square_cells(*_box(_RIGHT), own))), _SQUARE).filter(_boxes_meet())
+    else:
+        pairs = _quadtree_pairs(l, r, geom, tuple(about[c] for c in _RIGHT), broadcast_bytes, spread_by or _plain_columns(l), square_rows)
+    pairs = pairs.filter(place_among(F.col("_edges"), x, y).isin(*wanted[name])).select(*keep)
+    return reduce(DataFrame.unionByName, parts, pairs)
+
+
+def _quadtree_pairs(l: DataFrame, r: DataFrame, geom: str, extent: tuple[float, float, float, float], broadcast_bytes: int, spread_by: list[str], square_rows: int) -> DataFrame:
+    """Points with the zones whose box holds them, by the leaves of a quadtree; `extent` is the box around the zones."""
     x, y = F.col(_LEFT[0]), F.col(_LEFT[1])
-    here = [F.struct(F.lit(v).alias("_level"), F.floor(x / 2.0 ** v).alias("_cx"), F.floor(y / 2.0 ** v).alias("_cy"))
-            for v in _levels(r, _RIGHT, geom)]
-    if not here:
-        return l.limit(0).join(r, F.lit(False)).select(*keep)
-    squares = square_cells(*_box(_RIGHT), _own_level(_RIGHT, geom))
-    small = fits(r, _row_bytes(geom, squares), broadcast_bytes)
-    pairs = _pairs(_listed(l, F.array(*here)), _listed(r, squares), small, spread_by).filter(_boxes_meet())
-    return pairs.filter(place_among(F.col("_edges"), x, y).isin(*wanted[name])).select(*keep)
+    # Numbered after it is fixed, so that a number means the same row in every stage.
+    zones = checkpoint(r).withColumn("_zone", F.monotonically_increasing_id())
+    boxes = zones.select("_zone", *_RIGHT)
+    near = l.filter(x.between(extent[0], extent[2]) & y.between(extent[1], extent[3]))
+    tree = Quadtree(extent, near, (x, y), boxes, _box(_RIGHT), square_rows)
+    left, right, keys = dealt(tree.of_points(near, x, y), tree.of_boxes(boxes, _box(_RIGHT)), spread_by, ["_zone"], square_rows)
+    met = left.join(right, keys).filter(_boxes_meet()).drop(*keys, *_RIGHT)
+    return met.join(zones.drop(*_RIGHT), "_zone") if broadcast_bytes <= 0 else met.join(broadcast_if_small(zones.drop(*_RIGHT), F.size("_edges") * 32 + _attribute_bytes(r, geom)), "_zone")
 
 
 def spatial_join(left: DataFrame, right: DataFrame, spatial_rel: str = "intersects", left_geom: str = "geom",

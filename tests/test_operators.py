@@ -10,12 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom import (
-    Layer, assign_ids, cell_bins, cut_tracks, daily_tracks, discover_columns, export_features, id_audit, latest_per_entity, layer_extent, minimum_scale,
+    Layer, assign_ids, cell_bins, cut_tracks, daily_tracks, discover_columns, export_features, id_audit, ingest_geometry, latest_per_entity, layer_extent, minimum_scale,
     points_in_polygons, refresh_catalog, spatial_join, time_extent, with_point, write_clustered, write_clustered_table,
 )
 from geoloom.functions.decode import parse_wkt
 from geoloom.functions.geometry import with_bounds
 from geoloom.operators.catalog import field_type, world_extent, zoom_scale
+from geoloom.operators.quadtree import LEAF, Quadtree
 from geoloom.operators.ranking import with_position
 from workload.tables import position_layer, positions
 
@@ -220,3 +221,28 @@ def test_export_of_bad_geometry(spark, tmp_path):
                      '{"type":"Feature","properties":{"id":8,"name":"b"},"geometry":null}']
     with pytest.raises(ValueError):
         export_features(df, path, "kml")
+
+
+def test_quadtree_joins_dense_places_on_either_side(spark):
+    """Many points in one place, many zones in another, few of both elsewhere: every pair once, whatever the size of a square."""
+    rng = random.Random(4)
+    points = [(i, 5.0, 5.0) if i % 3 == 0 else (i, rng.uniform(-50, 50), rng.uniform(-50, 50)) for i in range(600)] + [(900, None, None), (901, 1e9, 1e9)]
+    zones = [(k, -20.0 - k % 2, 30.0, 4.0) if k < 150 else (k, rng.uniform(-50, 50), rng.uniform(-50, 50), rng.choice([0.5, 3.0, 60.0])) for k in range(200)]
+    text = [f"POLYGON(({cx - h} {cy - h}, {cx + h} {cy - h}, {cx + h} {cy + h}, {cx - h} {cy + h}, {cx - h} {cy - h}))" for _, cx, cy, h in zones]
+    areas = ingest_geometry(spark.createDataFrame([(z[0], t) for z, t in zip(zones, text)], "id int, wkt string"), "wkt")[0].withColumn("fine", F.lit("x"))
+    left = with_point(spark.createDataFrame(points, "id int, x double, y double"), "x", "y")
+    want = sorted((p, k) for p, x, y in points if x is not None for k, cx, cy, h in zones if abs(x - cx) < h and abs(y - cy) < h)
+    for rows in (7, 1000):
+        got = points_in_polygons(left, areas, broadcast_bytes=0, square_rows=rows)
+        assert sorted((r.id, r.right_id) for r in got.select("id", "right_id").collect()) == want
+    assert "fine" in got.columns and len(want) > 5000
+
+
+def test_quadtree_leaves_hold_few_rows_where_places_differ(spark):
+    points = spark.range(20_000).select(F.rand(1).alias("x"), F.rand(2).alias("y"))
+    boxes = spark.range(10).select((F.col("id") / 10).alias("a"), (F.col("id") / 10).alias("b"), (F.col("id") / 10 + 0.1).alias("c"), (F.col("id") / 10 + 0.1).alias("d"))
+    tree = Quadtree((0.0, 0.0, 1.0, 1.0), points, (F.col("x"), F.col("y")), boxes, [F.col(c) for c in "abcd"], square_rows=500)
+    sizes = [r["count"] for r in tree.of_points(points, F.col("x"), F.col("y")).groupBy(*LEAF).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 500 and len(sizes) < 300
+    scan = tree.of_boxes(boxes, [F.col(c) for c in "abcd"])
+    assert scan.groupBy("a").count().agg(F.min("count")).first()[0] >= 1 and scan.select(*LEAF, "a").distinct().count() == scan.count()
