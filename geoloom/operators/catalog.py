@@ -5,9 +5,12 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType,
@@ -31,7 +34,7 @@ CATALOG_DDL = (
     "name string, id_field string, geometry_field string, srid int, max_record_count int, "
     "fields array<struct<name:string,type:string,nullable:boolean>>, geometry_type string, row_count bigint, "
     "xmin double, ymin double, xmax double, ymax double, t0 bigint, t1 bigint, min_id bigint, max_id bigint, "
-    "null_ids bigint, id_class string, extent_known boolean, computed_at timestamp"
+    "null_ids bigint, id_class string, extent_known boolean, computed_at timestamp, status string"
 )
 
 
@@ -93,31 +96,43 @@ def layer_information(layer: Layer) -> DataFrame:
         F.lit(True).alias("extent_known"), F.current_timestamp().alias("computed_at"))
 
 
-def unknown_information(spark: SparkSession, name: str, srid: int = 4326) -> DataFrame:
+def unknown_information(spark: SparkSession, name: str, srid: int = 4326, status: str = "unknown") -> DataFrame:
     """Row of a layer that could not be read: the world as extent where there is one."""
     box = world_extent(srid) or (None,) * 4
-    values = {"name": F.lit(name), "srid": F.lit(srid), "extent_known": F.lit(False), "computed_at": F.current_timestamp(),
+    values = {"name": F.lit(name), "srid": F.lit(srid), "extent_known": F.lit(False), "computed_at": F.current_timestamp(), "status": F.lit(status),
               **{side: F.lit(v) for side, v in zip(("xmin", "ymin", "xmax", "ymax"), box)}}
     schema = spark.createDataFrame([], CATALOG_DDL).schema
     return spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def refresh_catalog(spark: SparkSession, layers: dict[str, Layer | Callable[[], Layer]], path: str | None = None) -> DataFrame:
-    """One row per layer, all in one job; stored as Parquet under a new path if one is given.
+def refresh_catalog(spark: SparkSession, layers: dict[str, Layer | Callable[[], Layer]], path: str | None = None, srids: dict[str, int] | None = None,
+                    at_once: int = 4) -> DataFrame:
+    """One row per layer, each from a job of its own, `at_once` of them at a time; stored as Parquet under a new path if one is given.
 
-    A layer may be given as a function that opens it. One that cannot be opened
-    gets a row marked `extent_known = false` and does not stop the others.
+    A layer may be given as a function that opens it. One that cannot be opened, or fails while it is read, gets a row marked
+    `extent_known = false` with the reason in `status`, and does not stop the others. Its coordinate system is that of the
+    layer or, if it could not be opened, the one that `srids` names (by default 4326). The jobs of a layer are a job group
+    named after it, so they can be told apart and cancelled alone. Only the rows of the catalog pass through the driver.
     """
-    rows = []
-    for name, layer in layers.items():
+    schema = spark.createDataFrame([], CATALOG_DDL).schema
+
+    def row_of(name: str, layer: Layer | Callable[[], Layer]) -> Row:
+        srid = (srids or {}).get(name, 4326)
+        spark.sparkContext.setJobGroup(f"catalog {name}", f"Layer information of {name}")
         try:
-            rows.append(layer_information(layer if isinstance(layer, Layer) else layer()))
-        except (AnalysisException, ValueError) as error:
+            opened = layer if isinstance(layer, Layer) else layer()
+            srid = opened.srid
+            found = layer_information(opened).withColumn("status", F.lit("ok"))
+            return found.select(*[F.col(f.name).cast(f.dataType) for f in schema]).first()
+        except (PySparkException, Py4JJavaError, ValueError) as error:
             logging.getLogger(__name__).warning("Layer %s cannot be read: %s", name, error)
-            rows.append(unknown_information(spark, name))
-    catalog = spark.createDataFrame([], CATALOG_DDL)
-    for row in rows:
-        catalog = catalog.unionByName(row)
+            return unknown_information(spark, name, srid, str(error).strip().split("\n")[0][:500]).first()
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        # Each job runs under the session and the properties of the caller.
+        running = [pool.submit(inheritable_thread_target(spark)(row_of), name, layer) for name, layer in layers.items()]
+        rows = [job.result() for job in running]
+    catalog = spark.createDataFrame(rows, schema)
     if path:
         catalog.write.parquet(path)
         return spark.read.parquet(path)

@@ -93,10 +93,17 @@ def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, top_rows
 def flagged_page(df: DataFrame, keys: list[Column], size: int, offset: int = 0) -> DataFrame:
     """The rows of a page, each with `exceeded_transfer_limit`: one run fetches a row more and looks whether it is there.
 
-    The window runs over the page alone.
+    The window of a near page runs over that page alone. Pages that reach further are cut by counted positions, in as many
+    tasks as they have ranges, and the flag is whether the position after the page is taken.
     """
     if not size:
         return page(df, keys, 0, offset).rows.withColumn(EXCEEDED, F.lit(False))
+    offset = max(0, offset)
+    if keys and offset + size >= TOP_ROWS:
+        place = F.col("_position")
+        cut = with_position(df, keys, "_position").filter((place >= offset) & (place <= offset + size))
+        more = not cut.filter(place == offset + size).isEmpty()
+        return cut.filter(place < offset + size).orderBy(place).drop("_position").withColumn(EXCEEDED, F.lit(more))
     ahead = page(df, keys, size + 1, offset).rows
     row = F.row_number().over(W.orderBy(*(keys or [F.lit(1)])))
     counted = ahead.withColumns({"_row": row, EXCEEDED: F.count(F.lit(1)).over(W.partitionBy(F.lit(1))) > size})

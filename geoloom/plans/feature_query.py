@@ -13,6 +13,9 @@ from geoloom.operators.projection import display_geometry, project, selected_fie
 from geoloom.plans.guard import parse_integer
 from geoloom.plans.layer import Layer
 
+#: Rows of a tile, which is a sample, where neither the request nor the layer names a number.
+TILE_ROWS = 2000
+
 
 @dataclass(frozen=True)
 class FeatureQuery:
@@ -85,7 +88,7 @@ def feature_page(layer: Layer, q: FeatureQuery) -> Page:
     df = filtered(layer, q)
     size = page_size(q.result_record_count, layer.max_record_count)
     if q.tile:
-        keys = []
+        size, keys = size or TILE_ROWS, []
         cut = Page(flagged_page(df, [], size) if q.with_exceeded else sample_page(df, size), page(df, [], size).exceeded)
     else:
         paged = q.result_offset > 0 or q.result_record_count is not None or q.order_by_fields

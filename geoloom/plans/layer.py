@@ -19,7 +19,8 @@ class Layer:
     `geometry_type="Point"` promises single points, which keeps every spatial
     test in the JVM. `date_field` names a partition column with the UTC date of
     `time_field`. `plain` holds the same rows before decoding; queries that need
-    no geometry read it instead. A page holds at most `max_record_count` rows (0: all);
+    no geometry read it instead. Answers are complete unless the request asks for a page
+    or the layer has a page size, `max_record_count` (0: none, the default);
     `with_exceeded` in a request, or `page`, tells whether more follow. Id lists
     and distinct values are complete; a layer may refuse answers above `max_ids`
     and `max_distinct` rows (0: never).
@@ -32,7 +33,7 @@ class Layer:
     time_field: str | None = None
     date_field: str | None = None
     geometry_type: str | None = None
-    max_record_count: int = 2000
+    max_record_count: int = 0
     max_ids: int = 0
     max_distinct: int = 0
     editable: bool = True

@@ -11,7 +11,7 @@ from geoloom import filter_shape, normalize_shapes, reproject, unwrap_dateline,
 from geoloom.functions.cells import hex_axis, hex_cell, hex_edge, hex_polygon, morton
 from geoloom.functions.decode import parse_esri_json, parse_geojson
 from geoloom.functions.distance import distance_to
-from geoloom.functions.geometry import with_bounds
+from geoloom.functions.geometry import point, with_bounds
 from geoloom.functions.decode import parse_wkt
 
 GRID = 1 / 64
@@ -197,3 +197,31 @@ def test_distances_match_the_library(spark, jts):
     df = with_bounds(spark.createDataFrame([(t,) for t in texts], "t string").withColumn("geom", parse_wkt(F.col("t"))))
     for row in df.select("t", distance_to(F.col("geom"), 0.25, -0.5).alias("d")).collect():
         assert row.d == pytest.approx(jts(row.t).distance(jts("POINT(0.25 -0.5)"))), row.t
+
+
+def test_utm_against_the_meridian_and_conformality(spark):
+    """On the meridian the northing is the arc of the ellipsoid; off it, small steps east and north stay at right angles and of one scale."""
+    a, f = 6378137.0, 1 / 298.257223563
+    e2 = f * (2 - f)
+
+    def arc(latitude: float) -> float:
+        steps = 20_000
+        h = math.radians(latitude) / steps
+        return sum(a * (1 - e2) * (1 - e2 * math.sin((i + 0.5) * h) ** 2) ** -1.5 * h for i in range(steps))
+
+    places, step = [(15.0, 0.0), (15.0, 45.0), (15.0, 84.0), (21.0, 60.0), (9.5, 33.0)], 1e-5
+    rows = [(k, d, lon + (step if d == 1 else 0), lat + (step if d == 2 else 0)) for k, (lon, lat) in enumerate(places) for d in (0, 1, 2)]
+    df = spark.createDataFrame(rows, "k int, d int, x double, y double").select("k", "d", "y", point(F.col("x"), F.col("y")).alias("g"))
+    got = {(r.k, r.d): (r.g.parts[0][0][0].x, r.g.parts[0][0][0].y) for r in df.select("k", "d", reproject(F.col("g"), 32633).alias("g")).collect()}
+    for k, (lon, lat) in enumerate(places):
+        x, y = got[k, 0]
+        if lon == 15.0:
+            assert abs(x - 500_000) < 1e-6 and abs(y - 0.9996 * arc(lat)) < 1e-3
+        narrow = math.sqrt(1 - e2 * math.sin(math.radians(lat)) ** 2)
+        east = [(p - q) / (a / narrow * math.cos(math.radians(lat)) * math.radians(step)) for p, q in zip(got[k, 1], got[k, 0])]
+        north = [(p - q) / (a * (1 - e2) / narrow ** 3 * math.radians(step)) for p, q in zip(got[k, 2], got[k, 0])]
+        assert abs(east[0] - north[1]) < 1e-5 and abs(east[1] + north[0]) < 1e-5
+    south = df.filter("d = 0").select(reproject(reproject(reproject(F.col("g"), 32733), 3857), 32633).alias("g"), "k").collect()
+    assert all(abs(r.g.parts[0][0][0].x - got[r.k, 0][0]) < 1e-3 and abs(r.g.parts[0][0][0].y - got[r.k, 0][1]) < 1e-3 for r in south)
+    far = spark.range(1).select(point(F.lit(-170.0), F.lit(10.0)).alias("g")).select(reproject(F.col("g"), 32633).alias("g"), reproject(F.col("g"), 32601).alias("h")).first()
+    assert far.g is None and far.h.srid == 32601

@@ -284,7 +284,7 @@ def test_points_join_other_zones_and_other_rows_join_as_they_are(spark):
     assert (0, 0) not in pairs("within") and (1, 0) in pairs("within")
 
 
-def test_an_answer_carries_its_flag(layer):
+def test_an_answer_carries_its_flag(layer, monkeypatch):
     """A page tells that more rows follow; without a limit the answer is the whole table, from any offset."""
     n = layer.df.count()
     for request, more in (({}, True), ({"order_by_fields": "speed"}, True), ({"result_type": "tile"}, True), ({"result_offset": n - 5}, False)):
@@ -294,6 +294,11 @@ def test_an_answer_carries_its_flag(layer):
         paged = small.page(out_fields="oid", return_geometry=False, **request)
         assert paged.rows.count() == len(rows) and paged.exceeded.first()[0] is more
     whole = replace(layer, max_record_count=0)
+    monkeypatch.setattr("geoloom.operators.paging.TOP_ROWS", 5)
+    for offset, size, more in ((3, 40, True), (n - 5, 5, False), (n - 5, 4, True), (n + 5, 3, False)):
+        rows = whole.query(with_exceeded=True, out_fields="oid", return_geometry=False, order_by_fields="oid", result_offset=offset, result_record_count=size).collect()
+        assert [r.oid for r in rows] == list(range(offset + 1, min(offset + size, n) + 1)) and {r.exceeded_transfer_limit for r in rows} <= {more}
+    monkeypatch.undo()
     assert whole.query(out_fields="oid").count() == n and not whole.page(out_fields="oid").exceeded.first()[0]
     assert [r.oid for r in whole.query(out_fields="oid", result_offset=n - 3, with_exceeded=True).collect()] == [n - 2, n - 1, n]
 

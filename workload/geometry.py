@@ -362,6 +362,36 @@ def reprojected_back(spark, sf_dir):
     return moved.select("oid", F.round(first("x"), 9).alias("x"), F.round(first("y"), 9).alias("y"))
 
 
+def utm_sql(srid: int) -> str:
+    """Easting and northing by the series, with the conformal latitude in its other form."""
+    ecc, n = "sqrt(0.00669437999014131699613723)", 0.0016792203863837045
+    meridian, north = (srid % 100) * 6 - 183, 0 if srid < 32700 else 10_000_000
+    metres = 0.9996 * 6378137.0 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64)
+    a = (n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16 + 41 * n ** 4 / 180, 13 * n ** 2 / 48 - 3 * n ** 3 / 5 + 557 * n ** 4 / 1440, 61 * n ** 3 / 240 - 103 * n ** 4 / 140, 49561 * n ** 4 / 161280)
+    east = " + ".join(f"{c!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(a, 1))
+    up = " + ".join(f"{c!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(a, 1))
+    return f"""
+SELECT oid, {srid} AS srid, CASE WHEN abs(off) < 80 THEN round(500000 + {metres!r} * (eta + {east}), 3) END AS x, CASE WHEN abs(off) < 80 THEN round({north} + {metres!r} * (xi + {up}), 3) END AS y
+FROM (SELECT oid, off, atan2(t, cos(radians(off))) AS xi, asinh(sin(radians(off)) / sqrt(t * t + cos(radians(off)) * cos(radians(off)))) AS eta
+      FROM (SELECT oid, fmod(lon - {meridian} + 540, 360) - 180 AS off, sinh(asinh(tan(radians(lat))) - {ecc} * atanh({ecc} * sin(radians(lat)))) AS t FROM positions))"""
+
+
+@case("c8_reproject_utm", WITH + " UNION ALL ".join(utm_sql(srid) for srid in (32633, 32718)))
+def reprojected_to_utm(spark, sf_dir):
+    """All positions in a northern and a southern zone."""
+    layer = position_layer(spark, sf_dir)
+    parts = [layer.df.select("oid", F.lit(srid).alias("srid"), reproject(F.col("geom"), srid).alias("geom")) for srid in (32633, 32718)]
+    return parts[0].unionByName(parts[1]).select("oid", "srid", F.round(first("x"), 3).alias("x"), F.round(first("y"), 3).alias("y"))
+
+
+@case("c8_utm_round_trip", WITH + "SELECT oid, round(lon, 8) AS x, round(lat, 8) AS y FROM positions WHERE lon > -12 AND lon < 42 AND lat > 0")
+def utm_round_trip(spark, sf_dir):
+    """Positions around one zone into it, on to a neighbouring one, and back to degrees."""
+    near = position_layer(spark, sf_dir).df.filter("lon > -12 AND lon < 42 AND lat > 0")
+    moved = near.select("oid", reproject(reproject(reproject(F.col("geom"), 32633), 32634), 4326).alias("geom"))
+    return moved.select("oid", F.round(first("x"), 8).alias("x"), F.round(first("y"), 8).alias("y"))
+
+
 @case("c10_unwrap_dateline", WITH + """
 SELECT oid, CASE WHEN lon > 150 THEN 'yes' ELSE 'no' END AS unwrapped, round(lon + lon + 30, 6) AS x_sum FROM positions
 """)

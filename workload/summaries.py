@@ -213,6 +213,24 @@ def catalog(spark, sf_dir):
                        "min_id", "max_id", "id_class")
 
 
+@case("m1_layers_apart", WITH + """
+SELECT 'positions' AS name, 4326 AS srid, true AS extent_known, count(*) AS row_count, min(lon) AS xmin, max(lat) AS ymax, true AS is_ok FROM positions
+UNION ALL SELECT 'boxes', 4326, true, count(*), min(x0), max(y1), true FROM boxes
+UNION ALL SELECT 'failing', 3857, false, NULL, -20037508.342789244, 20037508.342789244, false
+UNION ALL SELECT 'gone', 3857, false, NULL, -20037508.342789244, 20037508.342789244, false
+""")
+def layers_apart(spark, sf_dir):
+    """A layer that fails while it is read and one that cannot be opened, between two sound ones."""
+    bad = position_layer(spark, sf_dir, name="failing")
+    broken = bad.df.withColumn("_xmin", F.when(F.col("oid") > 0, F.raise_error(F.lit("cannot be read")).cast("double")))
+    layers = {
+        "positions": position_layer(spark, sf_dir), "failing": Layer(broken, "oid", srid=3857, time_field="ts", name="failing"),
+        "boxes": Layer(boxes(spark, sf_dir), "oid", name="boxes"), "gone": lambda: Layer.table(spark, "no.such.table"),
+    }
+    return refresh_catalog(spark, layers, srids={"gone": 3857}).select(
+        "name", "srid", "extent_known", "row_count", "xmin", "ymax", (F.col("status") == "ok").alias("is_ok"))
+
+
 @case("m2_discover_columns", WITH + """
 SELECT 'id' AS role, 'raw_id' AS name, CAST(1 AS INT) AS preference, CAST(0 AS BIGINT) AS nulls, min(raw_id) AS low, CAST(NULL AS BOOLEAN) AS is_unique,
        false AS usable, false AS chosen FROM positions
