@@ -117,11 +117,14 @@ def _counted(texts: DataFrame) -> DataFrame:
     return map_arrow(texts, rows, "doc long, word string, n long")
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> OrdinalModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE,
+                 words: int = WORDS, least_documents: int = LEAST_DOCUMENTS, least_chi_square: float = LEAST_CHI_SQUARE) -> OrdinalModel:
     """Model of the grades 0 (not toxic), 1 and 2 (toxic, by the number of telling words up to and above the median of the toxic documents).
 
     `sample` bounds the labelled documents used: those with the smallest hashes
-    of their ids. Null labels and ids are ignored; of several labels of a document
+    of their ids. Features are the at most `words` words and word beginnings with the largest chi-square over toxic and other
+    documents, of those that stand in `least_documents` of the sample and reach `least_chi_square`: the three bound the model,
+    which is all that goes to the tasks; documents are scored by all their words that it holds. Null labels and ids are ignored; of several labels of a document
     the largest counts, of several texts the first in order. Without labelled
     documents of both kinds no word has a weight and nothing is toxic.
     """
@@ -135,19 +138,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     n, toxic = numbers.n, numbers.toxic
     if not toxic or toxic == n:
         return none
-    words = _counted(texts.select("doc", "text")).join(F.broadcast(texts.select("doc", "label")), "doc")
-    spread = words.groupBy("word").agg(F.count(F.lit(1)).alias("held"), F.count(F.when(F.col("label") > 0, 1)).alias("t")).filter(F.col("held") >= LEAST_DOCUMENTS)
+    found = _counted(texts.select("doc", "text")).join(F.broadcast(texts.select("doc", "label")), "doc")
+    spread = found.groupBy("word").agg(F.count(F.lit(1)).alias("held"), F.count(F.when(F.col("label") > 0, 1)).alias("t")).filter(F.col("held") >= least_documents)
     # Chi-square of the two-by-two table of word and label.
     t, held = F.col("t").cast("double"), F.col("held").cast("double")
     cross = t * (n - toxic - (held - t)) - (held - t) * (toxic - t)
     chi = cross * cross * n / (held * (n - held) * toxic * (n - toxic))
-    telling = spread.withColumn("chi", F.when(held < n, chi)).filter((F.col("chi") >= LEAST_CHI_SQUARE) & (t * n > held * toxic)) \
-        .orderBy(F.desc("chi"), "word").limit(WORDS).select("word")
+    telling = spread.withColumn("chi", F.when(held < n, chi)).filter((F.col("chi") >= least_chi_square) & (t * n > held * toxic)) \
+        .orderBy(F.desc("chi"), "word").limit(words).select("word")
     vocabulary = {r.word: i for i, r in enumerate(telling.orderBy("word").collect())}
     if not vocabulary:
         return none
     # Rows of the sample with words of the model: both are bounded.
-    entries = words.join(F.broadcast(telling), "word").select("doc", "word", "n").toArrow()
+    entries = found.join(F.broadcast(telling), "word").select("doc", "word", "n").toArrow()
     totals = texts.select("doc", "label").orderBy("doc").toArrow()
     ids, label = (totals.column(c).to_numpy() for c in ("doc", "label"))
     row, column = np.searchsorted(ids, entries.column("doc").to_numpy()), np.array([vocabulary[w] for w in entries.column("word").to_pylist()], int)
