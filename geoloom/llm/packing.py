@@ -28,7 +28,7 @@ SIZE, END_ID = 4096, 2
 #: Costs of a token and of a squared piece length: attention passes the linear part at 8192 tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / 8192
 #: Tokens packed together, bytes of text tokenised together, words and runs of letters a task remembers.
-GROUP_TOKENS, TEXT_BYTES, KNOWN_WORDS, KNOWN_CORES = 1 << 20, 2 << 20, 400_000, 150_000
+GROUP_TOKENS, TEXT_BYTES, KNOWN_WORDS, KNOWN_CORES = 1 << 20, 2 << 20, 600_000, 150_000
 _SEQUENCES_PER_TASK = 40  # bits of a sequence id below the task's number
 
 
@@ -55,8 +55,6 @@ class Tokens:
 
     def _learn_cores(self, cores: list[bytes]) -> None:
         """Ids of runs of letters, tokenised together and cut where a token ends a word."""
-        if len(self.cores) > KNOWN_CORES:
-            self.cores.clear()
         ids = self._encode(b" ".join(cores).decode())
         cuts = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
         if len(cuts) == len(cores):
@@ -69,6 +67,8 @@ class Tokens:
         """Ids of new words. Letters with ASCII marks behind them are two pieces of their own, so the letters are looked up alone."""
         cores = [w.rstrip(b"!\"#$%&()*+,-./:;=?@[]^_`{|}~") for w in words]
         plain = [bool(c) and c.decode("utf-8", "replace").isalpha() for c in cores]
+        if len(self.cores) > KNOWN_CORES:  # before this block's are looked up: all of them are then learnt together
+            self.cores.clear()
         new = {c for c, p in zip(cores, plain, strict=True) if p and c not in self.cores}
         if new:
             self._learn_cores(list(new))
