@@ -5,14 +5,18 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.operators.ranking import with_position
+from geoloom.runtime import broadcast_if_small
 
 # Sorting the rows before a page in one task is fine up to here; further down, positions are counted instead.
 TOP_ROWS = 100_000
+# Files that the rows of a far page are looked for in by name; a page from more of them is read from all.
+MOST_FILES = 1000
 EXCEEDED = "exceeded_transfer_limit"
 
 
@@ -64,8 +68,37 @@ class Page:
     exceeded: DataFrame
 
 
-def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, top_rows: int = TOP_ROWS) -> Page:
-    """Rows offset+1 .. offset+size in the order of `keys`.
+def _has_locator(df: DataFrame) -> bool:
+    """Whether rows come straight from files, so that a file and a row number name them."""
+    if {"_file", "_row", "_metadata"} & set(df.columns):
+        return False
+    try:
+        return {"file_path", "row_index"} <= set(df.select("_metadata").schema[0].dataType.names)
+    except AnalysisException:
+        return False
+
+
+def between_positions(df: DataFrame, keys: list[Column], low: int, high: int, names: list[str] | None = None) -> DataFrame:
+    """Rows at the positions low .. high - 1 in the order of `keys`, with `_position`.
+
+    If `names` are the columns that the keys look at and rows come from files,
+    only those columns and a locator (file, row number) are ordered and fixed; the
+    rows of the page are then read back from the files it touches.
+    """
+    place = F.col("_position")
+    if names is None or not _has_locator(df):
+        return with_position(df, keys, "_position").filter((place >= low) & (place < high))
+    locator = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    thin = with_position(df.select(*names, *locator), keys, "_position").filter((place >= low) & (place < high)).select("_file", "_row", "_position")
+    files = [r["_file"] for r in thin.select("_file").distinct().limit(MOST_FILES + 1).collect()]
+    rows = df.select(*df.columns, *locator)
+    if len(files) <= MOST_FILES:
+        rows = rows.filter(F.col("_file").isin(files))
+    return rows.join(broadcast_if_small(thin, F.octet_length("_file") + 24), ["_file", "_row"]).select(*df.columns, "_position")
+
+
+def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, top_rows: int = TOP_ROWS, names: list[str] | None = None) -> Page:
+    """Rows offset+1 .. offset+size in the order of `keys`; `names` are the columns that the keys look at, if known.
 
     Near pages keep only the best rows per partition; far ones are cut by
     counted positions, so no task sorts everything that comes before. Size 0
@@ -82,15 +115,13 @@ def page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, top_rows
         ordered = df.orderBy(*keys)
         rows = (ordered.offset(offset) if offset else ordered).limit(size)
     else:
-        place = F.col("_position")
-        cut = with_position(df, keys, "_position").filter((place >= offset) & (place < offset + size))
-        rows = cut.orderBy(place).drop("_position")
+        rows = between_positions(df, keys, offset, offset + size, names).orderBy("_position").drop("_position")
     # For a near page every task stops counting once it has seen enough.
     total = (df.limit(offset + size + 1) if offset + size <= top_rows else df).agg(F.count(F.lit(1)).alias("n"))
     return Page(rows, total.select((F.col("n") > offset + size).alias(EXCEEDED)))
 
 
-def flagged_page(df: DataFrame, keys: list[Column], size: int, offset: int = 0) -> DataFrame:
+def flagged_page(df: DataFrame, keys: list[Column], size: int, offset: int = 0, names: list[str] | None = None) -> DataFrame:
     """The rows of a page, each with `exceeded_transfer_limit`: one run fetches a row more and looks whether it is there.
 
     The window of a near page runs over that page alone. Pages that reach further are cut by counted positions, in as many
@@ -101,7 +132,7 @@ def flagged_page(df: DataFrame, keys: list[Column], size: int, offset: int = 0)
     offset = max(0, offset)
     if keys and offset + size >= TOP_ROWS:
         place = F.col("_position")
-        cut = with_position(df, keys, "_position").filter((place >= offset) & (place <= offset + size))
+        cut = between_positions(df, keys, offset, offset + size + 1, names)
         more = not cut.filter(place == offset + size).isEmpty()
         return cut.filter(place < offset + size).orderBy(place).drop("_position").withColumn(EXCEEDED, F.lit(more))
     ahead = page(df, keys, size + 1, offset).rows

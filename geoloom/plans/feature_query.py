@@ -95,9 +95,10 @@ def feature_page(layer: Layer, q: FeatureQuery) -> Page:
         keys = sort_columns(df, q.order_by_fields, layer.id_field) if paged else []
         if q.result_offset + size > TOP_ROWS:
             df = df.select(*_read_fields(layer, q))
-        cut = page(df, keys, size, q.result_offset)
+        names = _key_names(layer, q) if keys else None
+        cut = page(df, keys, size, q.result_offset, names=names)
         if q.with_exceeded:
-            cut = Page(flagged_page(df, keys, size, q.result_offset), cut.exceeded)
+            cut = Page(flagged_page(df, keys, size, q.result_offset, names), cut.exceeded)
     rows = drop_unusable_ids(cut.rows, layer.id_field) if q.drop_unusable_ids else cut.rows
     shown = display_geometry(rows, layer.geometry, after_sort=bool(keys)) if q.return_geometry else rows
     flag = (EXCEEDED,) if q.with_exceeded else ()
@@ -112,6 +113,12 @@ def _read_fields(layer: Layer, q: FeatureQuery) -> list[str]:
     return [*shown, *keys, *([layer.geometry] if q.return_geometry else [])]
 
 
+def _key_names(layer: Layer, q: FeatureQuery) -> list[str]:
+    """Columns that a page is sorted by."""
+    sorted_by = {re.sub(r"[^A-Za-z0-9_]", "", word.split()[0]).lower() for word in (q.order_by_fields or "").split(",") if word.split()}
+    return [c for c in layer.df.columns if c.lower() in sorted_by | {layer.id_field.lower()}]
+
+
 def _distinct_fields(layer: Layer, q: FeatureQuery) -> list[str]:
     names = selected_fields(layer.df, q.out_fields, layer.id_field, layer.geometry, add_id=False)
     return [*names, layer.geometry] if q.return_geometry else names

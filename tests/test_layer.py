@@ -308,3 +308,18 @@ def test_stored_layers_push_their_filters_down(spark, sf_dir):
     for name in ("LessThanOrEqual(_xmin,60.0)", "GreaterThanOrEqual(_xmax,-60.0)", "LessThanOrEqual(ts"):
         assert name in plan[plan.index("PushedFilters"):]
     assert "event_date" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+
+
+def test_far_pages_carry_keys_and_locator_only(spark, stored, monkeypatch, tmp_path):
+    """The rows that are ordered and fixed are thin, and the page is read back from its files."""
+    from geoloom.operators import paging
+
+    carried, fix = [], paging.with_position
+    monkeypatch.setattr(paging, "with_position", lambda df, *rest: carried.append(df.columns) or fix(df, *rest))
+    keys = paging.sort_columns(stored.df, "speed DESC", "oid")
+    far = paging.page(stored.df, keys, 40, 900, top_rows=10, names=["oid", "speed"]).rows
+    want = [r.oid for r in sorted(stored.df.select("oid", "speed").collect(), key=lambda r: (-r.speed, r.oid))][900:940]
+    assert [r.oid for r in far.collect()] == want and far.columns == stored.df.columns
+    assert carried == [["oid", "speed", "_file", "_row"]]
+    made = spark.range(100).withColumn("speed", F.col("id") * 2)
+    assert [r.id for r in paging.page(made, [F.col("id").desc()], 3, 50, top_rows=1, names=["id"]).rows.collect()] == [49, 48, 47] and carried[-1] == ["id", "speed"]

@@ -194,7 +194,8 @@ def far_page(spark, sf_dir):
     """A page far down, cut by counted positions instead of a sort of all rows before it."""
     df = read(spark, sf_dir, "lineitem")
     keys = sort_columns(df, "l_orderkey, l_linenumber, l_partkey, l_quantity, l_suppkey, l_extendedprice")
-    return page(df, keys, 500, 4000, top_rows=1000).rows.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_suppkey", "l_extendedprice"]
+    return page(df, keys, 500, 4000, top_rows=1000, names=names).rows.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
 
 
 @case("g3_tile_sample", "SELECT least(count(*), 2000) AS n_rows, CAST(0 AS BIGINT) AS n_outside FROM events WHERE event_type = 'view'")
