@@ -72,8 +72,12 @@ def _plain(name: str, kind: DataType) -> Column:
     return column
 
 
-def normalize_columns(df: DataFrame, keep: str | None = "geom") -> DataFrame:
-    """Columns clients can show: nested values as JSON, bytes as hex, other geometries as EWKT text."""
-    return df.select(*[
-        F.col(f.name) if f.name == keep else _plain(f.name, f.dataType).alias(f.name) for f in df.schema
-    ])
+def normalize_columns(df: DataFrame, keep: str | None = "geom", nested: bool = True) -> DataFrame:
+    """Columns clients can show: bytes as hex, geometries other than `keep` as EWKT text and, with `nested`, other nested values as JSON."""
+    def changes(kind: DataType) -> bool:
+        return isinstance(kind, BinaryType) or is_geometry(kind) or nested and isinstance(kind, (StructType, MapType, ArrayType, VariantType))
+
+    odd = {f.name for f in df.schema if f.name != keep and changes(f.dataType)}
+    if not odd:
+        return df
+    return df.select(*[_plain(f.name, f.dataType).alias(f.name) if f.name in odd else F.col(f.name) for f in df.schema])

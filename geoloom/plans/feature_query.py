@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from geoloom.operators.filters import drop_unusable_ids, id_filter, spatial_filter, time_filter, where_filter
 from geoloom.operators.paging import EXCEEDED, TOP_ROWS, Page, count_rows, distinct_values, flagged_page, ids_only, page, page_size, sample_page, sort_columns
-from geoloom.operators.projection import display_geometry, project, selected_fields
+from geoloom.operators.projection import display_geometry, normalize_columns, project, selected_fields
 from geoloom.plans.guard import parse_integer
 from geoloom.plans.layer import Layer
 
@@ -102,7 +102,8 @@ def feature_page(layer: Layer, q: FeatureQuery) -> Page:
     rows = drop_unusable_ids(cut.rows, layer.id_field) if q.drop_unusable_ids else cut.rows
     shown = display_geometry(rows, layer.geometry, after_sort=bool(keys)) if q.return_geometry else rows
     flag = (EXCEEDED,) if q.with_exceeded else ()
-    return Page(project(shown, q.out_fields, layer.id_field, layer.geometry, q.return_geometry, flag), cut.exceeded)
+    answer = project(shown, q.out_fields, layer.id_field, layer.geometry, q.return_geometry, flag)
+    return Page(normalize_columns(answer, layer.geometry), cut.exceeded)
 
 
 def _read_fields(layer: Layer, q: FeatureQuery) -> list[str]:

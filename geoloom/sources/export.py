@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions.crs import unwrap_dateline
 from geoloom.functions.geometry import BBOX, as_geojson, as_wkt
+from geoloom.operators.projection import normalize_columns
 
 _JSON = {
     "ignoreNullFields": "false",
@@ -27,7 +28,11 @@ def feature_json(df: DataFrame, geom: str = "geom", id_field: str | None = None)
 
 def export_features(df: DataFrame, path: str, fmt: str = "geojson", geom: str = "geom",
                     id_field: str | None = None) -> None:
-    """Write features: `geojson` gives one Feature per line, `wkt` Parquet with the geometry as text."""
+    """Write features: `geojson` gives one Feature per line, `wkt` Parquet with the geometry as text.
+
+    Other geometries become EWKT and bytes hex; nested values are JSON in GeoJSON and stay as they are in Parquet.
+    """
+    df = normalize_columns(df, geom, nested=False)
     if fmt.lower() == "geojson":
         ready = df.withColumn(geom, unwrap_dateline(F.col(geom)))
         ready.select(feature_json(ready, geom, id_field).alias("value")).write.text(path)

@@ -134,6 +134,18 @@ def output_columns(spark, sf_dir):
     return normalize_columns(nested)
 
 
+@case("b10_layer_answer", WITH + r"""
+SELECT oid, concat('{"entity":', entity, ',"raw_id":', raw_id, '}') AS info, upper(hex(event_type)) AS bytes,
+       concat('SRID=4326;POINT(', regexp_replace(CAST(lat AS VARCHAR), '\.0$', ''), ' ', regexp_replace(CAST(lat AS VARCHAR), '\.0$', ''), ')') AS other
+FROM positions WHERE lon BETWEEN -60 AND 60
+""")
+def layer_answer(spark, sf_dir):
+    """Nested values, bytes and a second geometry in the answer of a layer."""
+    layer = position_layer(spark, sf_dir)
+    wide = layer.df.withColumns({"info": F.struct("entity", "raw_id"), "bytes": F.col("event_type").cast("binary"), "other": point(F.col("lat"), F.col("lat"))})
+    return layer.over(wide).query({"outFields": "oid,info,bytes,other", "geometry": "-60,-90,60,90", "returnGeometry": "false"})
+
+
 @case("e1_count", WITH + "SELECT count(*) AS count FROM positions WHERE event_type IN ('view', 'click') AND lon BETWEEN -90 AND 90 AND lat BETWEEN -45 AND 45")
 def count(spark, sf_dir):
     return position_layer(spark, sf_dir).query({
