@@ -171,7 +171,7 @@ def _quadtree_pairs(l: DataFrame, r: DataFrame, geom: str, extent: tuple[float,
     boxes = zones.select("_zone", *_RIGHT)
     near = l.filter(x.between(extent[0], extent[2]) & y.between(extent[1], extent[3]))
     tree = Quadtree(extent, near, (x, y), boxes, _box(_RIGHT), square_rows)
-    left, right, keys = dealt(tree.of_points(near, x, y), tree.of_boxes(boxes, _box(_RIGHT)), spread_by, ["_zone"], square_rows)
+    left, right, keys = dealt(tree, tree.of_points(near, x, y), tree.of_boxes(boxes, _box(_RIGHT)), spread_by, ["_zone"], square_rows)
     met = left.join(right, keys).filter(_boxes_meet()).drop(*keys, *_RIGHT)
     return met.join(zones.drop(*_RIGHT), "_zone") if broadcast_bytes <= 0 else met.join(broadcast_if_small(zones.drop(*_RIGHT), F.size("_edges") * 32 + _attribute_bytes(r, geom)), "_zone")
 
