@@ -56,14 +56,14 @@ def _allowed(n: int) -> int:
 
 
 def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """Smallest word edit distance of the item to a run of words of the text, and start and end of the run that ends first (of those the shortest)."""
+    """Smallest word edit distance of the item to a run of words of the text, and start and end of the run that ends first (of those the longest, so that a changed or followed first word is in it)."""
     best, end = _nearest(item, text, anchored=False)
     _, length = _nearest(item[::-1], text[:end][::-1], anchored=True)
     return best, end - length, end
 
 
 def _nearest(item: np.ndarray, text: np.ndarray, anchored: bool) -> tuple[int, int]:
-    """Smallest distance of the item to a run of the text and the first end of such a run; an anchored run starts with the text (bit-parallel dynamic programme)."""
+    """Smallest distance of the item to a run of the text and the first end of such a run; an anchored run starts with the text and has its last end (bit-parallel dynamic programme)."""
     n = len(item)
     masks: dict[int, int] = {}
     for i, w in enumerate(item.tolist()):
@@ -78,7 +78,7 @@ def _nearest(item: np.ndarray, text: np.ndarray, anchored: bool) -> tuple[int, i
         distance += bool(right_up & top) - bool(right_down & top)
         right_up, right_down = (right_up << 1 | anchored) & full, (right_down << 1) & full
         up, down = (right_down | ~(diagonal | right_up)) & full, right_up & diagonal
-        if distance < best:
+        if distance < best or anchored and distance == best:
             best, end = distance, j + 1
     return best, end
 
@@ -290,7 +290,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     Words are lower-cased and lie between white space and ASCII punctuation. An item
     of fewer than 8 words must occur word by word, however short it is; texts and
     items may be null or without words and then hold nothing. A document gives one
-    row per item, the best match (of equal ones the one that ends first, of those the shortest). Null and repeated ids of
+    row per item, the best match (of equal ones the one that ends first, of those the longest). Null and repeated ids of
     documents are kept; rows that repeat an item's id are items of their own. Items
     without an id are returned with a null one; if their words are those of an item
     with an id or of another without one, they are that item. Other columns are not read.
