@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -213,10 +214,12 @@ _WKB_TYPES = {1: "Point", 2: "LineString", 3: "Polygon", 4: "MultiPoint", 5: "Mu
 
 
 class _Wkb:
-    """Cursor over one WKB value; any malformed read raises and the row becomes NULL."""
+    """Cursor over one WKB value; any malformed read raises and the row becomes NULL. It notes where coordinates and SRIDs lie."""
 
     def __init__(self, data: bytes):
         self.data, self.at = data, 0
+        self.runs: list[tuple[int, str, int, int]] = []
+        self.srids: list[tuple[int, str]] = []
 
     def header(self) -> tuple[str, int, int | None, str]:
         order = {0: ">", 1: "<"}[self.data[self.at]]
@@ -225,6 +228,7 @@ class _Wkb:
         base, srid = code & 0x0FFFFFFF, None
         if code & 0x20000000:
             (srid,) = struct.unpack_from(order + "i", self.data, self.at)
+            self.srids.append((self.at, order))
             self.at += 4
         extra = (0, 1, 1, 2)[base // 1000] if base < 4000 else 9
         width = 2 + extra + bool(code & 0x80000000) + bool(code & 0x40000000)
@@ -237,6 +241,7 @@ class _Wkb:
 
     def run(self, order: str, width: int, n: int) -> np.ndarray:
         block = np.frombuffer(self.data, order + "f8", n * width, self.at).reshape(n, width)[:, :2].astype("f8")
+        self.runs.append((self.at, order, width, n))
         self.at += n * width * 8
         if not np.isfinite(block).all():
             raise ValueError("coordinate is not finite")
@@ -263,45 +268,116 @@ class _Wkb:
         return kind, srid, [part for m in members for part in m[2]]
 
 
-def _read_wkb(value: bytes | None):
-    if value is None:
-        return None
+def _read_wkb(value: bytes) -> tuple[_Wkb, tuple] | None:
     try:
         cursor = _Wkb(value)
         shape = cursor.read()
-        return shape if cursor.at == len(value) else None
+        return (cursor, shape) if cursor.at == len(value) else None
     except (ValueError, KeyError, IndexError, struct.error):
         return None
 
 
+def _shapes(kinds: pa.Array, srids: pa.Array, xy: np.ndarray, sizes: tuple[np.ndarray, np.ndarray, np.ndarray], missing: np.ndarray) -> pa.Array:
+    """Geometries from vertices in a row and the sizes of runs, parts and rows."""
+    nested = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], names=["x", "y"])
+    for lengths in sizes:
+        nested = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype("i4")), nested)
+    return pa.StructArray.from_arrays([kinds, srids, nested], names=["type", "srid", "parts"], mask=pa.array(missing, pa.bool_()))
+
+
+def _decode_alike(block: np.ndarray, default: int | None) -> tuple[np.ndarray, pa.Array | None]:
+    """Values of one length that have the layout of the first of them: which they are, and their geometries by one array view.
+
+    The layout is every byte that is neither a coordinate nor an SRID: byte orders, types and counts. Without geometries
+    only the first is told, and it cannot be read.
+    """
+    first = _read_wkb(block[0].tobytes())
+    if first is None:
+        return np.arange(len(block)) == 0, None
+    cursor, (kind, srid, parts) = first
+    layout = np.ones(block.shape[1], bool)
+    for at, _, width, n in cursor.runs:
+        layout[at:at + n * width * 8] = False
+    for at, _ in cursor.srids:
+        layout[at:at + 4] = False
+    alike = (block[:, layout] == block[0, layout]).all(axis=1)
+    same = np.ascontiguousarray(block[alike])
+    bad, runs = np.zeros(len(same), bool), []
+    for at, order, width, n in cursor.runs:
+        xy = np.ascontiguousarray(same[:, at:at + n * width * 8]).view(order + "f8").reshape(len(same), n, width)[:, :, :2].astype("f8")
+        bad |= ~np.isfinite(xy).all(axis=(1, 2))
+        if kind.endswith("Polygon"):
+            bad |= (xy[:, 0] != xy[:, -1]).any(axis=1)
+        runs.append(xy)
+    every = np.concatenate(runs, axis=1) if runs else np.empty((len(same), 0, 2))
+    every[bad] = 0.0
+    if srid is None:
+        srids = pa.array([default] * len(same), pa.int32())
+    else:
+        at, order = cursor.srids[0]
+        srids = pa.array(np.ascontiguousarray(same[:, at:at + 4]).view(order + "i4")[:, 0].astype("i4"))
+    sizes = ([len(ring) for part in parts for ring in part], [len(part) for part in parts], [len(parts)])
+    return alike, _shapes(pa.array([kind] * len(same), pa.string()), srids, every.reshape(-1, 2),
+                          tuple(np.tile(np.array(n, "i8"), len(same)) for n in sizes), bad)
+
+
+def _decode_apart(values: list[bytes], default: int | None) -> pa.Array:
+    """Geometries of values that share no layout, one by one."""
+    read = [_read_wkb(v) for v in values]
+    shapes = [r[1] if r else (None, None, []) for r in read]
+    rings = [part for s in shapes for part in s[2]]
+    runs = [ring for part in rings for ring in part]
+    return _shapes(
+        pa.array([s[0] for s in shapes], pa.string()), pa.array([default if s[1] is None else s[1] for s in shapes], pa.int32()),
+        np.concatenate(runs) if runs else np.empty((0, 2)), ([len(r) for r in runs], [len(p) for p in rings], [len(s[2]) for s in shapes]),
+        np.array([r is None for r in read], bool))
+
+
+# Longer values are read one by one, which costs little beside their own bytes; so are those beyond some layouts of one length.
+_LONGEST_ALIKE, _LAYOUTS = 4096, 4
+
+
+def _decode_wkb(values: pa.Array, default: int | None) -> pa.Array:
+    """Values of one batch: those of the same byte order, type and length together, as far as their layouts agree."""
+    values = values.cast(pa.large_binary())
+    present = np.flatnonzero(np.asarray(values.is_valid()))
+    lengths = np.asarray(pc.fill_null(pc.binary_length(values), 0)).astype("i8")
+    found, at, apart = [], [], [present[(lengths[present] < 5) | (lengths[present] > _LONGEST_ALIKE)]]
+    short = present[(lengths[present] >= 5) & (lengths[present] <= _LONGEST_ALIKE)]
+    if len(short):
+        data = np.frombuffer(values.buffers()[2], "u1")
+        starts = np.frombuffer(values.buffers()[1], "i8")[values.offset:values.offset + len(values)]
+        heads = np.lib.stride_tricks.sliding_window_view(data, 5)[starts[short]].astype("i8")
+        keys = (heads << np.array([0, 8, 16, 24, 32])).sum(axis=1) + (lengths[short] << 40)
+        order = np.argsort(keys, kind="stable")
+        cuts = np.flatnonzero(np.diff(keys[order])) + 1
+        for group in np.split(short[order], cuts):
+            for _ in range(_LAYOUTS):
+                if len(group) < 2:
+                    break
+                block = np.lib.stride_tricks.sliding_window_view(data, int(lengths[group[0]]))[starts[group]]
+                alike, shapes = _decode_alike(block, default)
+                if shapes is not None:
+                    found.append(shapes)
+                    at.append(group[alike])
+                group = group[~alike]
+            apart.append(group)
+    rest = np.concatenate(apart)
+    found.append(_decode_apart(values.take(pa.array(rest)).to_pylist(), default))
+    at.append(rest)
+    # A row without a place has no geometry.
+    places = np.full(len(values), -1, "i8")
+    places[np.concatenate(at)] = np.arange(sum(len(rows) for rows in at))
+    return pa.concat_arrays(found).take(pa.array(places, mask=places < 0))
+
+
 def parse_wkb(data: Column, srid: int | None = 4326) -> Column:
-    """WKB (or EWKB, whose own SRID wins) to geometry, one Arrow batch at a time."""
+    """WKB (or EWKB, whose own SRID wins) to geometry, one Arrow batch at a time; values that are laid out alike are read together."""
     default = srid
 
     @F.arrow_udf(GEOMETRY_DDL)
     def decode(values: pa.Array) -> pa.Array:
-        shapes = [_read_wkb(v) for v in values.to_pylist()]
-        parts = [s[2] if s else [] for s in shapes]
-        rings = [part for row in parts for part in row]
-        runs = [ring for part in rings for ring in part]
-        xy = np.concatenate(runs) if runs else np.empty((0, 2))
-
-        def offsets(groups) -> pa.Array:
-            return pa.array(np.concatenate([[0], np.cumsum([len(g) for g in groups])]).astype("i4"))
-
-        vertex_array = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], names=["x", "y"])
-        nested = vertex_array
-        for groups in (runs, rings, parts):
-            nested = pa.ListArray.from_arrays(offsets(groups), nested)
-        return pa.StructArray.from_arrays(
-            [
-                pa.array([s[0] if s else None for s in shapes], pa.string()),
-                pa.array([(default if s[1] is None else s[1]) if s else None for s in shapes], pa.int32()),
-                nested,
-            ],
-            names=["type", "srid", "parts"],
-            mask=pa.array([s is None for s in shapes], pa.bool_()),
-        )
+        return _decode_wkb(values, default)
 
     return decode(data)
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import struct
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,16 +72,37 @@ def ingest_wkt_polygons(spark, sf_dir):
     return _shape_row(with_geometry(box_values(spark, sf_dir).withColumn("outline", text), "outline", "WKT", srid=3857))
 
 
+def _fixed_bytes(rows: np.ndarray) -> pa.Array:
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(rows.itemsize), len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
+
+
 def polygon_wkb(*sides: str) -> Column:
     """Stored test data: rectangles as WKB."""
 
     def pack(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
-        rows = zip(*[a.to_pylist() for a in (x0, y0, x1, y1)])
-        return pa.array([struct.pack("<BIII10d", 1, 3, 1, 5, a, b, c, b, c, d, a, d, a, b) for a, b, c, d in rows], pa.binary())
+        rows = np.zeros(len(x0), [("order", "u1"), ("type", "<u4"), ("rings", "<u4"), ("n", "<u4"), ("xy", "<f8", (10,))])
+        rows["order"], rows["type"], rows["rings"], rows["n"] = 1, 3, 1, 5
+        rows["xy"] = np.stack([np.asarray(a) for a in (x0, y0, x1, y0, x1, y1, x0, y1, x0, y0)], axis=1)
+        return _fixed_bytes(rows)
 
     return F.arrow_udf(pack, "binary")(*sides)
 
 
+def point_wkb(x: str, y: str, srid: int | None = None, order: str = "<") -> Column:
+    """Stored test data: points as WKB, or as EWKB with an SRID."""
+
+    def pack(xs: pa.Array, ys: pa.Array) -> pa.Array:
+        own = [("srid", order + "i4")] if srid else []
+        rows = np.zeros(len(xs), [("order", "u1"), ("type", order + "u4"), *own, ("xy", order + "f8", (2,))])
+        rows["order"], rows["type"] = int(order == "<"), 0x20000001 if srid else 1
+        if srid:
+            rows["srid"] = srid
+        rows["xy"] = np.stack([np.asarray(xs), np.asarray(ys)], axis=1)
+        return _fixed_bytes(rows)
+
+    return F.arrow_udf(pack, "binary")(x, y)
+
+
 @case("a3_ingest_wkb", SHAPE_SQL.format(kind="Polygon", srid=4326, n=5))
 def ingest_wkb(spark, sf_dir):
     stored = box_values(spark, sf_dir).withColumn("shape", polygon_wkb("x0", "y0", "x1", "y1"))
@@ -90,6 +110,15 @@ def ingest_wkb(spark, sf_dir):
     return _shape_row(good)
 
 
+@case("a3_ingest_wkb_points", WITH + "SELECT oid, CAST(CASE oid % 3 WHEN 2 THEN 3857 ELSE 4326 END AS INT) AS srid, lon AS x, lat AS y FROM positions")
+def ingest_wkb_points(spark, sf_dir):
+    """Both byte orders, and EWKB whose own SRID wins, mixed in one column."""
+    kinds = F.when(F.col("oid") % 3 == 0, point_wkb("lon", "lat")).when(F.col("oid") % 3 == 1, point_wkb("lon", "lat", order=">"))
+    stored = positions(spark, sf_dir).withColumn("shape", kinds.otherwise(point_wkb("lon", "lat", 3857)))
+    good, _ = ingest_geometry(stored, "shape")
+    return good.select("oid", F.col("geom.srid").alias("srid"), *xy())
+
+
 @case("a4_ingest_geojson", SHAPE_SQL.format(kind="Polygon", srid=4326, n=5))
 def ingest_geojson(spark, sf_dir):
     text = F.concat(F.lit('{"type":"Polygon","coordinates":[['), _ring(COUNTER_CLOCKWISE, "[%s,%s]"), F.lit("]]}"))
