@@ -14,6 +14,7 @@ from geoloom.operators.aggregates import (
 from geoloom.operators.catalog import discover_columns, minimum_scale, refresh_catalog
 from geoloom.operators.edits import apply_edits, deletes_from, requests_from
 from geoloom.operators.joins import points_in_polygons, spatial_join
+from geoloom.operators.sketches import stored_profile, write_profile
 from geoloom.operators.stored_edits import edit_stored
 from geoloom.operators.ranking import assign_ids, latest_per_entity
 from geoloom.plans.feature_query import FeatureQuery, feature_page
@@ -28,6 +29,6 @@ __all__ = [
     "discover_columns", "edit_stored", "export_features", "feature_page", "filter_shape", "id_audit", "ingest_geometry", "latest_per_entity", "layer_extent",
     "minimum_scale", "normalize_shapes", "points_in_polygons", "profile_geometry", "refresh_catalog", "reproject",
     "requests_from", "roll_up", "spatial_join", "st_contains", "st_crosses", "st_intersects",
-    "st_overlaps", "st_touches", "st_within", "table_profile", "time_extent", "unwrap_dateline", "with_point",
-    "with_time_ms", "wrap_longitudes", "write_clustered", "write_clustered_table",
+    "st_overlaps", "st_touches", "st_within", "stored_profile", "table_profile", "time_extent", "unwrap_dateline", "with_point",
+    "with_time_ms", "wrap_longitudes", "write_clustered", "write_clustered_table", "write_profile",
 ]

@@ -25,6 +25,8 @@ from geoloom.operators.projection import attribute_columns
 from geoloom.plans.layer import Layer
 
 INTEGERS = (ByteType, ShortType, IntegerType, LongType)
+#: Relative standard deviation of the sketched distinct counts that tell which columns repeat.
+DISTINCT_DEVIATION = 0.02
 ZOOM_ZERO_SCALE = 591657527.591555
 
 # Row-count bands with the zoom range suggested for point layers, without and with a time window.
@@ -162,16 +164,17 @@ def _rank_times(columns: list[tuple[str, DataType]]) -> list[str]:
 def discover_columns(df: DataFrame) -> DataFrame:
     """Candidate id and time columns in order of preference, checked on the data.
 
-    One pass gives counts and ranges. An id must have no NULLs, start at 1 or
-    above and be unique; a column whose range is narrower than its row count is
-    known to repeat, so only the remaining candidates are counted distinct, in
-    order, until one passes (NULL in `is_unique` means not needed).
+    One pass gives counts, ranges and sketched distinct counts of all candidates. An id must have no NULLs, start at 1 or
+    above and be unique. A column whose range is narrower than its row count repeats, and so does one whose sketch falls
+    short of the row count by six deviations. Of the others the first in order is counted distinct exactly; another one
+    only where that shows repeats too few for a sketch to tell (NULL in `is_unique` means not needed).
     """
     ids = _rank_ids([f.name for f in df.schema if isinstance(f.dataType, INTEGERS)])
     times = _rank_times([(f.name, f.dataType) for f in df.schema if isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))])
     measures = [F.count(F.lit(1)).alias("n")]
     for i, name in enumerate(ids):
-        measures += [F.min(name).cast("long").alias(f"lo{i}"), F.max(name).cast("long").alias(f"hi{i}"), F.count(name).alias(f"c{i}")]
+        measures += [F.min(name).cast("long").alias(f"lo{i}"), F.max(name).cast("long").alias(f"hi{i}"), F.count(name).alias(f"c{i}"),
+                     F.approx_count_distinct(name, DISTINCT_DEVIATION).alias(f"d{i}")]
     measures += [F.count(name).alias(f"t{i}") for i, name in enumerate(times)]
     seen = df.agg(*measures).first()
     rows, chosen = [], None
@@ -179,7 +182,7 @@ def discover_columns(df: DataFrame) -> DataFrame:
         lo, hi, present = seen[f"lo{i}"], seen[f"hi{i}"], seen[f"c{i}"]
         sound = present == seen.n and present > 0 and lo >= 1
         unique = None
-        if present and hi - lo + 1 < present:
+        if present and (hi - lo + 1 < present or seen[f"d{i}"] < (1 - 6 * DISTINCT_DEVIATION) * present):
             unique = False
         elif sound and chosen is None:
             unique = df.agg(F.count_distinct(F.col(name)).alias("d")).first().d == present

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from geoloom import (
     Layer, assign_ids, cell_bins, cut_tracks, daily_tracks, discover_columns, export_features, id_audit, ingest_geometry, latest_per_entity, layer_extent, minimum_scale,
-    points_in_polygons, refresh_catalog, spatial_join, time_extent, with_point, write_clustered, write_clustered_table,
+    points_in_polygons, refresh_catalog, spatial_join, stored_profile, table_profile, time_extent, with_point, write_clustered, write_clustered_table, write_profile,
 )
 from geoloom.functions.decode import parse_wkt
 from geoloom.functions.geometry import with_bounds
 from geoloom.operators.catalog import field_type, world_extent, zoom_scale
 from geoloom.operators.quadtree import LEAF, Quadtree
 from geoloom.operators.ranking import with_position
+from geoloom.operators.sketches import distinct_error, merged_profile, profile_sketches
 from workload.tables import position_layer, positions
 
 
@@ -186,6 +187,46 @@ def test_discovery_prefers_names_then_checks_data(spark):
     assert [(r.name, r.is_unique, r.chosen) for r in repeated] == [("objectid", False, False), ("n", True, True)]
 
 
+def test_discovery_counts_exactly_what_a_sketch_cannot_tell(spark):
+    """One repeat in three thousand rows is seen by the exact count, wide values that repeat ten times by the sketch."""
+    df = spark.range(3000).select((F.col("id") % 2999 + 1).alias("objectid"), (F.col("id") % 300 * 1_000_003 + 1).alias("spread_id"), (F.col("id") * 7 + 1).alias("n"))
+    rows = {r.name: r for r in discover_columns(df).collect()}
+    assert {k: (r.is_unique, r.chosen) for k, r in rows.items()} == {"objectid": (False, False), "spread_id": (False, False), "n": (True, True)}
+
+
+PROFILED = "day date, entity bigint, ts timestamp, lon double, lat double"
+
+
+def test_merged_profile_is_the_profile_of_all_days(spark, tmp_path):
+    df = spark.range(30_000).select(
+        F.expr("date_add(DATE'2024-05-01', CAST(CASE WHEN id % 3 = 0 THEN 0 ELSE id % 9 END AS INT))").alias("day"), (F.col("id") * 31 % 7000).alias("entity"),
+        F.timestamp_millis(F.col("id") * 977 + 1_714_521_600_000).alias("ts"), (F.col("id") * 7919 % 30011 / 100.0 - 150).alias("lon"),
+        F.when(F.col("id") % 10 > 0, F.col("id") * 104729 % 16001 / 100.0 - 80).alias("lat"))
+    path, names = str(tmp_path / "profile"), ("day", "entity", "ts", "lon", "lat")
+    write_profile(df.withColumn("entity", F.lit(1).cast("long")), path, *names)
+    untouched = {f for f in os.listdir(path) if f.startswith("day=")}
+    for day in sorted(untouched):
+        write_profile(df.filter(F.col("day") == F.lit(day.removeprefix("day=")).cast("date")), path, *names)
+    assert {f for f in os.listdir(path) if f.startswith("day=")} == untouched
+    quantiles = (0.0, 0.1, 0.5, 0.9, 1.0)
+    got, want = stored_profile(spark, path, quantiles).first(), table_profile(df, "entity", "ts", "lon", "lat").first()
+    assert [got[c] for c in want.asDict() if c != "unique_entities"] == [want[c] for c in want.asDict() if c != "unique_entities"]
+    assert abs(got.unique_entities - want.unique_entities) <= distinct_error() * want.unique_entities
+    for axis in ("lon", "lat"):
+        values = sorted(r[0] for r in df.select(axis).filter(f"{axis} IS NOT NULL").collect())
+        for q, value in zip(quantiles, got[f"{axis}_quantiles"]):
+            below, to = sum(v < value for v in values) / len(values), sum(v <= value for v in values) / len(values)
+            assert below - 0.01 <= q <= to + 0.01
+
+
+def test_profile_of_nothing_and_of_nulls(spark):
+    none = merged_profile(profile_sketches(spark.createDataFrame([], PROFILED), "day", "entity", "ts", "lon", "lat")).first()
+    assert (none.total_rows, none.unique_entities, none.earliest_ms, none.min_lat, none.lat_quantiles) == (0, 0, None, None, None)
+    rows = [(None, None, None, None, None), (None, 5, None, 1.0, float("nan")), (None, 5, None, -0.0, None)]
+    one = merged_profile(profile_sketches(spark.createDataFrame(rows, PROFILED), "day", "entity", "ts", "lon", "lat")).first()
+    assert (one.total_rows, one.unique_entities, one.min_lon, one.max_lon, one.lat_quantiles) == (3, 1, 0.0, 1.0, None)
+
+
 def test_clustered_files_skip(spark, sf_dir, tmp_path):
     """A small box on one day touches few files; the rows are the same."""
     path = str(tmp_path / "clustered")

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from geoloom import (
     Layer, assign_ids, cell_bins, cut_tracks, daily_tracks, discover_columns, id_audit, latest_per_entity, layer_extent, minimum_scale,
-    refresh_catalog, roll_up, table_profile, time_extent,
+    refresh_catalog, roll_up, stored_profile, table_profile, time_extent, write_profile,
 )
 from geoloom.functions.cells import hex_edge
 from geoloom.functions.geometry import vertices
 from geoloom.functions.times import epoch_ms
+from geoloom.operators.sketches import distinct_error
+from geoloom.runtime import scratch_path
 from workload.registry import case
 from workload.tables import WITH, boxes, position_layer, positions, read, segments
 
@@ -159,6 +161,23 @@ def profile(spark, sf_dir):
     return table_profile(positions(spark, sf_dir), "entity", "ts", "lon", "lat")
 
 
+@case("e7_profile_merged", WITH + """
+SELECT count(*) AS total_rows, true AS entities_within_bound, epoch_us(min(ts)) // 1000 AS earliest_ms, epoch_us(max(ts)) // 1000 AS latest_ms,
+       min(lat) AS min_lat, max(lat) AS max_lat, min(lon) AS min_lon, max(lon) AS max_lon FROM positions
+""")
+def merged(spark, sf_dir):
+    """Sketches of all days, the last of them stored before its errors came in and then once more; the estimate is held against the exact count."""
+    rows = positions(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
+    path, last = scratch_path(spark, "profile"), F.lit(rows.agg(F.max("event_date")).first()[0])
+    names = ("event_date", "entity", "ts", "lon", "lat")
+    write_profile(rows.filter((F.col("event_date") < last) | (F.col("event_type") != "error")), path, *names)
+    write_profile(rows.filter(F.col("event_date") == last), path, *names)
+    exact = rows.agg(F.count_distinct("entity")).first()[0]
+    close = F.abs(F.col("unique_entities") - exact) <= exact * distinct_error()
+    return stored_profile(spark, path).select(
+        "total_rows", close.alias("entities_within_bound"), "earliest_ms", "latest_ms", "min_lat", "max_lat", "min_lon", "max_lon")
+
+
 AUDIT = """SELECT '{name}' AS id_field, CAST(min({x}) AS BIGINT) AS min_id, CAST(max({x}) AS BIGINT) AS max_id, count(*) - count({x}) AS null_ids,
 count({x}) - count(DISTINCT {x}) AS duplicate_ids, '{cls}' AS id_class FROM positions"""
 
