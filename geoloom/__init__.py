@@ -14,6 +14,7 @@ from geoloom.operators.aggregates import (
 from geoloom.operators.catalog import discover_columns, minimum_scale, refresh_catalog
 from geoloom.operators.edits import apply_edits, deletes_from, requests_from
 from geoloom.operators.joins import points_in_polygons, spatial_join
+from geoloom.operators.nested_bins import finished_bins, nested_bins, parent_bins
 from geoloom.operators.sketches import stored_profile, write_profile
 from geoloom.operators.stored_edits import edit_stored
 from geoloom.operators.ranking import assign_ids, latest_per_entity
@@ -26,8 +27,8 @@ from geoloom.sources.stored import StoredLayer, compact, with_time_ms
 
 __all__ = [
     "FeatureQuery", "Layer", "StoredLayer", "apply_edits", "assign_ids", "cell_bins", "compact", "cut_tracks", "daily_tracks", "deletes_from",
-    "discover_columns", "edit_stored", "export_features", "feature_page", "filter_shape", "id_audit", "ingest_geometry", "latest_per_entity", "layer_extent",
-    "minimum_scale", "normalize_shapes", "points_in_polygons", "profile_geometry", "refresh_catalog", "reproject",
+    "discover_columns", "edit_stored", "export_features", "feature_page", "filter_shape", "finished_bins", "id_audit", "ingest_geometry", "latest_per_entity", "layer_extent",
+    "minimum_scale", "nested_bins", "normalize_shapes", "parent_bins", "points_in_polygons", "profile_geometry", "refresh_catalog", "reproject",
     "requests_from", "roll_up", "spatial_join", "st_contains", "st_crosses", "st_intersects",
     "st_overlaps", "st_touches", "st_within", "stored_profile", "table_profile", "time_extent", "unwrap_dateline", "with_point",
     "with_time_ms", "wrap_longitudes", "write_clustered", "write_clustered_table", "write_profile",

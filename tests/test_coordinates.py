@@ -3,16 +3,19 @@
 import json
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom import filter_shape, normalize_shapes, reproject, unwrap_dateline, wrap_longitudes
+from geoloom import filter_shape, finished_bins, nested_bins, normalize_shapes, parent_bins, reproject, unwrap_dateline, wrap_longitudes
 from geoloom.functions.cells import hex_axis, hex_cell, hex_edge, hex_polygon, morton
 from geoloom.functions.decode import parse_esri_json, parse_geojson
 from geoloom.functions.distance import distance_to
 from geoloom.functions.geometry import point, with_bounds
 from geoloom.functions.decode import parse_wkt
+from geoloom.functions.nested import nested_cell, nested_parent, nested_polygon
+from workload.tables import positions
 
 GRID = 1 / 64
 
@@ -180,6 +183,46 @@ def test_hexagons_contain_their_points(spark):
         hex_edge(16)
 
 
+def test_nested_cells_have_one_parent_and_seven_children(spark):
+    rng = random.Random(8)
+    points = [(rng.uniform(-170, 170), rng.uniform(-80, 80)) for _ in range(300)]
+    df = spark.createDataFrame(points, "x double, y double")
+    for resolution in (1, 4, 9):
+        at = df.select("x", "y", nested_cell(F.col("x"), F.col("y"), resolution).alias("cell"))
+        outlines = at.select("*", nested_polygon(F.col("cell"), resolution).alias("g"), hex_cell(F.col("x"), F.col("y"), resolution).alias("flat")).collect()
+        for row in outlines:
+            ring = [(math.radians(v.x), math.asinh(math.tan(math.radians(v.y)))) for v in row.g.parts[0][0]]
+            px, py = math.radians(row.x), math.asinh(math.tan(math.radians(row.y)))
+            turns = [(bx - ax) * (py - ay) - (by - ay) * (px - ax) for (ax, ay), (bx, by) in zip(ring, ring[1:])]
+            assert len(turns) == 6 and min(turns) > -1e-12 and (resolution % 2 or row.cell == row.flat)
+    # Cells around one place, told by their whole numbers: those of a full parent are seven, and steps can be taken at once.
+    side = 60
+    patch = spark.range(side * side).select(F.expr(f"5L * {1 << 58} + (id % {side} + {1 << 28}) * {1 << 29} + (id div {side} + {1 << 28})").alias("cell"))
+    family = patch.select("cell", nested_parent(F.col("cell"), 5, 4).alias("up"), nested_parent(F.col("cell"), 5, 2).alias("top"))
+    sizes = Counter(r.up for r in family.collect())
+    assert max(sizes.values()) == 7 and sum(n == 7 for n in sizes.values()) > side * side / 7 * 0.8
+    assert family.filter(nested_parent(F.col("up"), 4, 2) != F.col("top")).count() == 0
+    assert patch.filter(nested_parent(F.col("cell"), 5, 5) != F.col("cell")).count() == 0
+    missing = spark.sql("SELECT CAST(NULL AS DOUBLE) AS x, 1.0D AS y").select(nested_cell(F.col("x"), F.col("y"), 3).alias("c"))
+    assert missing.select("c", nested_parent(F.col("c"), 3, 1).alias("p")).first() == (None, None)
+    with pytest.raises(ValueError):
+        nested_parent(F.col("cell"), 3, 4)
+
+
+def test_merged_bins_are_bins_by_the_parent(spark, sf_dir):
+    near = positions(spark, sf_dir).withColumns({"lon": F.col("lon") / 20, "lat": F.col("lat") / 20})
+    merged = finished_bins(parent_bins(nested_bins(near, "lon", "lat", 5, "entity", "speed", "ts"), 5, 2), 2)
+    cells = near.withColumn("cell", nested_parent(nested_cell(F.col("lon"), F.col("lat"), 5), 5, 2))
+    direct = {r.cell: r for r in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.avg("speed").alias("mean"), F.count_distinct("entity").alias("e"), F.min("ts").alias("t")).collect()}
+    rows = merged.collect()
+    assert len(rows) == len(direct) > 1
+    for row in rows:
+        want = direct[row.cell]
+        assert (row.total_positions, row.earliest) == (want.n, want.t) and row.avg_speed == pytest.approx(want.mean)
+        assert abs(row.unique_entities - want.e) <= 0.05 * want.e
+    assert nested_bins(near.limit(0), "lon", "lat", 5, "entity", "speed", "ts").count() == 0
+
+
 def test_morton_interleaves_bits(spark):
     rng = random.Random(4)
     points = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(200)] + [(-180.0, -90.0), (180.0, 90.0), (500.0, -500.0)]

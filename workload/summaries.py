@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geoloom import (
-    Layer, assign_ids, cell_bins, cut_tracks, daily_tracks, discover_columns, id_audit, latest_per_entity, layer_extent, minimum_scale,
-    refresh_catalog, roll_up, stored_profile, table_profile, time_extent, write_profile,
+    Layer, assign_ids, cell_bins, cut_tracks, daily_tracks, discover_columns, id_audit, latest_per_entity, finished_bins, layer_extent, minimum_scale,
+    nested_bins, parent_bins, refresh_catalog, roll_up, stored_profile, table_profile, time_extent, write_profile,
 )
 from geoloom.functions.cells import hex_edge
 from geoloom.functions.geometry import vertices
@@ -84,6 +84,39 @@ def bins_with_lists(spark, sf_dir):
     return rows.select("cell", "total_positions", F.array_join(pairs, ",").alias("categories"))
 
 
+def _nearest_sql(source: str, q: str, r: str, name: str) -> str:
+    """SQL for the lattice points nearest to places on hexagonal axes, out of the four around each."""
+    away = "power(q0 - a + (r0 - b) / 2e0, 2) + power((r0 - b) * sqrt(3e0) / 2e0, 2)"
+    return f"""{name}_at AS (SELECT oid, {q} AS q0, {r} AS r0 FROM {source}),
+{name}_near AS (SELECT oid, q0, r0, floor(q0) + s.i AS a, floor(r0) + t.i AS b FROM {name}_at, (VALUES (0), (1)) AS s(i), (VALUES (0), (1)) AS t(i)),
+{name} AS (SELECT oid, arg_min(CAST(a AS BIGINT), {away}) AS q, arg_min(CAST(b AS BIGINT), {away}) AS r FROM {name}_near GROUP BY oid)"""
+
+
+# Cells at resolution 4, their parents at 3 and those of these at 2.
+FINE, COARSE = 4, 2
+FINE_EDGE = repr(hex_edge(FINE))
+PARENTS = WITH + f""", crowded AS (SELECT * REPLACE (lon / 1e1 AS lon, lat / 1e1 AS lat) FROM positions),
+plane AS (SELECT oid, radians(lon) * 20037508.342789244 / pi() / {FINE_EDGE} AS u, asinh(tan(radians(lat))) * 20037508.342789244 / pi() / {FINE_EDGE} AS v FROM crowded),
+""" + ",\n".join([
+    _nearest_sql("plane", "u / sqrt(3e0) - v / 3e0", "v * 2e0 / 3e0", "fine"),
+    _nearest_sql("fine", "(2 * q - r) / 7e0", "(q + 3 * r) / 7e0", "middle"),
+    _nearest_sql("middle", "(3 * q + r) / 7e0", "(2 * r - q) / 7e0", "coarse")]) + "\n"
+
+
+@case("e4_parent_bins", PARENTS + f"""
+SELECT CAST({COARSE} * 288230376151711744 + (q + 268435456) * 536870912 + r + 268435456 AS BIGINT) AS cell, count(*) AS total_positions,
+       round(avg(speed), 6) AS avg_speed, max(speed) AS max_speed, epoch_us(min(ts)) // 1000 AS t0, epoch_us(max(ts)) // 1000 AS t1, CAST(7 AS INT) AS n_vertices
+FROM coarse JOIN positions USING (oid) GROUP BY q, r
+""")
+def bins_by_parent(spark, sf_dir):
+    """Bins of one resolution, merged two resolutions up without the points."""
+    crowded = positions(spark, sf_dir).withColumns({"lon": F.col("lon") / 10, "lat": F.col("lat") / 10})
+    rows = finished_bins(parent_bins(nested_bins(crowded, "lon", "lat", FINE, speed="speed", time="ts"), FINE, COARSE), COARSE)
+    kind = rows.schema["earliest"].dataType
+    return rows.select("cell", "total_positions", F.round("avg_speed", 6).alias("avg_speed"), "max_speed", epoch_ms(F.col("earliest"), kind).alias("t0"),
+                       epoch_ms(F.col("latest"), kind).alias("t1"), F.size(vertices(F.col("cell_polygon"))).alias("n_vertices"))
+
+
 @case("e5_roll_up", HEXAGONS + """
 , bins AS (SELECT cell, count(*) AS n, count(DISTINCT entity) AS e FROM placed GROUP BY cell)
 SELECT count(*) AS total_cells, CAST(sum(n) AS BIGINT) AS total_positions, CAST(sum(e) AS BIGINT) AS unique_entities FROM bins WHERE n > 10
