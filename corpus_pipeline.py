@@ -62,7 +62,7 @@ STAGES = [
     ("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("personal_data", personal_data), ("packing", packing),
 ]
 
-# The model, the embedding, the parsers and the tokenizer are beyond SQL: tests/llm checks the stages one by one, not run().
+# The model, the embedding, the parsers and the tokenizer are beyond SQL: tests/llm compares each stage and run() with plain versions.
 ORACLE_SQL = None
 
 
